@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from vellum.llm import line_dedup, packing, quality, secret_scan, simhash, toxicity
+from vellum.llm import line_dedup, media, neighbours, packing, quality, secret_scan, simhash, toxicity
 
 QUERIES = {
     "op1_secret_scan": secret_scan.op1_secret_scan,
     "op2_packing": packing.op2_packing,
+    "op3_neighbours": neighbours.op3_neighbours,
     "op4_toxicity": toxicity.op4_toxicity,
+    "op5_media": media.op5_media,
     "op6_simhash": simhash.op6_simhash,
     "op7_quality": quality.op7_quality,
     "op8_line_dedup": line_dedup.op8_line_dedup,
