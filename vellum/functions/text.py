@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: The marks of a placeholder in catalog text, and the wide space of the scripts.
-PLACEHOLDER = r"\{\{[^{}]*\}\}"
+PLACEHOLDER = r"⟦ADV:\d+⟧"
 WIDE_SPACE = "　"
 
 
@@ -75,16 +75,16 @@ def unix_path(path: Column) -> Column:
     return F.translate(path, "\\", "/")
 
 
+# First bytes of member types.
+MAGIC = (("504D0100", "pms"), ("504D0200", "pms"), ("514E5400", "qnt"), ("FFD8FFE0", "jpeg"), ("424D", "bmp"))
+
+
 def sniff(data: Column) -> Column:
     """'' for no bytes, pms, qnt, jpeg or bmp by the first ones, else null."""
-    head = lambda n: F.substring(data, 1, n)
-    return (
-        F.when(F.length(data) == 0, "")
-        .when(head(2) == F.unhex(F.lit("504D")), "pms")
-        .when(head(4) == F.unhex(F.lit("514E5400")), "qnt")
-        .when(head(3) == F.unhex(F.lit("FFD8FF")), "jpeg")
-        .when(head(2) == F.unhex(F.lit("424D")), "bmp")
-    )
+    kind = F.when(F.length(data) == 0, "")
+    for digits, name in MAGIC:
+        kind = kind.when(F.substring(data, 1, len(digits) // 2) == F.unhex(F.lit(digits)), name)
+    return kind
 
 
 def hex_rows(df: DataFrame, data: str, width: int = 16) -> DataFrame:

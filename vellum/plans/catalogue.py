@@ -71,7 +71,7 @@ def hex_dump(benchmark):
 
 @query(
     "documents",
-    sql=r"""SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(text, '\{\{[^{}]*\}\}', '', 'g'), '[\r\n]', ' ', 'g'), '[ \t　]+', ' ', 'g'), concat(' ', chr(9), '　:：')) AS term
+    sql=r"""SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(text, '⟦ADV:\d+⟧', '', 'g'), '[\r\n]', ' ', 'g'), '[ \t　]+', ' ', 'g'), concat(' ', chr(9), '　:：')) AS term
 FROM documents""",
 )
 def clean_terms(documents):
