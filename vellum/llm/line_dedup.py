@@ -9,6 +9,7 @@ they are compacted into one run of the next level, document counts added up.
 from __future__ import annotations
 
 import hashlib
+import struct
 from collections import Counter
 from collections.abc import Iterator
 
@@ -184,7 +185,7 @@ def dedup_lines(
     def run(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rb in batches_:
             texts = rb.column(len(keep)).to_pylist()
-            sets = [shared.value] * len(texts) if shared else [set(x or ()) for x in rb.column(len(keep) + 1).to_pylist()]
+            sets = [shared.value] * len(texts) if shared else [{struct.pack("<qq", k["k1"], k["k2"]) for k in x or ()} for x in rb.column(len(keep) + 1).to_pylist()]
             found = [_kept(t, s, min_chars) for t, s in zip(texts, sets, strict=True)]
             first = [hashlib.sha256(x[0].encode("utf-8", "surrogatepass")).hexdigest() if digest else x[0] for x in found]
             yield pa.RecordBatch.from_arrays(
@@ -209,8 +210,7 @@ def _with_hot(docs: DataFrame, hot: DataFrame, text_col: str, keep: list[str], m
 
     text = F.coalesce(columns_of(docs, [text_col])[0], F.lit(""))
     held = docs.select(text.alias("t")).mapInArrow(lines, schema).distinct().join(hot, ["k1", "k2"], "left_semi")
-    pack = lambda c: F.reverse(F.unhex(F.lpad(F.hex(c), 16, "0")))  # noqa: E731  little-endian bytes
-    hot_of = held.groupBy("h").agg(F.collect_set(F.concat(pack("k1"), pack("k2"))).alias("__hot"))
+    hot_of = held.groupBy("h").agg(F.collect_list(F.struct("k1", "k2")).alias("__hot"))
     left = docs.select(*columns_of(docs, keep), *columns_of(docs, [text_col]), F.sha2(text.cast("binary"), 256).alias("__h"))
     return left.join(hot_of, left["__h"] == hot_of["h"], "left").drop("__h", "h")
 
