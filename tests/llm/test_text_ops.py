@@ -1,0 +1,198 @@
+"""Secret scans, line dedup and SimHash against brute-force versions and odd rows."""
+
+import hashlib
+import re
+from collections import defaultdict
+
+import numpy as np
+import pandas as pd
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from vellum.llm import line_dedup, secret_scan, simhash
+from vellum.llm.components import connected_components
+
+ODD = "doc_id bigint, text string, spans string, n_lines int"
+
+
+def frame(spark, texts, schema=ODD):
+    return spark.createDataFrame([(i, t, "x", 1) for i, t in enumerate(texts)], schema)
+
+
+# ---- secret scans
+
+
+def base_spans(text):
+    out = []
+    for m in re.finditer(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text, re.I | re.A):
+        if len(m[2]) >= 8:
+            out.append((m.start(), 0, m.end(), "assign"))
+    out += [(m.start(), 1, m.end(), "access") for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    out += [(m.start(), 2, m.end(), "hex") for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
+    return sorted(out)
+
+
+def test_base_spans(spark):
+    texts = [
+        None, "", "token = 'abcdefgh'", "é😀 TOKEN=abcdefgh token=short passwd:  \"0123456789", "token=secret: abcdefghijk", "AKIA" + "A" * 12 + " AKIAB AKIAAKIA" + "9" * 9,
+        "a" * 31 + " " + "b" * 32 + " token=" + "0" * 40, "apiKEY==xxxxxxxx api_key='yyyyyyyy", "ſecret=abcdefghi paſſword=abcdefghi Key", "x" * 50_000 + " token=abcdefgh " * 300,
+    ]
+    rows = secret_scan.scan(frame(spark, texts)).orderBy("doc_id").collect()
+    for text, r in zip(texts, rows, strict=True):
+        want = base_spans(text or "")
+        assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(s[1] == k for s in want) for k in range(3))
+        listed = ",".join(f"{k}:{a}:{b}" for a, _, b, k in want)
+        assert r.base_sha256 == hashlib.sha256(listed.encode()).hexdigest()
+        assert r.spans == listed and r.n_lines == 1
+
+
+def test_weak_parts_need_complements(spark):
+    far = " " * 500
+    texts = [
+        "client_id=abc123 auth: qwerty77", "client_id=abc123" + far + "auth: qwerty77", "user_name: bob at https://example.com/x", "https://example.com/x pwd=hunter22",
+        "client_id=abc123 AKIA" + "Z" * 16, "client_id=abc123 token=abcdefgh", "auth: qwerty77",
+    ]
+    rows = [r.spans for r in secret_scan.scan(frame(spark, texts * 2)).orderBy("doc_id").collect()]
+    assert rows[: len(texts)] == rows[len(texts) :]
+    kinds = [sorted(x.split(":")[0] for x in r.split(",") if x) for r in rows[: len(texts)]]
+    assert kinds == [["identifier", "weak"], [], [], ["endpoint", "weak"], ["access"], ["assign", "identifier"], []]
+
+
+def test_weak_parts_against_brute_force(spark):
+    rng = np.random.default_rng(3)
+    parts = ["client_id=abc123", "auth: qwerty77", "https://h.example/p", "token=abcdefgh", "plain words", " " * 150]
+    texts = [" ".join(rng.choice(parts, rng.integers(0, 25))) for _ in range(60)]
+    got = [r.spans for r in secret_scan.scan(frame(spark, texts), scope=120).orderBy("doc_id").collect()]
+    for text, listed in zip(texts, got, strict=True):
+        found = []
+        for o, (kind, pattern, group, least, role) in enumerate((*secret_scan.BASE, *secret_scan.WEAK)):
+            found += [(m.start(), o, m.end(), kind, role) for m in re.finditer(pattern, text) if len(m[group]) >= least]
+        strong = {x[0] for x in secret_scan.BASE}
+        kept = [x for x in found if x[3] in strong or any(y[4] in secret_scan.COMPLEMENTS[x[4]] and abs(y[0] - x[0]) <= 120 for y in found)]
+        assert listed == ",".join(f"{k}:{a}:{b}" for a, _, b, k, _ in sorted(kept))
+
+
+def test_scan_of_nothing_and_redaction(spark):
+    assert secret_scan.scan(frame(spark, [])).count() == 0
+    docs = spark.createDataFrame([(1, "é token=abcdefgh é", "n", 1), (2, "clean", "n", 5), (3, None, None, None), (3, "x", "n", 1)], "doc_id bigint, text string, found string, n_chars bigint")
+    out = secret_scan.redact(docs)
+    assert out.columns == docs.columns and out.dtypes == docs.dtypes
+    assert sorted(map(str, [tuple(r) for r in out.collect()])) == sorted(map(str, [(1, "é [SECRET] é", "n", 12), (2, "clean", "n", 5), (3, None, None, None), (3, "x", "n", 1)]))
+
+
+# ---- line dedup
+
+
+def brute_lines(texts, least):
+    key = lambda x: x.strip(" \t\n\v\f\r").translate({c: c + 32 for c in range(65, 91)})
+    held = defaultdict(set)
+    for i, t in enumerate(texts):
+        for x in (t or "").split("\n"):
+            held[key(x)].add(i)
+    hot = {k for k, v in held.items() if k and len(v) >= least}
+    return [([x for x in (t or "").split("\n") if key(x) not in hot], len((t or "").split("\n"))) for t in texts]
+
+
+LINES = [None, "", "a\n\nB \nunique", "A\n b\t\nÉ", "a \na\né", "\na\n", "x\ra\nB", "only\nonly"] * 2 + ["long " * 20_000 + "\na"]
+
+
+@pytest.mark.parametrize("limit", [1000, 0])
+def test_line_dedup(spark, limit):
+    docs = frame(spark, LINES)
+    out = line_dedup.dedup_lines(docs, min_docs=3, max_broadcast=limit, batches=5, fanout=2)
+    assert set(out.columns) == set(docs.columns) | {"n_dropped"}
+    got = {r.doc_id: (r.text, r.n_lines, r.n_dropped) for r in out.collect()}
+    for i, (kept, n) in enumerate(brute_lines(LINES, 3)):
+        assert got[i] == ("\n".join(kept), n, n - len(kept))
+    assert line_dedup.dedup_lines(frame(spark, []), max_broadcast=limit).count() == 0
+
+
+def test_runs_add_up_and_tell_unseen_lines(spark):
+    runs = line_dedup.LineRuns(spark, fanout=2)
+    batch = lambda *rows: spark.createDataFrame(rows, "k1 bigint, k2 bigint, n_docs bigint")
+    runs.add(batch((1, 1, 2), (2, 2, 1)))
+    assert runs.unseen(batch((1, 1, 1), (3, 3, 1))).count() == 1
+    runs.add(batch((1, 1, 2), (3, 3, 1)))
+    runs.add(batch((1, 1, 6), (2, 2, 1)))
+    assert len(runs.levels) == 2 and [len(x) for x in runs.levels] == [1, 1]
+    assert [tuple(r) for r in runs.frequent(10).collect()] == [(1, 1)]
+    runs.close()
+
+
+def test_min_chars_counts_code_points():
+    assert [k is None for k in line_dedup.line_keys("é\néé\nabc", 2)] == [True, False, False]
+
+
+# ---- SimHash
+
+
+def brute_print(text):
+    words = [w for w in re.split("[\x20\x09-\x0d]+", (text or "").translate({c: c + 32 for c in range(65, 91)})) if w]
+    shingles = [" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))] if words else []
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if sum(h >> b & 1 for h in hashes) * 2 > len(hashes))
+
+
+def brute_components(prints):
+    f = np.array(prints, np.uint64)
+    near, labels = np.bitwise_count(f[:, None] ^ f[None, :]) <= 4, np.arange(len(f))
+    while True:
+        new = np.array([labels[row].min() for row in near])
+        if (new == labels).all():
+            return labels
+        labels = new
+
+
+def test_fingerprints(spark):
+    texts = [None, "", " \n", "One", "one two three", "one two three four five ONE two\x0bthree\x1cfour É é", "a b c d " * 5_000, "x y z"]
+    for t in texts:
+        assert simhash.fingerprint(t) == brute_print(t)
+    rows = [t for t in texts if t]
+    words = spark.createDataFrame([(" ".join(r.lower().split()),) for r in ["one two three", "é"]], "t string")
+    assert [int(h) % 2**64 for (h,) in words.select(F.xxhash64("t")).collect()] == [xxhash.xxh64_intdigest(x, 42) for x in ("one two three", "é")]
+    assert len(rows) == 6
+
+
+def test_links_match_brute_force(spark):
+    rng = np.random.default_rng(5)
+    base = [int(x) for x in rng.integers(0, 2**63, 3)]
+
+    def flipped(x, n, bits, among=64):
+        return [x ^ sum(1 << int(b) for b in rng.choice(among, rng.integers(0, bits + 1), replace=False)) for _ in range(n)]
+
+    chain = [base[0]]
+    for _ in range(60):
+        chain += flipped(chain[-1], 1, 4)
+    prints = sorted({0, 1, *flipped(base[0], 150, 8), *flipped(base[1], 150, 3), *flipped(base[2], 150, 12, 30), *chain})
+    signed = [int(np.uint64(p).astype(np.int64)) for p in prints]
+    found = connected_components(simhash.links(spark.createDataFrame([(p,) for p in signed], "fp bigint"))).collect()
+    root = {r.node: r.root for r in found}
+    rounds = connected_components(simhash.links(spark.createDataFrame([(p,) for p in signed], "fp bigint")), one_task=0).collect()
+    assert {r.node: r.root for r in rounds} == root
+    got = [root.get(p, p) for p in signed]
+    want = brute_components(prints).tolist()
+    assert len(set(zip(want, got, strict=True))) == len(set(want)) == len(set(got))
+
+
+def test_near_duplicates_and_what_stays(spark, sf_dir):
+    docs = pd.read_parquet(f"{sf_dir}/documents.parquet")[["doc_id", "text"]]
+    extra = pd.DataFrame({"doc_id": [900_001, 900_002, 900_003], "text": [None, "", " "]})
+    every = pd.concat([docs, extra], ignore_index=True)
+    rows = [(None if i == 900_003 else int(i), t) for i, t in zip(every.doc_id, every.text, strict=True)]
+    rows += [rows[0]]
+    frame_ = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = simhash.near_duplicates(frame_).collect()
+    ids = [r[0] for r in rows]
+    labels = brute_components([brute_print(t) for _, t in rows])
+    least = {g: min((i for i, k in zip(ids, labels, strict=True) if k == g and i is not None), default=None) for g in set(labels)}
+    want = sorted((str(i), least[k]) for i, k in zip(ids, labels, strict=True))
+    assert sorted((str(r.doc_id), r.component_id) for r in got) == want
+    kept = simhash.drop_near_duplicates(frame_)
+    assert kept.columns == ["doc_id", "text"] and sorted(r.doc_id for r in kept.collect()) == sorted(set(least.values()))
+
+
+def test_rows_without_ids(spark):
+    frame_ = spark.createDataFrame([(None, "a b c d e"), (None, "a b c d e"), (None, "other words are here now")], "doc_id bigint, text string")
+    assert sorted(r.text for r in simhash.drop_near_duplicates(frame_).collect()) == ["a b c d e", "other words are here now"]
+    assert simhash.near_duplicates(frame_.limit(0)).count() == 0
