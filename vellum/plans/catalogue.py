@@ -226,13 +226,13 @@ def section_carry(conversations):
 
 @query(
     "lineitem",
-    sql="""WITH r AS (SELECT *, sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber ROWS UNBOUNDED PRECEDING) AS run FROM lineitem)
+    sql="""WITH r AS (SELECT *, sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey, l_extendedprice ROWS UNBOUNDED PRECEDING) AS run FROM lineitem)
 SELECT l_orderkey, l_linenumber, l_suppkey, CAST(coalesce(first_value(CASE WHEN l_returnflag = 'R' THEN l_partkey END) OVER w, 0) + row_number() OVER w - CASE WHEN run > 0 THEN 1 ELSE 0 END AS INTEGER) AS link
-FROM r WINDOW w AS (PARTITION BY l_suppkey, run ORDER BY l_orderkey, l_linenumber)""",
+FROM r WINDOW w AS (PARTITION BY l_suppkey, run ORDER BY l_orderkey, l_linenumber, l_partkey, l_extendedprice)""",
 )
 def link_fill(lineitem):
     given = lineitem.withColumn("given", F.when(F.col("l_returnflag") == "R", F.col("l_partkey")))
-    return spans.fill_links(given, "given", ["l_suppkey"], ["l_orderkey", "l_linenumber"]).select("l_orderkey", "l_linenumber", "l_suppkey", "link")
+    return spans.fill_links(given, "given", ["l_suppkey"], ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"]).select("l_orderkey", "l_linenumber", "l_suppkey", "link")
 
 
 # ---- keys
