@@ -20,14 +20,14 @@ def test_archives(spark, tmp_path, capsys):
 def test_compile_decompile_and_text(spark, tmp_path, capsys):
     src = tmp_path / "src"
     src.mkdir()
-    (src / "xsys35c.cfg").write_text("sys_ver = 3.8\nhed = s.hed\nald_basename = game\n")
+    (src / "project.cfg").write_text("sys_ver = 3.8\nhed = s.hed\nald_basename = game\n")
     (src / "s.hed").write_text("#SYSTEM35\na.adv\nb.adv\n")
     (src / "a.adv").write_text("!X:1! {X=1: 'はい' R } else { ~f: }\n")
     (src / "b.adv").write_text("@end: **f: 'いいえ' ~0,X: *end:\n")
     one, two, three = str(tmp_path / "one"), str(tmp_path / "two"), str(tmp_path / "three")
-    assert cli.main(["compile", "-p", str(src / "xsys35c.cfg"), "-o", one]) == 0
+    assert cli.main(["compile", "-p", str(src / "project.cfg"), "-o", one]) == 0
     assert cli.main(["decompile", one, "-o", two]) == 0
-    cfg = tmp_path / "two" / "xsys35c.cfg"
+    cfg = tmp_path / "two" / "project.cfg"
     cfg.write_text(cfg.read_text().replace("3.9", "3.8") + "ald_basename = game\nvariables = v.txt\n")
     (tmp_path / "two" / "v.txt").write_text("VAR0\n")
     assert cli.main(["compile", "-p", str(cfg), "-o", three]) == 0

@@ -2,7 +2,7 @@
 
     python -m vellum.cli ald list game/*SA.ALD
     python -m vellum.cli decompile game/ -o sources/
-    python -m vellum.cli compile -p sources/xsys35c.cfg
+    python -m vellum.cli compile -p sources/project.cfg
     python -m vellum.cli text extract sources/ --output main.jsonl --candidates rest.jsonl
 """
 
@@ -161,7 +161,7 @@ def decompile(args: argparse.Namespace) -> int:
     spark = _session()
     paths = [p for p in glob.glob(os.path.join(args.folder, "*")) if p.upper().endswith(".ALD") and os.path.basename(p).upper()[-6:-5] == "S"]
     entries = archive.read_ald(spark, *paths).where("entry_index is not null")
-    side = [p for p in glob.glob(os.path.join(args.folder, "*")) if os.path.basename(p).lower() == "system39.ain"]
+    side = [p for p in glob.glob(os.path.join(args.folder, "*")) if p.lower().endswith(".ain")]
     names, config = decoder.Names(), project.Config(disable_ain_message=True)
     if side:
         with open(side[0], "rb") as f:
@@ -179,9 +179,9 @@ def decompile(args: argparse.Namespace) -> int:
     for r in texts.orderBy("page").toLocalIterator():
         sources.append(r["name"])
         _write(os.path.join(args.output, r["name"]), r["text"].encode(encoding))
-    config.encoding, config.hed = args.encoding, "xsys35dc.hed"
-    _write(os.path.join(args.output, "xsys35c.cfg"), project.write_config(config).encode())
-    _write(os.path.join(args.output, "xsys35dc.hed"), project.write_hed(project.Hed(sources)).encode(encoding))
+    config.encoding, config.hed = args.encoding, "sources.hed"
+    _write(os.path.join(args.output, "project.cfg"), project.write_config(config).encode())
+    _write(os.path.join(args.output, "sources.hed"), project.write_hed(project.Hed(sources)).encode(encoding))
     if names.variables:
         _write(os.path.join(args.output, "variables.txt"), project.write_variables(names.variables).encode(encoding))
     return 0
@@ -241,7 +241,7 @@ def parser() -> argparse.ArgumentParser:
         if form == "pms":
             p.add_argument("--system2", action="store_true")
     p = tool("compile", compile_)
-    p.add_argument("-p", "--project", default="xsys35c.cfg")
+    p.add_argument("-p", "--project", default="project.cfg")
     p.add_argument("-i", "--hed")
     p.add_argument("-o", "--output")
     p.add_argument("-u", "--unicode", action="store_true")
