@@ -1,9 +1,11 @@
 """Toxicity by gradient-boosted trees over dense features, with isotonic calibration.
 
 The model is fitted on a bounded sample of labelled rows: MAX_POSITIVE and MAX_NEGATIVE of the training folds, those
-whose ids hash lowest. From them, executors count in how many texts each word and word stem occurs by class, and
-the driver gets the LEXICON_SIZE keys with the greatest odds; executors then make the sample's features, of which
-the driver gets a matrix of bounded size. Scoring reads every whole text once.
+whose ids hash lowest. From them, executors count in how many texts each word and word stem occurs by class and fold,
+and the driver gets the LEXICON_SIZE keys with the greatest log odds, which are their weights: once for all folds, and
+once without each of them. A training row's features come from the lexicon without its fold, so that words that
+only its fold has do not look better than they are. The driver gets those features, a matrix of bounded size.
+Scoring reads every whole text once.
 """
 
 from __future__ import annotations
@@ -23,12 +25,13 @@ from pyspark.sql import types as T
 
 from vellum.llm.common import columns_of, discard, materialize, table, with_columns_replaced
 
-MAX_POSITIVE, MAX_NEGATIVE = 6_000, 10_000
-LEXICON_SIZE, MIN_ODDS = 4_000, 20.0
+MAX_POSITIVE, MAX_NEGATIVE = 4_000, 6_000
+LEXICON_SIZE, MIN_ODDS = 3_000, 3.0
 FOLDS, HELD_OUT, CALIBRATION = 5, 0, 1
 TREES, DEPTH, RATE, BINS, MIN_LEAF = 100, 3, 0.15, 48, 20.0
 STEMS = (4, 5, 6)
-_CACHE = 300_000
+#: Tokens whose codes are kept, in scoring and in fitting; none outlives its task.
+_CACHE, _FIT_CACHE = 200_000, 20_000
 
 #: Second person, in the languages of the corpus.
 SECOND_PERSON = frozenset(
@@ -41,7 +44,7 @@ _EDGES = re.compile(r"^[^\w@$]+|[^\w]+$")
 _INNER = re.compile(r"[\W_]+")
 
 FEATURES = (
-    "words_log", "hits", "hits_log", "hit_rate", "hit_kinds", "stem_hits", "stem_rate", "veiled_hits", "veiled_rate",
+    "words_log", "evidence", "evidence_rate", "strongest", "hits", "hits_log", "hit_rate", "hit_kinds", "stem_hits", "stem_rate", "veiled_hits", "veiled_rate",
     "near_second", "near_second_rate", "second_rate", "capital_rate", "shouted_rate", "bang_rate", "punctuation_rate", "digit_rate", "mixed_rate",
 )
 _WORD, _STEM, _VEILED, _SECOND, _SHOUTED, _MIXED = 1, 2, 4, 8, 16, 32
@@ -59,12 +62,17 @@ def _unveiled(word: str) -> str:
 
 
 class Features:
-    """Dense features of texts, given the lexicon: words, and stems of STEMS letters."""
+    """Dense features of texts, given the weights of words, and of stems of STEMS letters."""
 
-    def __init__(self, words: frozenset[str], stems: frozenset[str]):
-        self.words, self.stems = words, stems
+    def __init__(self, words: dict[str, float], stems: dict[str, float], cached: int = _CACHE):
+        self.words, self.stems, self.cached = words, stems, cached
         self.codes: dict[str, int] = {}
 
+    def weight(self, token: str) -> float:
+        """The greatest weight of a token's word, stems, and unveiled word."""
+        word = _plain(token)
+        return max([self.words.get(word, 0.0), self.words.get(_unveiled(token), 0.0), *[self.stems.get(word[:n], 0.0) for n in STEMS]])
+
     def _code(self, token: str) -> int:
         word, out = _plain(token), 0
         if word in self.words:
@@ -82,7 +90,7 @@ class Features:
             out |= _SECOND
         if len(word) > 1 and token.isupper():
             out |= _SHOUTED
-        if len(self.codes) < _CACHE:
+        if len(self.codes) < self.cached:
             self.codes[token] = out
         return out
 
@@ -97,10 +105,11 @@ class Features:
         count = np.bincount(codes, minlength=64)
         of = lambda bit: int(count[_WITH[bit]].sum())
         words, stems, veiled, second = of(_WORD), of(_STEM), of(_VEILED), of(_SECOND)
-        hits, near, kinds = words + veiled, 0, 0
+        hits, near, kinds, evidence, strongest = words + veiled, 0, 0, 0.0, 0.0
         if hits + stems:
             at = np.flatnonzero(codes & _HIT)
-            kinds = len({_plain(tokens[i]) for i in at[:2000]})
+            weights = [self.weight(t) for t in {tokens[i] for i in at}]
+            kinds, evidence, strongest = len(weights), sum(weights), max(weights)
             if second:
                 you = np.flatnonzero(codes & _SECOND)
                 k = np.searchsorted(you, at)
@@ -109,7 +118,7 @@ class Features:
         kept = lambda drop: size - len(raw.translate(None, drop))
         per = 100.0 / n
         return [
-            math.log1p(n), float(hits), math.log1p(hits), hits * per, float(kinds), float(stems), stems * per, float(veiled), veiled * per,
+            math.log1p(n), evidence, evidence / math.log2(n + 2), strongest, float(hits), math.log1p(hits), hits * per, float(kinds), float(stems), stems * per, float(veiled), veiled * per,
             float(near), near * per, second * per, kept(_UPPER) / size, of(_SHOUTED) / n, kept(b"!?") / size, kept(_PUNCTUATION) / size,
             kept(b"0123456789") / size, of(_MIXED) / n,
         ]
@@ -204,7 +213,7 @@ def isotonic(raw: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Model:
-    def __init__(self, words: frozenset[str], stems: frozenset[str], trees: Boosted, knots: tuple[np.ndarray, np.ndarray]):
+    def __init__(self, words: dict[str, float], stems: dict[str, float], trees: Boosted, knots: tuple[np.ndarray, np.ndarray]):
         self.words, self.stems, self.trees, self.knots = words, stems, trees, knots
 
     @property
@@ -239,46 +248,60 @@ def sample(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str, text
     return materialize(found.select("text", F.col("y").cast("double").alias("y"), "fold"), "sample")
 
 
-def lexicon(rows: DataFrame) -> tuple[frozenset[str], frozenset[str]]:
-    """Words and stems whose share of positive texts is MIN_ODDS times that of negative ones or more.
+def lexicons(rows: DataFrame) -> dict[int | None, tuple[dict[str, float], dict[str, float]]]:
+    """Weights of words and of stems: under None those of all folds, under a fold those of the others.
 
-    Near copies count once: a text's key counts are taken once per least hash of its words."""
+    A weight is the log of the ratio of a key's shares of positive and of negative texts, less one standard error; keys
+    of a ratio of MIN_ODDS or more are kept. Near copies count once: of the texts that share the least hash of their
+    five-word shingles, each key counts once."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rb in batches:
-            ids, keys, ys = [], [], []
-            for text, y in zip(rb.column(0).to_pylist(), rb.column(1).to_pylist(), strict=True):
-                words = {w for t in set((text or "").split()) if 2 < len(w := _plain(t)) <= 40 and w.isalpha()}
+            ids, keys, ys, folds = [], [], [], []
+            for text, y, own_fold in zip(*[rb.column(i).to_pylist() for i in range(3)], strict=True):
+                every = (text or "").split()
+                words = {w for t in set(every) if 2 < len(w := _plain(t)) <= 40 and w.isalpha()}
                 if not words:
                     continue
                 own = words | {f"{w[:n]}-" for w in words for n in STEMS if len(w) >= n}
-                least = min(xxhash.xxh3_64_intdigest(w) for w in words) - 2**63
+                least = min(xxhash.xxh3_64_intdigest(" ".join(every[i : i + 5])) for i in range(max(1, len(every) - 4))) - 2**63
                 ids += [least] * len(own)
                 keys += own
                 ys += [int(y)] * len(own)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(keys, pa.string()), pa.array(ys, pa.int64())], names=["copy", "key", "y"])
-
-    counted = rows.select("text", "y").mapInArrow(count, "copy bigint, key string, y bigint").distinct()
-    n = rows.groupBy("y").count().collect()
-    total = {int(r["y"]): r["count"] for r in n}
-    pos, neg = F.sum("y"), F.sum(1 - F.col("y"))
-    odds = ((pos + 0.5) / (total.get(1, 0) + 1.0)) / ((neg + 0.5) / (total.get(0, 0) + 1.0))
-    grouped = counted.groupBy("key").agg(pos.alias("pos"), odds.alias("odds"))
-    floor = max(3, total.get(1, 0) // 1000)
-    top = grouped.where((F.col("pos") >= floor) & (F.col("odds") >= MIN_ODDS)).orderBy(F.desc("pos"), "key").limit(LEXICON_SIZE).collect()
-    keys = [r["key"] for r in top]
-    return frozenset(k for k in keys if k[-1] != "-"), frozenset(k[:-1] for k in keys if k[-1] == "-")
+                folds += [int(own_fold)] * len(own)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()), pa.array(keys, pa.string()), pa.array(ys, pa.int32()), pa.array(folds, pa.int32())], names=["copy", "key", "y", "fold"]
+            )
+
+    counted = rows.select("text", "y", "fold").mapInArrow(count, "copy bigint, key string, y int, fold int").distinct()
+    total = {(int(r["y"]), int(r["fold"])): r["count"] for r in rows.groupBy("y", "fold").count().collect()}
+    training = [f for f in range(FOLDS) if f != HELD_OUT]
+    cells = [F.sum(((F.col("y") == y) & (F.col("fold") == f)).cast("int")).alias(f"n{y}_{f}") for y in (0, 1) for f in training]
+    # A key of one text is none: it is not shuffled to the end.
+    grouped = materialize(counted.groupBy("key").agg(F.sum("y").alias("pos"), *cells).where(F.col("pos") >= 2), "keys")
+    out = {}
+    for without in (None, *training):
+        used = [f for f in training if f != without]
+        pos, neg = (sum((F.col(f"n{y}_{f}") for f in used[1:]), F.col(f"n{y}_{used[0]}")) + 0.5 for y in (1, 0))
+        of = lambda y: sum(total.get((y, f), 0) for f in used) + 1.0  # noqa: B023, E731
+        ratio = F.log(pos / of(1)) - F.log(neg / of(0)) - F.sqrt(1 / pos + 1 / neg)
+        top = grouped.select("key", pos.alias("pos"), ratio.alias("w")).where((F.col("pos") > 2) & (F.col("w") >= math.log(MIN_ODDS)))
+        found = {r["key"]: r["w"] for r in top.orderBy(F.desc("w"), "key").limit(LEXICON_SIZE).collect()}
+        out[without] = {k: w for k, w in found.items() if k[-1] != "-"}, {k[:-1]: w for k, w in found.items() if k[-1] == "-"}
+    discard(grouped)
+    return out
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text") -> Model:
     """The model of the training folds' labels. Without a positive and a negative row every score is 0."""
     rows = sample(docs, labels, label_col, id_col, text_col)
-    words, stems = lexicon(rows)
+    every = lexicons(rows)
+    words, stems = every[None]
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features = Features(words, stems)
+        features = {f: Features(*pair, _FIT_CACHE) for f, pair in every.items()}
         for rb in batches:
-            x = [features.one(t) for t in rb.column(0).to_pylist()]
+            x = [features[f].one(t) for t, f in zip(rb.column(0).to_pylist(), rb.column(2).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), rb.column(1), rb.column(2)], names=["x", "y", "fold"])
 
     made = rows.select("text", "y", "fold").mapInArrow(make, T.StructType([T.StructField("x", T.ArrayType(T.DoubleType())), rows.schema["y"], rows.schema["fold"]])).collect()
@@ -304,8 +327,10 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", *, keep: list[s
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model_ = shared.value
         for rb in batches:
-            yield pa.RecordBatch.from_arrays([*rb.columns[: len(keep)], pa.array(shared.value.score(rb.column(len(keep)).to_pylist()))], names=schema.names)
+            yield pa.RecordBatch.from_arrays([*rb.columns[: len(keep)], pa.array(model_.score(rb.column(len(keep)).to_pylist()))], names=schema.names)
+        model_.features.codes.clear()  # the worker that ran this task goes on to others
 
     return docs.select(*columns_of(docs, keep), *columns_of(docs, [text_col])).mapInArrow(run, schema)
 
