@@ -16,7 +16,15 @@ from pyspark.sql import types as T
 _written: dict[str, SparkSession] = {}
 
 
+#: Rows in a batch that goes to Python; the default of 10,000 whole texts is a large part of a small executor.
+BATCH_ROWS = 1_000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the folder. Sets the session's batches to BATCH_ROWS rows, unless they are smaller."""
+    if not 0 < int(spark.conf.get(_BATCH, "10000")) <= BATCH_ROWS:
+        spark.conf.set(_BATCH, BATCH_ROWS)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

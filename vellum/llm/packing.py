@@ -30,7 +30,7 @@ TOKENIZER = "byte_bpe_50k"
 #: Rows in a rank bucket, and the most buckets there are.
 BUCKET_ROWS, MAX_BUCKETS = 2_000, 65_536
 #: Units kept by an encoder, of under 64 characters or so each; units so long that they go to tokenizers.
-CACHED, LONG = 400_000, 4_096
+CACHED, LONG = 250_000, 4_096
 _SHIFT = 40
 
 
