@@ -14,9 +14,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vellum.llm.common import columns_of, table, with_columns_replaced
+from vellum.llm.common import columns_of, materialize, table, with_columns_replaced
 
 SCOPE = 400
+#: Join keys that the rows of one text are dealt to.
+SALTS = 32
 _VALUE = "[A-Za-z0-9+/_.=-]+"
 
 
@@ -73,32 +75,42 @@ def _listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
 
 
-def scan(docs: DataFrame, text_col: str = "text", *, scope: int = SCOPE) -> DataFrame:
+def scan(docs: DataFrame, text_col: str = "text", *, scope: int = SCOPE, keep: list[str] | None = None) -> DataFrame:
     """docs with n_assign, n_access, n_hex (bigint), base_sha256, spans (strings) and found, an array of
     struct<start, end, kind> that holds base and linked spans by start.
 
     A null or empty text has no spans and base_sha256 of ''. Equal texts get equal results; repeated rows stay.
-    Columns named like an added one are replaced. Offsets are code points, ends exclusive.
+    Columns named like an added one are replaced. Offsets are code points, ends exclusive. keep: the columns of docs
+    to carry (all); where the text is not one of them, what the patterns match is written once, else texts are
+    matched twice, so that no text is written.
     """
     added = ["n_assign", "n_access", "n_hex", "base_sha256", "spans", "found"]
-    keep = with_columns_replaced(docs, added)
+    keep = with_columns_replaced(docs, added) if keep is None else keep
     text = F.coalesce(columns_of(docs, [text_col])[0], F.lit(""))
     parts = docs.select(
         *columns_of(docs, keep),
         F.sha2(text.cast("binary"), 256).alias("__h"),
         *[_spans(text, *x).alias(f"__{x[0]}") for x in (*BASE, *WEAK)],
     )
+    if text_col not in keep:
+        parts = materialize(parts, "parts")
     base = F.array_sort(F.concat(*[F.col(f"__{x[0]}") for x in BASE]))
     weak = F.concat(*[F.col(f"__{x[0]}") for x in WEAK])
+    # Only texts with a weak part and a part of another role can link any; the others' join keys are spread.
+    roles = F.array_distinct(F.transform(F.concat(weak, base), lambda x: x["role"]))
+    linkable = (F.size(weak) > 0) & (F.size(roles) > 1)
+    hashed = [c for c in columns_of(docs, keep) if "map" not in docs.select(c).dtypes[0][1]]
+    spread = F.xxhash64(*hashed) if hashed else F.lit(0).cast("long")
+    key = F.when(linkable, F.concat_ws(":", "__h", F.pmod(spread, F.lit(SALTS)))).otherwise(F.concat(F.lit("-"), spread))
     scanned = parts.select(
-        *columns_of(docs, keep), "__h", base.alias("__base"), weak.alias("__weak"),
+        *columns_of(docs, keep), key.alias("__key"), base.alias("__base"), weak.alias("__weak"),
         *[F.size(f"__{x[0]}").cast("long").alias(f"n_{x[0]}") for x in BASE],
     )
-    # Only texts with a weak part and a part of another role can link any.
-    roles = F.array_distinct(F.transform(F.concat(weak, base), lambda x: x["role"]))
-    some = parts.where((F.size(weak) > 0) & (F.size(roles) > 1))
+    some = parts.where(linkable)
     linked = _linked(some.select("__h", base.alias("__base"), weak.alias("__weak")), scope)
-    joined = scanned.join(linked, scanned["__h"] == linked["h"], "left")
+    # A text that many rows hold is one join key: its rows are dealt to SALTS keys, its few links copied to each.
+    linked = linked.withColumn("h", F.explode(F.array(*[F.concat(F.col("h"), F.lit(f":{i}")) for i in range(SALTS)])))
+    joined = scanned.join(linked, scanned["__key"] == linked["h"], "left")
     spans = F.array_sort(F.concat("__base", F.coalesce("__linked", F.array().cast("array<struct<start:bigint,ord:int,end:bigint,kind:string,role:string>>"))))
     return joined.select(
         *columns_of(docs, keep), "n_assign", "n_access", "n_hex",
@@ -118,6 +130,7 @@ def _linked(some: DataFrame, scope: int) -> DataFrame:
         .withColumn("bucket", F.floor(F.col("start") / F.lit(width)))
         .distinct()
     )
+    flat = materialize(flat, "flat")
     least = flat.groupBy("h", "bucket", F.col("role").alias("other")).agg(F.min("start").alias("lo"), F.max("start").alias("hi"))
     asked = flat.where("weak").drop("weak").withColumn("bucket", F.explode(F.array(F.col("bucket") - 1, F.col("bucket"), F.col("bucket") + 1)))
     complement = reduce(lambda a, b: a | b, [(F.col("role") == role) & F.col("other").isin(*others) for role, others in COMPLEMENTS.items()])
@@ -149,7 +162,7 @@ def redact(docs: DataFrame, text_col: str = "text", *, mark: str = "[SECRET]", s
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+    return scan(table(spark, sf_dir, "documents"), keep=["doc_id"]).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
 
 
 def _sql() -> str:
