@@ -34,3 +34,16 @@ def test_compile_decompile_and_text(spark, tmp_path, capsys):
     assert (tmp_path / "one" / "gameSA.ALD").read_bytes() == (tmp_path / "three" / "gameSA.ALD").read_bytes()
     assert cli.main(["text", "extract", two, "--output", str(tmp_path / "m"), "--candidates", str(tmp_path / "c")]) == 0
     assert '"main_entries": 2' in capsys.readouterr().out
+
+
+def test_messages_go_through_the_side_file(spark, tmp_path):
+    src, out, back = tmp_path / "src", tmp_path / "out", tmp_path / "back"
+    src.mkdir()
+    (src / "project.cfg").write_text("hed = s.hed\nald_basename = game\n")
+    (src / "s.hed").write_text("#SYSTEM35\na.adv\n")
+    (src / "a.adv").write_text("!X:1! 'はい' R 'いいえ'\n")
+    assert cli.main(["compile", "-g", "-p", str(src / "project.cfg"), "-o", str(out)]) == 0
+    assert {p.name for p in out.iterdir()} == {"gameSA.ALD", "System39.ain", "gameSA.ALD.symbols"}
+    assert cli.main(["decompile", str(out), "-o", str(back)]) == 0
+    text = (back / "a.adv").read_text()
+    assert "'はい'" in text and "'いいえ'" in text and (back / "variables.txt").read_text().split() == ["X"]

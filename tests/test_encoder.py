@@ -3,8 +3,8 @@
 import pytest
 
 from vellum.lang import opcodes as O
-from vellum.lang.encoder import CompileError, compile_pages, compile_project, number_bytes, variable_bytes
-from vellum.sources.binary import read_page
+from vellum.lang.encoder import CompileError, compile_pages, compile_project, compile_tables, number_bytes, side_file, symbols, variable_bytes
+from vellum.sources.binary import read_ain, read_page, read_symbols, write_ain, write_symbols
 from vellum.sources.project import VERSIONS, Config
 
 
@@ -99,3 +99,19 @@ def test_project(spark):
     frame = spark.createDataFrame([(i, n, t) for i, (n, t) in enumerate(sources)], "page int, name string, text string").repartition(3)
     got = compile_project(frame, config, ["V"]).orderBy("page").collect()
     assert [bytes(r.content) for r in got] == pages and [r.volume for r in got] == [1, 2, 1]
+
+
+def test_side_file_and_symbols(spark):
+    sources = [("a.adv", "!X:1! 'm' \\l: *l:\nA ~f:\n"), ("b.adv", "'n'\n\n**f: 'o' ~0,X:")]
+    config = Config(debug=True)
+    made = compile_tables(spark.createDataFrame([(i, n, t) for i, (n, t) in enumerate(sources)], "page int, name string, text string").repartition(2), config, ["V"])
+    pages, _, messages = compile_pages(sources, Config(), ["V"])
+    assert [bytes(r.content) for r in made.pages.orderBy("page").collect()] == pages
+    ain = read_ain(write_ain(side_file(made, config, {"lib": [("g", [1])]})))
+    assert ain.messages == messages == [b"m", b"n", b"o"] and ain.variables == [b"V", b"X"] and ain.dlls == {b"lib": [(b"g", [1])]}
+    assert ain.functions == [(b"f", 2, 0x26)]
+    told = read_symbols(write_symbols(symbols(made, sources)))
+    assert told.sources == [(n.encode(), t.encode()) for n, t in sources] and told.variables == [b"V", b"X"]
+    assert told.functions == [(b"l", 0, 0x2F, True), (b"f", 1, 0x26, False)]
+    numbers = [int.from_bytes(told.lines[i : i + 4], "little") for i in range(0, len(told.lines), 4)]
+    assert numbers == [2, 2, 1, 0x20, 2, 0x2F, 1, 1, 0x20]  # b.adv has no line end: its last line meets the page's end

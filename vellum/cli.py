@@ -148,12 +148,19 @@ def compile_(args: argparse.Namespace) -> int:
     dlls = {h.rpartition(".")[0]: [] if h.lower().endswith(".dll") else project.read_hel(_read(path(h), encoding)) for h in hed.headers}
     sources = [(i, n, _read(path(n), encoding)) for i, n in enumerate(hed.sources)]
     spark = _session()
-    pages = encoder.compile_project(spark.createDataFrame(sources, "page int, name string, text string"), config, variables, dlls).where("volume > 0")
+    made = encoder.compile_tables(spark.createDataFrame(sources, "page int, name string, text string"), config, variables, dlls)
+    pages = made.pages.where("volume > 0")
     name = F.concat(F.regexp_replace(F.regexp_extract(F.replace("name", F.lit("\\"), F.lit("/")), "([^/]*)$", 1), r"\.[^.]*$", ""), F.lit(".SCO"))
     entries = pages.select((F.col("page") + 1).alias("entry_index"), "volume", name.alias("name"), F.timestamp_seconds(F.lit(0)).alias("mtime"), F.col("content").alias("data"))
     out = path(args.output or config.output_dir or ".")
     for r in archive.encode_ald(entries).toLocalIterator():
         _write(os.path.join(out, f"{os.path.basename(config.ald_basename or 'out')}S{chr(ord('A') + r['volume'] - 1)}.ALD"), r["content"])
+    if config.sys_ver == "3.9":
+        ain = binary.write_ain(encoder.side_file(made, config, dlls), not config.disable_ain_variable)
+        _write(os.path.join(out, os.path.basename((config.output_ain or "System39.ain").replace("\\", "/"))), ain)
+    if config.debug:
+        told = encoder.symbols(made, [(n, t) for _, n, t in sources])
+        _write(os.path.join(out, f"{os.path.basename(config.ald_basename or 'out')}SA.ALD.symbols"), binary.write_symbols(told))
     return 0
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import pickle
 import re
+import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 from vellum.functions import charset
 from vellum.lang import opcodes as O
-from vellum.sources.binary import Page, write_page
+from vellum.sources.binary import Ain, Page, Symbols, write_page
 from vellum.sources.project import Config
 
 
@@ -77,7 +78,10 @@ class Parser:
         self.open_menu = False
         self.branches: list[int] | None = [] if config.sys_ver == "3.5" else None
         self.raw = config.unicode
+        self.line, self.counted = 1, 0
         if first and config.unicode:
+            self.skip()
+            self.line_here()
             self.emit(b"ZU\x41\x7f")
 
     # ---- reading
@@ -136,6 +140,13 @@ class Parser:
         self.marks += 1
         return self.marks
 
+    def line_here(self) -> None:
+        """The line of what follows, for symbols; the line end that was put behind the source does not count."""
+        if self.c.debug:
+            at = min(self.at, len(self.s) - 1)
+            self.line, self.counted = self.line + self.s.count("\n", self.counted, at), at
+            self.part("line", self.line)
+
     # ---- expressions
 
     def expression(self) -> None:
@@ -296,6 +307,7 @@ class Parser:
 
     def command(self) -> bool:
         c = self.peek()
+        self.line_here()
         if not c or c == ">" or c == "}" and not self.branches:
             return False
         if c.isascii() and c.isalpha():
@@ -394,7 +406,9 @@ class Parser:
             self.emit(b"\\" + bytes(4))
             self.expect(":")
         else:
-            self.jump(b"\\")
+            self.emit(b"\\")
+            self.part("addr", self.match(_LABEL, "label"), True)
+            self.expect(":")
 
     def paged(self, code: bytes) -> None:
         self.emit(code)
@@ -638,6 +652,8 @@ class Laid:
     functions: dict[str, int] = field(default_factory=dict)
     holes: list[tuple[int, str]] = field(default_factory=list)  # places of six bytes for (page + 1, address)
     messages: list[bytes] = field(default_factory=list)
+    called: dict[str, int] = field(default_factory=dict)  # labels that calls name
+    lines: list[tuple[int, int]] = field(default_factory=list)  # (line, address), with config.debug
 
 
 def lay_out(unit: Unit, names: Names, page: int, start: int, where: str = "") -> Laid:
@@ -667,6 +683,8 @@ def lay_out(unit: Unit, names: Names, page: int, start: int, where: str = "") ->
                 out.code += number_bytes(names.pages[x[0].lower()])
             elif kind == "addr":
                 refs.append((len(out.code), x[0]))
+                if x[1:]:
+                    out.called[x[0]] = 0
                 out.code += bytes(4)
             elif kind == "mark":
                 if x[0] in labels:
@@ -696,6 +714,13 @@ def lay_out(unit: Unit, names: Names, page: int, start: int, where: str = "") ->
                 size = max(0, x[0] - start)
                 out.code[size:] = b""
                 out.code += bytes(size - len(out.code))
+                out.lines.clear()
+            elif kind == "line":
+                here = start + len(out.code)
+                if out.lines and out.lines[-1][1] == here:
+                    out.lines[-1] = (x[0], here)
+                elif not out.lines or out.lines[-1][0] != x[0]:
+                    out.lines.append((x[0], here))
 
     def function(name: str) -> None:
         if name not in names.functions:
@@ -709,6 +734,8 @@ def lay_out(unit: Unit, names: Names, page: int, start: int, where: str = "") ->
             raise CompileError(f"{where}: undefined label {label!r}")
         if at + 4 <= len(out.code):
             out.code[at : at + 4] = labels[label].to_bytes(4, "little")
+    out.called = {x: labels[x] for x in out.called}
+    del out.lines[-1:]  # the page's end
     return out
 
 
@@ -743,8 +770,24 @@ def compile_pages(sources: list[tuple[str, str]], config: Config, variables: lis
     return pages, names, [m for x in laid for m in x.messages]
 
 
+@dataclass
+class Compiled:
+    """Tables of a compiled project."""
+
+    pages: DataFrame  # (page, name, volume, content); volume 0 is not to be written
+    messages: DataFrame  # (id, page, data), ids as the pages have them
+    functions: DataFrame  # (name, page, addr, own), pages from 0; own: a label of its page that a call names
+    variables: DataFrame  # (id, name)
+    lines: DataFrame  # (page, lines), an array of (line, addr) for each page; empty without config.debug
+
+
 def compile_project(sources: DataFrame, config: Config, variables: list[str] | None = None, dlls: dict | None = None) -> DataFrame:
-    """(page, name, volume, content) of (page, name, text) rows, page 0 first; volume 0 is not to be written.
+    """The pages of compile_tables(). Where config has messages in the side file, their texts are not in them."""
+    return compile_tables(sources, config, variables, dlls).pages
+
+
+def compile_tables(sources: DataFrame, config: Config, variables: list[str] | None = None, dlls: dict | None = None) -> Compiled:
+    """The project of (page, name, text) rows, page 0 first.
 
     Pages are parsed and laid out in parallel. Names are numbered by their first sight in (page, place) order, over the
     table of names alone; what reaches the driver is that table, without texts or code."""
@@ -790,4 +833,49 @@ def compile_project(sources: DataFrame, config: Config, variables: list[str] | N
             pages = [write_page(Page(config.sco_ver, int(p), _head(n, config)[0], fill(pickle.loads(bytes(x)), places.value))) for p, n, x in zip(frame["page"], frame["name"], frame["laid"], strict=True)]
             yield pd.DataFrame({"page": frame["page"], "name": frame["name"], "volume": frame["volume"], "content": pages})
 
-    return placed.select("page", "name", "volume", "laid").mapInPandas(link, "page int, name string, volume int, content binary")
+    def told_by(row) -> object:
+        def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for frame in frames:
+                for p, x in zip(frame["page"], frame["laid"], strict=True):
+                    yield row(int(p), pickle.loads(bytes(x)))
+
+        return run
+
+    def messages(p: int, x: Laid) -> pd.DataFrame:
+        first = shared.value.messages[p]
+        return pd.DataFrame([(first + i, p, m) for i, m in enumerate(x.messages)], columns=["id", "page", "data"])
+
+    def functions(p: int, x: Laid) -> pd.DataFrame:
+        return pd.DataFrame([(n, p, a, own) for own, known in ((True, x.called), (False, x.functions)) for n, a in known.items()], columns=["name", "page", "addr", "own"])
+
+    def lines(p: int, x: Laid) -> pd.DataFrame:
+        return pd.DataFrame({"page": [p], "lines": [[{"line": n, "addr": a} for n, a in x.lines]]})
+
+    laid = placed.select("page", "laid")
+    return Compiled(
+        placed.select("page", "name", "volume", "laid").mapInPandas(link, "page int, name string, volume int, content binary"),
+        laid.mapInPandas(told_by(messages), "id bigint, page int, data binary"),
+        laid.mapInPandas(told_by(functions), "name string, page int, addr bigint, own boolean"),
+        spark.createDataFrame([(i, v) for v, i in names.variables.items()], "id int, name string"),
+        laid.mapInPandas(told_by(lines), "page int, lines array<struct<line:int,addr:bigint>>"),
+    )
+
+
+def side_file(made: Compiled, config: Config, dlls: dict | None = None) -> Ain:
+    """What the system reads beside the pages of version 3.9: its form is one file, so it comes to the driver."""
+    text = lambda x: x.encode() if config.unicode else charset.encode(x, b"?")
+    return Ain(
+        config.ain_magic, config.ain_version, {text(d): [(text(f), list(types)) for f, types in fs] for d, fs in (dlls or {}).items()},
+        [(text(r["name"]), r["page"] + 1, r["addr"]) for r in made.functions.where("not own").orderBy("page", "addr").collect()],
+        [text(r["name"]) for r in made.variables.orderBy("id").collect()], [bytes(r["data"]) for r in made.messages.orderBy("id").collect()],
+    )
+
+
+def symbols(made: Compiled, sources: list[tuple[str, str]]) -> Symbols:
+    """Symbols of a project compiled with config.debug, from the (name, text) of its pages in order."""
+    told = [[(x["line"], x["addr"]) for x in r["lines"]] for r in made.lines.orderBy("page").collect()]
+    return Symbols(
+        [(n.encode(), t.encode()) for n, t in sources], [(r["name"].encode(), r["page"], r["addr"], r["own"]) for r in made.functions.orderBy("page", "addr", F.desc("own"), "name").collect()],
+        [r["name"].encode() for r in made.variables.orderBy("id").collect()],
+        struct.pack("<I", len(told)) + b"".join(struct.pack(f"<{2 * len(x) + 1}I", len(x), *[n for pair in x for n in pair]) for x in told),
+    )
