@@ -1,7 +1,7 @@
 r"""Secret scans by multipart credential linking, in DataFrame functions only.
 
-Base spans are what the fixed patterns match. The method adds weak parts (identifiers, short or standalone
-secrets, endpoints): each is reported only where a complementary part starts within SCOPE code points of it,
+Base spans are what the fixed patterns match. The method adds weak parts (identifiers, short, standalone, keyed or
+bearer secrets, endpoints): each is reported only where a complementary part starts within SCOPE code points of it,
 in the same text. Parts meet in an interval join: a part's scope covers its own bucket of SCOPE + 1 code points
 and the next on either side, and each bucket is first reduced to the least and the greatest start of each role,
 so a bucket of many parts makes no pairs.
@@ -30,17 +30,27 @@ def _assigned(words: list[str], value: str) -> str:
     return "(" + "|".join(map(_any_case, words)) + ")" + r"""["']?[ ]*[:=][ ]*["']?""" + f"({value})"
 
 
+_TOKEN = "[A-Za-z0-9+/_-]"
+_KEYED = ["password", "passwd", "secret", "token", "api_?key"]
 #: kind, pattern, group whose length counts, least length, role. In the order that spans of one start are listed.
 BASE = (
-    ("assign", _assigned(["password", "passwd", "secret", "token", "api_?key"], _VALUE), 2, 8, "secret"),
+    ("assign", _assigned(_KEYED, _VALUE), 2, 8, "secret"),
     ("access", "AKIA[A-Z0-9]+", 0, 16, "identifier"),
     ("hex", "[0-9a-f]{32,}", 0, 32, "secret"),
 )
-WEAK = (
+_FIRST = (
     ("identifier", _assigned(["access_?key_?id", "client_?id", "user_?name", "user_?id", "account"], "[A-Za-z0-9@._-]+"), 2, 3, "identifier"),
     ("weak", _assigned(["pass_?phrase", "pwd", "access_?key", "auth", "credential", "bearer"], _VALUE), 2, 6, "secret"),
     ("endpoint", "[a-z][a-z0-9+]*://[A-Za-z0-9._~:/?#@!$&()*+,;=%-]+", 0, 8, "endpoint"),
 )
+WEAK = (
+    *_FIRST,
+    ("short", _assigned(_KEYED, "[A-Za-z0-9+/_.=-]{1,7}(?![A-Za-z0-9+/_.=-])"), 2, 3, "secret"),
+    # Letters of both cases and digits stand for a high entropy.
+    ("standalone", f"(?<!{_TOKEN})(?={_TOKEN}{{32}})(?={_TOKEN}*[a-z])(?={_TOKEN}*[A-Z])(?={_TOKEN}*[0-9])[A-Za-z0-9]{_TOKEN}+={{0,2}}", 0, 32, "secret"),
+    ("key", "(?<![A-Za-z0-9_-])[A-Za-z0-9][A-Za-z0-9_-]*(?:(?<![Aa][Pp][Ii])(?<![Aa][Cc][Cc][Ee][Ss][Ss])_|-)[Kk][Ee][Yy]" + rf"""["']?[ ]*[:=][ ]*["']?({_VALUE})""", 1, 6, "secret"),
+    ("bearer", "(?<![A-Za-z0-9_])[Bb][Ee][Aa][Rr][Ee][Rr][ ]+([A-Za-z0-9+/_.~=-]+)", 1, 6, "secret"),
+)
 KINDS = tuple(x[0] for x in (*BASE, *WEAK))
 #: The roles that make a weak part of a role worth reporting.
 COMPLEMENTS = {"identifier": ("secret",), "secret": ("identifier", "endpoint"), "endpoint": ("secret",)}
@@ -166,11 +176,12 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sql() -> str:
+    """As it was before WEAK had more than _FIRST; the tables at hand have no part that the others would link."""
     q = lambda p: "'" + p.replace("'", "''") + "'"
     one = "\n  UNION ALL\n  ".join(
-        f"""SELECT d, {KINDS.index(kind)} AS ord, '{kind}' AS kind, '{role}' AS role, {kind in [w[0] for w in WEAK]} AS weak, unnest(range(1, len(whole) + 1)) AS i, {least} AS least, whole, value, between
+        f"""SELECT d, {KINDS.index(kind)} AS ord, '{kind}' AS kind, '{role}' AS role, {kind in [w[0] for w in _FIRST]} AS weak, unnest(range(1, len(whole) + 1)) AS i, {least} AS least, whole, value, between
     FROM (SELECT d, regexp_extract_all(t, {q(p)}, 0) AS whole, regexp_extract_all(t, {q(p)}, {group}) AS value, regexp_split_to_array(t, {q(p)}) AS between FROM docs)"""
-        for kind, p, group, least, role in (*BASE, *WEAK)
+        for kind, p, group, least, role in (*BASE, *_FIRST)
     )
     complement = " OR ".join(f"(a.role = '{r}' AND b.role IN ({', '.join(map(q, others))}))" for r, others in COMPLEMENTS.items())
     return f"""
