@@ -84,6 +84,19 @@ def test_short_standalone_keyed_and_bearer_secrets_are_linked(spark):
     assert secret_scan.redact(frame(spark, texts[:2])).where("text like '%abc123%' or text like '%wJalr%'").count() == 0
 
 
+def test_long_parts_do_not_use_up_the_scope(spark):
+    rng = np.random.default_rng(4)
+    texts = ["auth=" + "x" * 450 + " client_id=abc123", "client_id=abc123" + " " * 400 + "auth=" + "x" * 900 + " " * 401 + "user_id=abc123"]
+    parts = ["client_id=abc123", "auth=" + "q" * 300, "https://h.example/" + "p" * 90, "words", " " * 100]
+    texts += [" ".join(rng.choice(parts, rng.integers(1, 20))) for _ in range(40)]
+    got = [r.spans for r in secret_scan.scan(frame(spark, texts), gaps=True).orderBy("doc_id").collect()]
+    for text, listed in zip(texts, got, strict=True):
+        found = [(m.start(), o, m.end(), kind, role) for o, (kind, pattern, group, least, role) in enumerate((*secret_scan.BASE, *secret_scan.WEAK)) for m in re.finditer(pattern, text) if len(m[group]) >= least]
+        near = lambda x: any(y[4] in secret_scan.COMPLEMENTS[x[4]] and max(y[0] - x[2], x[0] - y[2]) <= 400 for y in found)  # noqa: B023, E731
+        assert listed == ",".join(f"{k}:{a}:{b}" for a, _, b, k, _ in sorted(filter(near, found)))
+    assert got[0] == "weak:0:455,identifier:456:472" and [x.split(":")[0] for x in got[1].split(",")] == ["identifier", "weak"]
+
+
 def test_scan_of_nothing_and_redaction(spark):
     assert secret_scan.scan(frame(spark, [])).count() == 0
     docs = spark.createDataFrame([(1, "é token=abcdefgh é", "n", 1), (2, "clean", "n", 5), (3, None, None, None), (3, "x", "n", 1)], "doc_id bigint, text string, found string, n_chars bigint")

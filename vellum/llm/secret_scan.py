@@ -1,10 +1,10 @@
 r"""Secret scans by multipart credential linking, in DataFrame functions only.
 
 Base spans are what the fixed patterns match. The method adds weak parts (identifiers, short, standalone, keyed or
-bearer secrets, endpoints): each is reported only where a complementary part starts within SCOPE code points of it,
-in the same text. Parts meet in an interval join: a part's scope covers its own bucket of SCOPE + 1 code points
-and the next on either side, and each bucket is first reduced to the least and the greatest start of each role,
-so a bucket of many parts makes no pairs.
+bearer secrets, endpoints): each is reported only where at most SCOPE code points lie between it and a
+complementary part of the same text (gaps, as the queries have it), or between their starts. Parts meet in an interval
+join: a part and its scope are dealt to the buckets of SCOPE + 1 code points that they cover, and each bucket is first
+reduced to the least start and the greatest end of each role, so a bucket of many parts makes no pairs.
 """
 
 from __future__ import annotations
@@ -85,12 +85,13 @@ def _listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
 
 
-def scan(docs: DataFrame, text_col: str = "text", *, scope: int = SCOPE, keep: list[str] | None = None) -> DataFrame:
+def scan(docs: DataFrame, text_col: str = "text", *, scope: int = SCOPE, keep: list[str] | None = None, gaps: bool = False) -> DataFrame:
     """docs with n_assign, n_access, n_hex (bigint), base_sha256, spans (strings) and found, an array of
     struct<start, end, kind> that holds base and linked spans by start.
 
     A null or empty text has no spans and base_sha256 of ''. Equal texts get equal results; repeated rows stay.
-    Columns named like an added one are replaced. Offsets are code points, ends exclusive. keep: the columns of docs
+    Columns named like an added one are replaced. Offsets are code points, ends exclusive. gaps: scope is counted from
+    a part's end to the next one's start, not from start to start. keep: the columns of docs
     to carry (all); where the text is not one of them, what the patterns match is written once, else texts are
     matched twice, so that no text is written.
     """
@@ -117,7 +118,7 @@ def scan(docs: DataFrame, text_col: str = "text", *, scope: int = SCOPE, keep: l
         *[F.size(f"__{x[0]}").cast("long").alias(f"n_{x[0]}") for x in BASE],
     )
     some = parts.where(linkable)
-    linked = _linked(some.select("__h", base.alias("__base"), weak.alias("__weak")), scope)
+    linked = _linked(some.select("__h", base.alias("__base"), weak.alias("__weak")), scope, gaps)
     # A text that many rows hold is one join key: its rows are dealt to SALTS keys, its few links copied to each.
     linked = linked.withColumn("h", F.explode(F.array(*[F.concat(F.col("h"), F.lit(f":{i}")) for i in range(SALTS)])))
     joined = scanned.join(linked, scanned["__key"] == linked["h"], "left")
@@ -130,30 +131,28 @@ def scan(docs: DataFrame, text_col: str = "text", *, scope: int = SCOPE, keep: l
     )
 
 
-def _linked(some: DataFrame, scope: int) -> DataFrame:
-    """(h, __linked): the weak parts of each text that a complementary part's start is within scope of."""
+def _linked(some: DataFrame, scope: int, gaps: bool) -> DataFrame:
+    """(h, __linked): the weak parts of each text that a complementary part is within scope of."""
     width = scope + 1
     both = F.concat(F.transform("__base", lambda x: F.struct(F.lit(False).alias("weak"), x.alias("s"))), F.transform("__weak", lambda x: F.struct(F.lit(True).alias("weak"), x.alias("s"))))
-    flat = (
-        some.select(F.col("__h").alias("h"), F.explode(both).alias("p"))
-        .select("h", "p.weak", "p.s.*")
-        .withColumn("bucket", F.floor(F.col("start") / F.lit(width)))
-        .distinct()
-    )
+    flat = some.select(F.col("__h").alias("h"), F.explode(both).alias("p")).select("h", "p.weak", "p.s.*").distinct()
     flat = materialize(flat, "flat")
-    least = flat.groupBy("h", "bucket", F.col("role").alias("other")).agg(F.min("start").alias("lo"), F.max("start").alias("hi"))
-    asked = flat.where("weak").drop("weak").withColumn("bucket", F.explode(F.array(F.col("bucket") - 1, F.col("bucket"), F.col("bucket") + 1)))
+    till = F.col("end") if gaps else F.col("start")
+    buckets = lambda a, b: F.explode(F.sequence(F.floor(a / F.lit(width)), F.floor(b / F.lit(width))))
+    # Of two others in a bucket, one before and one behind a part's scope, the scope would have to fit between: it is wider than a bucket.
+    least = flat.withColumn("bucket", buckets(F.col("start"), till)).groupBy("h", "bucket", F.col("role").alias("other")).agg(F.min("start").alias("lo"), F.max(till).alias("hi"))
+    asked = flat.where("weak").drop("weak").withColumn("bucket", buckets(F.greatest(F.col("start") - scope, F.lit(0)), till + scope))
     complement = reduce(lambda a, b: a | b, [(F.col("role") == role) & F.col("other").isin(*others) for role, others in COMPLEMENTS.items()])
-    near = (F.col("lo") <= F.col("start") + scope) & (F.col("hi") >= F.col("start") - scope)
+    near = (F.col("lo") <= till + scope) & (F.col("hi") >= F.col("start") - scope)
     met = asked.join(least, ["h", "bucket"]).where(complement & near)
     return met.groupBy("h").agg(F.collect_set(F.struct("start", "ord", "end", "kind", "role")).alias("__linked"))
 
 
-def redact(docs: DataFrame, text_col: str = "text", *, mark: str = "[SECRET]", scope: int = SCOPE) -> DataFrame:
+def redact(docs: DataFrame, text_col: str = "text", *, mark: str = "[SECRET]", scope: int = SCOPE, gaps: bool = True) -> DataFrame:
     """docs, their columns as they were, with every span that scan() finds replaced by mark, and n_chars (if there
     is one) counted anew. Overlapping spans are one. Texts without spans, nulls included, stay untouched."""
     names, types = docs.columns, dict(docs.dtypes)
-    found = scan(docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)]), f"c{names.index(text_col)}", scope=scope)
+    found = scan(docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)]), f"c{names.index(text_col)}", scope=scope, gaps=gaps)
     text = F.col(f"c{names.index(text_col)}")
     start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
 
@@ -172,11 +171,11 @@ def redact(docs: DataFrame, text_col: str = "text", *, mark: str = "[SECRET]", s
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan(table(spark, sf_dir, "documents"), keep=["doc_id"]).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+    return scan(table(spark, sf_dir, "documents"), keep=["doc_id"], gaps=True).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
 
 
 def _sql() -> str:
-    """As it was before WEAK had more than _FIRST; the tables at hand have no part that the others would link."""
+    """Kinds of _FIRST only, and scope from start to start; op1_secret_scan also has what lies beyond."""
     q = lambda p: "'" + p.replace("'", "''") + "'"
     one = "\n  UNION ALL\n  ".join(
         f"""SELECT d, {KINDS.index(kind)} AS ord, '{kind}' AS kind, '{role}' AS role, {kind in [w[0] for w in _FIRST]} AS weak, unnest(range(1, len(whole) + 1)) AS i, {least} AS least, whole, value, between
