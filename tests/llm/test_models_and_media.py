@@ -35,6 +35,20 @@ def test_ids_are_those_of_tokenizers():
             assert [np.frombuffer(x, "<u4").tolist() for x in got] == [told.encode(t or "", add_special_tokens=False).ids for t in TEXTS]
 
 
+def test_ids_with_added_tokens_are_those_of_unchanged_tokenizers(spark):
+    import public_tokenizers
+
+    told = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = [*TEXTS, "first <|endoftext|> second", "<|endoftext|>", "x<|endoftext|><|endoftext|> y", "<|endoftext| >"]
+    want = [told.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert want[len(TEXTS)] == [11085, 220, 50256, 1218]
+    own = packing.encoder()
+    for _ in range(2):
+        assert [np.frombuffer(x, "<u4").tolist() for x in own.batch([t or "" for t in texts])] == want
+    rows = packing.token_pieces(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").where("doc_id = 18"), capacity=100, with_ids=True).collect()
+    assert rows[0].ids == [11085, 220, 50256, 1218, 2]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.dictionaries(st.integers(1, 60), st.integers(1, 50), max_size=30))
 def test_plan_uses_each_length_as_often_as_it_counts(counts):

@@ -11,6 +11,7 @@ counted in hashed buckets whose sizes are added up, so a length that a third of
 from __future__ import annotations
 
 import base64
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -44,10 +45,11 @@ class Encoder:
     The pre-tokenizer never joins a character to a space on its right, so a text without two white spaces
     around a space is the sequence of its units, each with the space before it. Units not met before are encoded
     together, a batch of texts at a time, and the first CACHED of them are kept. Other texts are encoded whole.
-    Special tokens' strings are ordinary text.
+    added: texts that hold an added token's string go to tokenizers whole, which makes it that token; else such strings
+    are ordinary text.
     """
 
-    def __init__(self, name: str = TOKENIZER, folder: str | None = None, cached: int = CACHED):
+    def __init__(self, name: str = TOKENIZER, folder: str | None = None, cached: int = CACHED, added: bool = False):
         import public_tokenizers as P
         import tiktoken
 
@@ -62,6 +64,11 @@ class Encoder:
         self._path = path(f"{name}.json")
         self._units: dict[str, bytes] = {}
         self._cached = cached
+        self._added = None
+        if added:
+            with open(self._path, encoding="utf-8") as f:
+                strings = [x["content"] for x in json.load(f).get("added_tokens", [])]
+            self._added = re.compile("|".join(map(re.escape, strings))) if strings else None
 
     @lru_cache(maxsize=1)  # noqa: B019
     def _slow(self):
@@ -71,6 +78,12 @@ class Encoder:
         out.encode_special_tokens = True
         return out
 
+    @lru_cache(maxsize=1)  # noqa: B019
+    def _told(self):
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self._path)
+
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self._bpe.encode_ordinary(text), "<u4")
 
@@ -99,6 +112,16 @@ class Encoder:
             at = end
 
     def batch(self, texts: list[str]) -> list[bytes]:
+        if self._added:
+            held = [i for i, x in enumerate(texts) if self._added.search(x)]
+            if held:
+                out = self._batch(["" if self._added.search(x) else x for x in texts])
+                for i in held:
+                    out[i] = np.array(self._told().encode(texts[i], add_special_tokens=False).ids, "<u4").tobytes()
+                return out
+        return self._batch(texts)
+
+    def _batch(self, texts: list[str]) -> list[bytes]:
         known = self._units
         split = [None if "  " in x or self._edge.search(x) else x.split(" ") for x in texts]
         new = list(set().union(*[x[1:] for x in split if x]) - known.keys())
@@ -115,7 +138,8 @@ class Encoder:
 
 @lru_cache(maxsize=2)
 def encoder(name: str = TOKENIZER, folder: str | None = None) -> Encoder:
-    return Encoder(name, folder)
+    """Ids as tokenizers has them by default, with its added tokens."""
+    return Encoder(name, folder, added=True)
 
 
 def cuts(n: int, capacity: int) -> list[tuple[int, int]]:
