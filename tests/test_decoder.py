@@ -81,3 +81,15 @@ def test_project(spark):
     back = compile_project(texts.select("page", "name", "text"), told)
     assert {(r.page, bytes(r.content), r.volume) for r in back.collect()} == {(r.page, bytes(r.content), r.volume) for r in compiled.collect()}
     assert [r.page for r in D.missing_pages(texts.where("page <> 1")).collect()] == [1]
+
+
+def test_chains_of_calls_are_followed_to_their_end(spark, monkeypatch):
+    monkeypatch.setattr(D, "MAX_ROUNDS", 1, raising=False)  # the bound that there was
+    config = lambda: Config(sys_ver="3.8", disable_ain_message=True)
+    sources = [("p0.adv", "!X:1! ~f1:"), *[(f"p{i}.adv", f"@end: **f{i}: 'deep{i}' ~f{i + 1}: ~0,X: *end: A") for i in (1, 2)], ("p3.adv", "@end: **f3: 'deep3' ~0,X: *end: A")]
+    pages, _, _ = compile_pages(sources, config())
+    texts, _ = D.decompile_pages(pages, config())
+    assert all(f"'deep{i}'" in texts[i] for i in (1, 2, 3))
+    rows = spark.createDataFrame([(bytearray(p), 1) for p in pages], "content binary, volume int")
+    told, _ = D.decompile_project(rows, config())
+    assert [r.text.count(f"'deep{r.page}'") for r in told.orderBy("page").collect()] == [0, 1, 1, 1]

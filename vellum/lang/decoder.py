@@ -20,7 +20,6 @@ from vellum.lang import opcodes as O
 from vellum.sources.binary import Page, read_page
 from vellum.sources.project import Config
 
-MAX_ROUNDS = 1_000
 _BINARY = {int(v, 16): k for k, v in O.OPERATORS.items() if len(v) == 2}
 _EXTRA = {int(v[2:], 16): k for k, v in O.OPERATORS.items() if len(v) == 4}
 _RANK = {op: len(O.LEVELS) - k for k, ops in enumerate(O.LEVELS) for op in ops}
@@ -496,7 +495,7 @@ def decompile_pages(contents: list[bytes], config: Config, names: Names | None =
         config.unicode = True
     walkers = {p.page: Walker(p, _start(p), config, names) for p in pages}
     seen: set[tuple[int, int]] = set(names.functions)
-    for _ in range(MAX_ROUNDS):
+    while True:
         for p, a in seen:
             if p in walkers:
                 walkers[p].follow([a])
@@ -531,7 +530,7 @@ def decompile_project(pages: DataFrame, config: Config, names: Names | None = No
         places.setdefault(p, set()).add(a)
     with_else = float(config.sys_ver) >= 3.8
     fresh: set[int] | None = None
-    for _ in range(MAX_ROUNDS):
+    while True:
         known = spark.sparkContext.broadcast((places, fresh))
 
         def look(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
