@@ -225,8 +225,8 @@ def text_media(docs: DataFrame, text_col: str = "text", out: str = "media") -> D
 
 
 def text_media_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Stores each text as an image, reads the stored bytes back, and gives the digests and features of both; one
-    pass, as the stored bytes of a large corpus are as many as its texts'."""
+    """Encodes each text as an image, decodes those bytes in memory, and gives the digests and features of both; one
+    pass, in which no image or tile is stored: text_media() and media_features() make the columns that are."""
     ddl = "n_bytes bigint, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string"
     schema = T.StructType([docs.schema[id_col], *T.StructType.fromDDL(ddl).fields])
 
