@@ -104,7 +104,7 @@ def test_neighbours(spark):
     rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(0, x[0].tolist())]
     bad = [(None, x[0].tolist()), (1000, None), (1001, [0.0] * 12), (1002, [float("nan")] + [1.0] * 11), (1003, []), (1004, [None] + [1.0] * 11), (1020, [1.0, 2.0])]
     frame = spark.createDataFrame(rows + bad, "vec_id bigint, embedding array<float>")
-    got = neighbours.nearest(frame, F.col("id") % 20 == 0, k=10, shard_rows=150, block_rows=8).toPandas()
+    got = neighbours.nearest(frame, F.col("id") % 20 == 0, k=10, shard_rows=150, block_visits=8).toPandas()
     hits = 0
     for q in range(0, 600, 20):
         scores = (x.astype(float) * x[q].astype(float)).sum(1)
@@ -120,6 +120,36 @@ def test_neighbours(spark):
     assert neighbours.nearest(frame.limit(0), F.col("id") % 20 == 0).count() == 0
 
 
+def test_neighbours_of_a_table_stop_before_they_have_seen_it(spark):
+    base = "/root/testdata/sf0.1"
+    rows = pd.read_parquet(f"{base}/embeddings.parquet")
+    x, ids = np.stack(rows.embedding).astype(float), rows.vec_id.to_numpy()
+    got = neighbours.nearest(spark.read.parquet(f"{base}/embeddings.parquet"), F.col("id") % 20 == 0, shard_rows=500).toPandas()
+    hits = 0
+    for i in np.flatnonzero(ids % 20 == 0):
+        scores = x @ x[i]
+        scores[i] = -np.inf
+        hits += len(set(ids[np.lexsort((ids, -scores))[:20]]) & set(got[got.query_id == ids[i]].vec_id))
+    assert hits >= 0.9 * len(got) and len(got) == 20 * (ids % 20 == 0).sum()
+    assert got.drop_duplicates("query_id").verified.mean() < 0.6 * len(rows)
+
+
+def test_neighbours_of_hot_vectors_and_repeated_ids(spark):
+    rng = np.random.default_rng(3)
+    hot = rng.standard_normal(6).astype(np.float32).tolist()
+    rows = [(i, hot) for i in range(400)] + [(i, rng.standard_normal(6).astype(np.float32).tolist()) for i in range(400, 700)]
+    rows += [(20, rng.standard_normal(6).astype(np.float32).tolist()), (900, [1.0] * 3), (901, [2.0] * 3), (920, [1.0] * 4)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").withColumn("id", F.lit("x")).withColumn("shard", F.lit(1))
+    got = neighbours.nearest(frame, F.col("id") % 20 == 0, k=5, shard_rows=64).toPandas()
+    h = np.array(hot, float)
+    best = sorted([(-float(np.array(v, float) @ h), i) for i, v in rows if len(v) == 6 and i != 0])[:5]
+    own = got[got.query_id == 0].sort_values("rank")
+    assert own.vec_id.tolist() == [i for _, i in best] and np.allclose(own.score, [-s for s, _ in best])
+    assert len(got[got.query_id == 20]) == 10 and 20 not in got[got.query_id == 20].vec_id.tolist()  # two vectors, a ranking each
+    assert got[got.query_id == 900].vec_id.tolist() == [901] and 920 not in set(got.query_id)
+    assert set(got.groupby("query_id").size()) == {5, 10, 1}
+
+
 # ---- classifiers
 
 
