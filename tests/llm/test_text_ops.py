@@ -133,15 +133,49 @@ def test_line_dedup(spark, limit):
 
 
 def test_runs_add_up_and_tell_unseen_lines(spark):
-    runs = line_dedup.LineRuns(spark, fanout=2)
+    runs = line_dedup.LineRuns(spark, fanout=2, buckets=3)
     batch = lambda *rows: spark.createDataFrame(rows, "k1 bigint, k2 bigint, n_docs bigint")
     runs.add(batch((1, 1, 2), (2, 2, 1)))
     assert runs.unseen(batch((1, 1, 1), (3, 3, 1))).count() == 1
     runs.add(batch((1, 1, 2), (3, 3, 1)))
-    runs.add(batch((1, 1, 6), (2, 2, 1)))
-    assert len(runs.levels) == 2 and [len(x) for x in runs.levels] == [1, 1]
-    assert [tuple(r) for r in runs.frequent(10).collect()] == [(1, 1)]
+    runs.add(batch((1, 1, 6), (2, 2, 1), (4, 4, 10), (3, 3, 4), (3, 3, 4)))
+    assert [len(x) for x in runs.lines] == [1, 1]
+    every = [r.k1 for level in runs.lines for run in level for r in run.collect()]
+    assert sorted(every) == [1, 2, 3, 4]  # a line starts once
+    assert sorted(r.k1 for r in runs.frequent(10).collect()) == [1, 4] and sorted(r.k1 for r in runs.frequent(9).collect()) == [1, 3, 4]
     runs.close()
+    assert not spark.catalog.listTables()
+
+
+def test_the_anti_join_decides(spark, monkeypatch):
+    """Without it, lines start again in every batch and their counts no longer add up."""
+    docs = frame(spark, [f"shared\nown {i}" for i in range(40)])
+    hot = lambda: line_dedup.frequent_lines(docs, min_docs=30, batches=4).count()
+    assert hot() == 1
+    monkeypatch.setattr(line_dedup.LineRuns, "unseen", lambda self, batch: batch)
+    assert hot() == 0
+
+
+def test_runs_are_merged_in_their_stored_order(spark):
+    from vellum.llm.common import stored_order
+
+    runs = line_dedup.LineRuns(spark, fanout=3, buckets=3)
+    rows = lambda a: spark.range(a, a + 50).selectExpr("id AS k1", "id AS k2", "1L AS n_docs")
+    runs.add(rows(0))
+    runs.add(rows(25))
+    with stored_order(spark):
+        whole = runs._write(rows(60))
+        plan = runs.unseen(whole)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 2 and "Exchange" not in plan and "Sort [" not in plan
+    runs.close()
+
+
+@pytest.mark.parametrize("limit", [1000, 0])
+def test_line_dedup_keeps_columns_of_any_name(spark, limit):
+    names = ["h", "k1", "t", "own", "hot", "c0", "batch", "__h", "__hot", "n_docs"]
+    docs = spark.createDataFrame([(f"a\n{i}", *range(len(names))) for i in range(4)], "text string, " + ", ".join(f"`{n}` int" for n in names))
+    rows = line_dedup.dedup_lines(docs, min_docs=3, max_broadcast=limit).collect()
+    assert sorted(r.text for r in rows) == ["0", "1", "2", "3"] and all([r[n] for n in names] == list(range(len(names))) for r in rows)
 
 
 def test_min_chars_counts_code_points():

@@ -7,6 +7,7 @@ import os
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -29,9 +30,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def work_dir(spark: SparkSession) -> str:
-    """The shared folder that the cluster names; only where none is set (tests) a temporary one."""
+    """The shared folder that the cluster names in spark.checkpoint.dir; without one, a temporary folder, on a local
+    master only: a cluster's machines do not share it."""
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
         folder = "file://" + os.path.join(tempfile.gettempdir(), "checkpoints")
     return f"{folder.rstrip('/')}/vellum"
 
@@ -106,6 +110,43 @@ def map_batches(
     return df.select(*columns).mapInArrow(run, schema)
 
 
+_SORTED = "spark.sql.legacy.bucketedTableScan.outputOrdering"
+
+
+@contextmanager
+def stored_order(spark: SparkSession) -> Iterator[None]:
+    """Tables of sorted_table() are read in their order by what runs inside; the session's setting comes back."""
+    before = spark.conf.get(_SORTED, None)
+    spark.conf.set(_SORTED, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_SORTED) if before is None else spark.conf.set(_SORTED, before)
+
+
+def sorted_table(rows: DataFrame, label: str, keys: list[str], buckets: int, *, dealt: bool = False) -> DataFrame:
+    """rows written as a bucketed table in the shared folder, one sorted file a bucket, and read again. dealt: rows
+    come by bucket already, so that nothing is exchanged."""
+    spark = rows.sparkSession
+    path, name = new_path(spark, label), f"vellum_{uuid.uuid4().hex}"
+    dealt_rows = rows if dealt else rows.repartition(buckets, *keys)
+    dealt_rows.write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path).format("parquet").saveAsTable(name)
+    read = spark.table(name)
+    read._vellum_path, read._vellum_table = path, name  # noqa: SLF001
+    return read
+
+
+def unsorted(df: DataFrame) -> DataFrame:
+    """A sorted_table() read as plain files. Unions must read it so: Spark 4.1 takes a union of bucketed scans for
+    bucketed itself and leaves out the exchange that an aggregation over it needs, which gives wrong sums."""
+    return df.sparkSession.read.schema(df.schema).parquet(df._vellum_path)  # noqa: SLF001
+
+
+def drop_table(df: DataFrame) -> None:
+    df.sparkSession.sql(f"DROP TABLE IF EXISTS {df._vellum_table}")  # noqa: SLF001
+    discard(df)
+
+
 def with_columns_replaced(df: DataFrame, added: Iterable[str]) -> list[str]:
     """Names of df's columns that no added column replaces (names compare without case, as Spark does)."""
     taken = {x.lower() for x in added}
