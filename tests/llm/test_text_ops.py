@@ -105,6 +105,27 @@ def test_scan_of_nothing_and_redaction(spark):
     assert sorted(map(str, [tuple(r) for r in out.collect()])) == sorted(map(str, [(1, "é [SECRET] é", "n", 12), (2, "clean", "n", 5), (3, None, None, None), (3, "x", "n", 1)]))
 
 
+def test_scan_keeps_columns_of_any_name(spark):
+    names = ["h", "__h", "__key", "__base", "__linked", "c0", "salt", "hot", "base", "weak", "assign", "every"]
+    docs = spark.createDataFrame([("token=abcdefgh client_id=abc123", *range(len(names))), (None, *range(len(names)))], "text string, " + ", ".join(f"`{n}` int" for n in names))
+    for keep in (None, names):
+        rows = secret_scan.scan(docs, keep=keep).collect()
+        assert sorted(r.spans for r in rows) == ["", "assign:0:14,identifier:15:31"] and all([r[n] for n in names] == list(range(len(names))) for r in rows)
+    assert secret_scan.redact(docs).columns == docs.columns
+
+
+def test_many_matches_and_hot_texts(spark):
+    n = 30_000
+    long = "é token=abcdefgh client_id=abc123 " * n
+    rows = secret_scan.scan(frame(spark, [long, "x"])).orderBy("doc_id").collect()
+    assert rows[0].n_assign == n and len(rows[0].found) == 2 * n and rows[0].found[-1].end == len(long) - 1
+    out = secret_scan.redact(frame(spark, [long, "x"])).orderBy("doc_id").collect()
+    assert out[0].text == "é [SECRET] [SECRET] " * n and out[1].text == "x"
+    hot = spark.range(3_000).selectExpr("id AS doc_id", "IF(id % 3 = 0, concat('n', id), 'client_id=abc123 auth: qwerty77') AS text")
+    got = secret_scan.scan(hot, keep=["doc_id"]).groupBy("spans").count().collect()
+    assert sorted((r["count"], r.spans) for r in got) == [(1_000, ""), (2_000, "identifier:0:16,weak:17:31")]
+
+
 # ---- line dedup
 
 

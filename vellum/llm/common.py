@@ -23,10 +23,16 @@ _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of the folder. Sets the session's batches to BATCH_ROWS rows, unless they are smaller."""
+    """A table of the folder. Sets the session's batches to BATCH_ROWS rows, unless they are smaller.
+
+    A table of fewer files, and of no more splits, than there are cores is dealt to all cores: a row group is one task,
+    so a small file would be read by one core. Larger tables are read as they lie."""
     if not 0 < int(spark.conf.get(_BATCH, "10000")) <= BATCH_ROWS:
         spark.conf.set(_BATCH, BATCH_ROWS)
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    read = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    small = len(read.inputFiles()) < cores and read.rdd.getNumPartitions() <= cores
+    return read.repartition(cores) if small else read
 
 
 def work_dir(spark: SparkSession) -> str:

@@ -9,6 +9,7 @@ reduced to the least start and the greatest end of each role, so a bucket of man
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,8 +18,11 @@ from pyspark.sql import functions as F
 from vellum.llm.common import columns_of, materialize, table, with_columns_replaced
 
 SCOPE = 400
-#: Join keys that the rows of one text are dealt to.
+#: Join keys that the rows of a hot text are dealt to.
 SALTS = 32
+#: Rows that make a text hot at least, whatever the table's size.
+HOT_ROWS = 1_000
+_CHUNK = 256
 _VALUE = "[A-Za-z0-9+/_.=-]+"
 
 
@@ -41,7 +45,7 @@ BASE = (
 _FIRST = (
     ("identifier", _assigned(["access_?key_?id", "client_?id", "user_?name", "user_?id", "account"], "[A-Za-z0-9@._-]+"), 2, 3, "identifier"),
     ("weak", _assigned(["pass_?phrase", "pwd", "access_?key", "auth", "credential", "bearer"], _VALUE), 2, 6, "secret"),
-    ("endpoint", "[a-z][a-z0-9+]*://[A-Za-z0-9._~:/?#@!$&()*+,;=%-]+", 0, 8, "endpoint"),
+    ("endpoint", "[a-z][a-z0-9+]{0,15}://[A-Za-z0-9._~:/?#@!$&()*+,;=%-]+", 0, 8, "endpoint"),
 )
 WEAK = (
     *_FIRST,
@@ -56,6 +60,34 @@ KINDS = tuple(x[0] for x in (*BASE, *WEAK))
 COMPLEMENTS = {"identifier": ("secret",), "secret": ("identifier", "endpoint"), "endpoint": ("secret",)}
 
 
+_SPAN = "array<struct<start:bigint,ord:int,end:bigint,kind:string,role:string>>"
+
+
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _walk(items: Column, begin: Column, ends: Callable[[Column, Column], Column], step: Callable[[Column, Column, Column], Column], empty: Column) -> Column:
+    """The arrays that a walk over items makes, joined. begin is the place it starts from, ends(place, items) the place
+    after some items; step(place, accumulated array, items) are the items' own results. An array that grows is copied
+    at each step, so items are walked _CHUNK at a time, which keeps many matches in one text near linear."""
+
+    def chunk(items_: Column, acc: Column, i: Column) -> Column:
+        return _bound(
+            F.slice(items_, i * _CHUNK + 1, F.lit(_CHUNK)),
+            lambda own: F.struct(ends(acc["at"], own).alias("at"), F.concat(acc["out"], F.array(step(acc["at"], empty, own))).alias("out")),
+        )
+
+    start = F.struct(begin.alias("at"), F.array(empty).alias("out"))
+    return _bound(
+        items,
+        lambda items_: F.flatten(
+            F.aggregate(F.sequence(F.lit(0), F.floor((F.size(items_) - 1) / _CHUNK).cast("int")), start, lambda acc, i: chunk(items_, acc, i), lambda acc: acc["out"])
+        ),
+    )
+
+
 def _spans(text: Column, kind: str, pattern: str, group: int, least: int, role: str) -> Column:
     """array<struct<start, ord, end, kind, role>> of one pattern's matches, in code points, in order."""
     p, zero = F.lit(pattern), F.lit(0).cast("long")
@@ -67,18 +99,23 @@ def _spans(text: Column, kind: str, pattern: str, group: int, least: int, role:
         F.transform(whole, lambda x: F.length(x).cast("long")).alias("size"),
         F.transform(value, lambda x: F.length(x).cast("long")).alias("value"),
     )
-    none = F.array().cast("array<struct<start:bigint,ord:int,end:bigint,kind:string,role:string>>")
-
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + x["gap"]
-        span = F.struct(start.alias("start"), F.lit(KINDS.index(kind)).alias("ord"), (start + x["size"]).alias("end"), F.lit(kind).alias("kind"), F.lit(role).alias("role"))
-        return F.struct(
-            (start + F.coalesce(x["size"], zero)).alias("at"),
-            F.when(x["value"] >= least, F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"),
-        )
+    none = F.array().cast(_SPAN)
+
+    def ends(at: Column, own: Column) -> Column:
+        return F.aggregate(own, at, lambda acc, x: acc + x["gap"] + F.coalesce(x["size"], zero))
+
+    def spans(at: Column, empty: Column, own: Column) -> Column:
+        def step(acc: Column, x: Column) -> Column:
+            start = acc["at"] + x["gap"]
+            span = F.struct(start.alias("start"), F.lit(KINDS.index(kind)).alias("ord"), (start + x["size"]).alias("end"), F.lit(kind).alias("kind"), F.lit(role).alias("role"))
+            return F.struct(
+                (start + F.coalesce(x["size"], zero)).alias("at"),
+                F.when(x["value"] >= least, F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"),
+            )
+
+        return F.aggregate(own, F.struct(at.alias("at"), empty.alias("out")), step, lambda acc: acc["out"])
 
-    walked = F.aggregate(found, F.struct(zero.alias("at"), none.alias("out")), step, lambda acc: acc["out"])
-    return F.when(text.rlike(pattern), walked).otherwise(none)
+    return F.when(text.rlike(pattern), _walk(found, zero, ends, spans, none)).otherwise(none)
 
 
 def _listed(spans: Column) -> Column:
@@ -90,53 +127,62 @@ def scan(docs: DataFrame, text_col: str = "text", *, scope: int = SCOPE, keep: l
     struct<start, end, kind> that holds base and linked spans by start.
 
     A null or empty text has no spans and base_sha256 of ''. Equal texts get equal results; repeated rows stay.
-    Columns named like an added one are replaced. Offsets are code points, ends exclusive. gaps: scope is counted from
-    a part's end to the next one's start, not from start to start. keep: the columns of docs
-    to carry (all); where the text is not one of them, what the patterns match is written once, else texts are
-    matched twice, so that no text is written.
+    Columns named like an added one are replaced, others may have any name. Offsets are code points, ends exclusive.
+    gaps: scope is counted from a part's end to the next one's start, not from start to start. keep: the columns of
+    docs to carry (all). Texts are matched once: what the patterns find is written, and each text's spans then meet
+    its rows by its digest; texts themselves are only shuffled where they are kept.
     """
     added = ["n_assign", "n_access", "n_hex", "base_sha256", "spans", "found"]
     keep = with_columns_replaced(docs, added) if keep is None else keep
+    # Own names from here on, so that no column of docs clashes with one.
+    own = [c.alias(f"c{i}") for i, c in enumerate(columns_of(docs, keep))]
     text = F.coalesce(columns_of(docs, [text_col])[0], F.lit(""))
-    parts = docs.select(
-        *columns_of(docs, keep),
-        F.sha2(text.cast("binary"), 256).alias("__h"),
-        *[_spans(text, *x).alias(f"__{x[0]}") for x in (*BASE, *WEAK)],
+    digest = F.sha2(text.cast("binary"), 256).alias("h")
+    parts = [_spans(text, *x).alias(x[0]) for x in (*BASE, *WEAK)]
+    if text_col in keep:
+        matched = materialize(docs.select(digest, *parts), "parts")
+        rows = docs.select(*own, digest)
+    else:
+        matched = materialize(docs.select(*own, digest, *parts), "parts")
+        rows = matched.select(*[f"c{i}" for i in range(len(keep))], "h")
+    base = F.array_sort(F.concat(*[F.col(x[0]) for x in BASE]))
+    weak = F.concat(*[F.col(x[0]) for x in WEAK])
+    sizes = [F.size(x[0]).cast("long").alias(f"n_{x[0]}") for x in BASE]
+    some = matched.select("h", base.alias("base"), weak.alias("weak"), *sizes).where((F.size("base") > 0) | (F.size("weak") > 0))
+    texts = materialize(some.groupBy("h").agg(*[F.first(c).alias(c) for c in some.columns[1:]]), "texts")
+    linked = _linked(texts, scope, gaps)
+    spans = F.array_sort(F.concat("base", F.coalesce("linked", F.array().cast(_SPAN))))
+    told = texts.join(linked, "h", "left").select(
+        "h", "n_assign", "n_access", "n_hex", _listed(F.col("base")).alias("base_listed"), spans.alias("every"),
     )
-    if text_col not in keep:
-        parts = materialize(parts, "parts")
-    base = F.array_sort(F.concat(*[F.col(f"__{x[0]}") for x in BASE]))
-    weak = F.concat(*[F.col(f"__{x[0]}") for x in WEAK])
-    # Only texts with a weak part and a part of another role can link any; the others' join keys are spread.
-    roles = F.array_distinct(F.transform(F.concat(weak, base), lambda x: x["role"]))
-    linkable = (F.size(weak) > 0) & (F.size(roles) > 1)
-    hashed = [c for c in columns_of(docs, keep) if "map" not in docs.select(c).dtypes[0][1]]
-    spread = F.xxhash64(*hashed) if hashed else F.lit(0).cast("long")
-    key = F.when(linkable, F.concat_ws(":", "__h", F.pmod(spread, F.lit(SALTS)))).otherwise(F.concat(F.lit("-"), spread))
-    scanned = parts.select(
-        *columns_of(docs, keep), key.alias("__key"), base.alias("__base"), weak.alias("__weak"),
-        *[F.size(f"__{x[0]}").cast("long").alias(f"n_{x[0]}") for x in BASE],
-    )
-    some = parts.where(linkable)
-    linked = _linked(some.select("__h", base.alias("__base"), weak.alias("__weak")), scope, gaps)
-    # A text that many rows hold is one join key: its rows are dealt to SALTS keys, its few links copied to each.
-    linked = linked.withColumn("h", F.explode(F.array(*[F.concat(F.col("h"), F.lit(f":{i}")) for i in range(SALTS)])))
-    joined = scanned.join(linked, scanned["__key"] == linked["h"], "left")
-    spans = F.array_sort(F.concat("__base", F.coalesce("__linked", F.array().cast("array<struct<start:bigint,ord:int,end:bigint,kind:string,role:string>>"))))
+    # Texts that over one in a thousand rows hold, a thousand at most: their rows are dealt to SALTS keys.
+    total = matched.count()
+    hot = matched.groupBy("h").count().where(F.col("count") > max(HOT_ROWS, total // 1_000)).select(F.col("h").alias("hot"))
+    hot = materialize(hot, "hot")
+    salt = lambda x: F.when(F.col("hot").isNotNull(), x).otherwise(F.lit(0))
+    hashed = [f"c{i}" for i, c in enumerate(keep) if "map<" not in docs.select(columns_of(docs, [c])[0]).dtypes[0][1]]
+    spread = F.pmod(F.xxhash64(*hashed) if hashed else F.lit(0).cast("long"), F.lit(SALTS)).cast("int")
+    rows = rows.join(F.broadcast(hot), rows["h"] == hot["hot"], "left").withColumn("salt", salt(spread)).drop("hot")
+    copies = F.sequence(F.lit(0), salt(F.lit(SALTS - 1)))
+    told = told.join(F.broadcast(hot), told["h"] == hot["hot"], "left").withColumn("salt", F.explode(copies)).drop("hot")
+    joined = rows.join(told, ["h", "salt"], "left")
+    every = F.coalesce("every", F.array().cast(_SPAN))
     return joined.select(
-        *columns_of(docs, keep), "n_assign", "n_access", "n_hex",
-        F.sha2(_listed(F.col("__base")).cast("binary"), 256).alias("base_sha256"),
-        _listed(spans).alias("spans"),
-        F.transform(spans, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind"))).alias("found"),
+        *[F.col(f"c{i}").alias(c) for i, c in enumerate(keep)],
+        *[F.coalesce(n, F.lit(0).cast("long")).alias(n) for n in ("n_assign", "n_access", "n_hex")],
+        F.sha2(F.coalesce("base_listed", F.lit("")).cast("binary"), 256).alias("base_sha256"),
+        _listed(every).alias("spans"),
+        F.transform(every, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind"))).alias("found"),
     )
 
 
-def _linked(some: DataFrame, scope: int, gaps: bool) -> DataFrame:
-    """(h, __linked): the weak parts of each text that a complementary part is within scope of."""
+def _linked(texts: DataFrame, scope: int, gaps: bool) -> DataFrame:
+    """(h, linked): the weak parts of each text that a complementary part is within scope of. h is unique in texts."""
     width = scope + 1
-    both = F.concat(F.transform("__base", lambda x: F.struct(F.lit(False).alias("weak"), x.alias("s"))), F.transform("__weak", lambda x: F.struct(F.lit(True).alias("weak"), x.alias("s"))))
-    flat = some.select(F.col("__h").alias("h"), F.explode(both).alias("p")).select("h", "p.weak", "p.s.*").distinct()
-    flat = materialize(flat, "flat")
+    roles = F.array_distinct(F.transform(F.concat("weak", "base"), lambda x: x["role"]))
+    some = texts.where((F.size("weak") > 0) & (F.size(roles) > 1))
+    both = F.concat(F.transform("base", lambda x: F.struct(F.lit(False).alias("weak"), x.alias("s"))), F.transform("weak", lambda x: F.struct(F.lit(True).alias("weak"), x.alias("s"))))
+    flat = materialize(some.select("h", F.explode(both).alias("p")).select("h", "p.weak", "p.s.*"), "flat")
     till = F.col("end") if gaps else F.col("start")
     buckets = lambda a, b: F.explode(F.sequence(F.floor(a / F.lit(width)), F.floor(b / F.lit(width))))
     # Of two others in a bucket, one before and one behind a part's scope, the scope would have to fit between: it is wider than a bucket.
@@ -145,7 +191,7 @@ def _linked(some: DataFrame, scope: int, gaps: bool) -> DataFrame:
     complement = reduce(lambda a, b: a | b, [(F.col("role") == role) & F.col("other").isin(*others) for role, others in COMPLEMENTS.items()])
     near = (F.col("lo") <= till + scope) & (F.col("hi") >= F.col("start") - scope)
     met = asked.join(least, ["h", "bucket"]).where(complement & near)
-    return met.groupBy("h").agg(F.collect_set(F.struct("start", "ord", "end", "kind", "role")).alias("__linked"))
+    return met.groupBy("h").agg(F.collect_set(F.struct("start", "ord", "end", "kind", "role")).alias("linked"))
 
 
 def redact(docs: DataFrame, text_col: str = "text", *, mark: str = "[SECRET]", scope: int = SCOPE, gaps: bool = True) -> DataFrame:
@@ -153,16 +199,27 @@ def redact(docs: DataFrame, text_col: str = "text", *, mark: str = "[SECRET]", s
     is one) counted anew. Overlapping spans are one. Texts without spans, nulls included, stay untouched."""
     names, types = docs.columns, dict(docs.dtypes)
     found = scan(docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)]), f"c{names.index(text_col)}", scope=scope, gaps=gaps)
-    text = F.col(f"c{names.index(text_col)}")
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
+    text, zero = F.col(f"c{names.index(text_col)}"), F.lit(0).cast("long")
+    none = F.array().cast("array<string>")
+    cut = lambda of, a, b: F.substring(of, (a + 1).cast("int"), (b - a).cast("int"))
+
+    def ends(at: Column, own: Column) -> Column:
+        return F.greatest(at, F.aggregate(own, zero, lambda acc, x: F.greatest(acc, x["end"])))
+
+    def pieces(at: Column, empty: Column, own: Column) -> Column:
+        """What is left before each span, and its mark; places count from the end of the spans before."""
+
+        def step(part: Column, acc: Column, x: Column) -> Column:
+            start, end = x["start"] - at, x["end"] - at
+            first = (at == 0) & (acc["at"] == 0)
+            new = F.when(start > acc["at"], F.concat(cut(part, acc["at"], start), F.lit(mark))).when(first | (start == acc["at"]), F.lit(mark)).otherwise(F.lit(""))
+            return F.struct(F.greatest(acc["at"], end).alias("at"), F.concat(acc["out"], F.array(new)).alias("out"))
 
-    def step(acc: Column, x: Column) -> Column:
-        gap = F.when(x["start"] > acc["at"], F.concat(F.substring(text, (acc["at"] + 1).cast("int"), (x["start"] - acc["at"]).cast("int")), F.lit(mark))).when(
-            (acc["at"] == 0) | (x["start"] == acc["at"]), F.lit(mark)
-        ).otherwise(F.lit(""))
-        return F.struct(F.greatest(acc["at"], x["end"]).alias("at"), F.concat(acc["out"], gap).alias("out"))
+        begun = F.struct(zero.alias("at"), empty.alias("out"))
+        return _bound(cut(text, at, ends(at, own)), lambda part: F.aggregate(own, begun, lambda acc, x: step(part, acc, x), lambda acc: acc["out"]))
 
-    clean = F.aggregate("found", start, step, lambda acc: F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.length(text))))
+    last = F.aggregate("found", zero, lambda acc, x: F.greatest(acc, x["end"]))
+    clean = F.concat(F.array_join(_walk(F.col("found"), zero, ends, pieces, none), ""), F.substring(text, (last + 1).cast("int"), F.length(text)))
     clean = F.when(F.size("found") > 0, clean).otherwise(text)
     out = found.withColumn(f"c{names.index(text_col)}", clean)
     return out.select(*[
@@ -171,6 +228,7 @@ def redact(docs: DataFrame, text_col: str = "text", *, mark: str = "[SECRET]", s
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Null and empty texts have no spans; repeated rows stay."""
     return scan(table(spark, sf_dir, "documents"), keep=["doc_id"], gaps=True).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
 
 
