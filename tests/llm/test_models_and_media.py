@@ -23,30 +23,77 @@ TEXTS = [
 ]
 
 
-def test_ids_are_those_of_tokenizers():
+def test_ids_are_those_of_tokenizers(spark):
     import public_tokenizers
 
     told = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    told.encode_special_tokens = True
+    rng = np.random.default_rng(6)
+    odd = list("ab  é\n日😀'.1\x1c\u00a0\t") + ["<|endoftext|>", "'s", " the"]
+    texts = [*TEXTS, "first <|endoftext|> second", "<|endoftext|>", "x<|endoftext|><|endoftext|> y", "<|endoftext| >", "z" * 100_000, " " * 50_000 + "x  " * 50]
+    texts += ["".join(rng.choice(odd, rng.integers(0, 40))) for _ in range(500)]
+    want = [told.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert want[len(TEXTS)] == [11085, 220, 50256, 1218]
     for cached in (0, 1_000):
         own = packing.Encoder(cached=cached)
         for _ in range(2):
-            got = own.batch([t or "" for t in TEXTS])
-            assert [np.frombuffer(x, "<u4").tolist() for x in got] == [told.encode(t or "", add_special_tokens=False).ids for t in TEXTS]
-
+            assert [np.frombuffer(x, "<u4").tolist() for x in own.batch([t or "" for t in texts])] == want
+    rows = packing.token_pieces(spark.createDataFrame(list(enumerate(texts[:20])), "doc_id bigint, text string").where("doc_id = 18"), capacity=100, with_ids=True).collect()
+    assert rows[0].ids == [11085, 220, 50256, 1218, 2]
 
-def test_ids_with_added_tokens_are_those_of_unchanged_tokenizers(spark):
-    import public_tokenizers
 
-    told = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    texts = [*TEXTS, "first <|endoftext|> second", "<|endoftext|>", "x<|endoftext|><|endoftext|> y", "<|endoftext| >"]
-    want = [told.encode(t or "", add_special_tokens=False).ids for t in texts]
-    assert want[len(TEXTS)] == [11085, 220, 50256, 1218]
-    own = packing.encoder()
-    for _ in range(2):
-        assert [np.frombuffer(x, "<u4").tolist() for x in own.batch([t or "" for t in texts])] == want
-    rows = packing.token_pieces(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").where("doc_id = 18"), capacity=100, with_ids=True).collect()
-    assert rows[0].ids == [11085, 220, 50256, 1218, 2]
+def fewest(lengths, capacity):
+    """The least number of sequences, by trying every one."""
+    best = len(lengths)
+
+    def go(i, loads):
+        nonlocal best
+        if len(loads) >= best:
+            return
+        if i == len(lengths):
+            best = len(loads)
+            return
+        for j in range(len(loads)):
+            if loads[j] + lengths[i] <= capacity and loads[j] not in loads[:j]:
+                go(i + 1, [*loads[:j], loads[j] + lengths[i], *loads[j + 1 :]])
+        go(i + 1, [*loads, lengths[i]])
+
+    go(0, [])
+    return best
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(1, 20), max_size=9))
+def test_plans_are_near_the_best_there_is(lengths):
+    made = sum(times for _, times in packing.plan(Counter(lengths), 20))
+    best = fewest(sorted(lengths, reverse=True), 20)
+    assert best <= made <= best + 1
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.dictionaries(st.integers(1, 30), st.integers(0, 3), max_size=12), st.lists(st.tuples(st.integers(1, 30), st.integers(1, 40)), max_size=25))
+def test_sums_find_a_combination_exactly_where_there_is_one(counts, steps):
+    from itertools import combinations
+
+    left = np.zeros(41, np.int64)
+    for length, n in counts.items():
+        left[length] = n
+    sums = packing.Sums(left)
+    for used, gap in steps:
+        every = [x for x in range(1, 41) for _ in range(left[x])]
+        found = sums.find(gap)
+        exists = any(sum(c) == gap for k in (1, 2, 3) for c in combinations(every, k))
+        assert (found is not None) == exists
+        if found:
+            assert sum(found) == gap and all(left[x] >= n for x, n in Counter(found).items())
+        left[used] = max(0, left[used] - 1)
+
+
+def test_pack_keeps_columns_of_any_name(spark):
+    names = ["b", "r", "o", "n", "c0", "__b", "__r", "__o", "sequence_id", "offset"]
+    pieces = spark.createDataFrame([(600, *range(10)), (424, *range(10)), (10, *range(10))], "length bigint, " + ", ".join(f"`{n}` int" for n in names))
+    rows = packing.pack(pieces).collect()
+    assert all([r[n] for n in names[:8]] == list(range(8)) for r in rows) and sorted((r.length, r.offset) for r in rows) == [(10, 0), (424, 600), (600, 0)]
+    assert len({r.sequence_id for r in rows}) == 2 and len(rows[0]) == 11
 
 
 @settings(max_examples=60, deadline=None)

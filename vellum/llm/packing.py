@@ -24,14 +24,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vellum.llm.common import columns_of, materialize, table
+from vellum.llm.common import columns_of, materialize, table, with_columns_replaced
 
 CAPACITY, END_ID = 1024, 2
 TOKENIZER = "byte_bpe_50k"
 #: Rows in a rank bucket, and the most buckets there are.
 BUCKET_ROWS, MAX_BUCKETS = 2_000, 65_536
-#: Units kept by an encoder, of under 64 characters or so each; units so long that they go to tokenizers.
-CACHED, LONG = 250_000, 4_096
+#: Units kept by an encoder, and the longest that are.
+CACHED, CACHED_LENGTH = 250_000, 64
 _SHIFT = 40
 
 
@@ -40,16 +40,14 @@ _SHIFT = 40
 
 class Encoder:
     """Token ids of whole texts, as bytes (little-endian unsigned 32-bit), equal to those of tokenizers'
-    byte-level BPE of the same vocabulary.
+    byte-level BPE of the same vocabulary with its added tokens.
 
-    The pre-tokenizer never joins a character to a space on its right, so a text without two white spaces
-    around a space is the sequence of its units, each with the space before it. Units not met before are encoded
-    together, a batch of texts at a time, and the first CACHED of them are kept. Other texts are encoded whole.
-    added: texts that hold an added token's string go to tokenizers whole, which makes it that token; else such strings
-    are ordinary text.
+    Added tokens' strings are cut out first; each is its token. The pre-tokenizer never joins a character to a space on
+    its right, so what lies between is cut before every space that has no white space beside it, into units. Units not
+    met before are encoded together, a batch of texts at a time, and the first CACHED of them are kept.
     """
 
-    def __init__(self, name: str = TOKENIZER, folder: str | None = None, cached: int = CACHED, added: bool = False):
+    def __init__(self, name: str = TOKENIZER, folder: str | None = None, cached: int = CACHED):
         import public_tokenizers as P
         import tiktoken
 
@@ -60,47 +58,28 @@ class Encoder:
         self._size = np.zeros(max(ranks.values()) + 1, np.int64)
         for token, rank in ranks.items():
             self._size[rank] = len(token)
-        self._edge = re.compile(r"\s (?:\s|\Z)")
-        self._path = path(f"{name}.json")
+        self._space, self._odd = re.compile(r"(?<=\S) (?=\S)"), re.compile(r"\s (?:\s|\Z)|  |\A | \Z")
         self._units: dict[str, bytes] = {}
         self._cached = cached
-        self._added = None
-        if added:
-            with open(self._path, encoding="utf-8") as f:
-                strings = [x["content"] for x in json.load(f).get("added_tokens", [])]
-            self._added = re.compile("|".join(map(re.escape, strings))) if strings else None
-
-    @lru_cache(maxsize=1)  # noqa: B019
-    def _slow(self):
-        from tokenizers import Tokenizer
-
-        out = Tokenizer.from_file(self._path)
-        out.encode_special_tokens = True
-        return out
-
-    @lru_cache(maxsize=1)  # noqa: B019
-    def _told(self):
-        from tokenizers import Tokenizer
-
-        return Tokenizer.from_file(self._path)
+        with open(path(f"{name}.json"), encoding="utf-8") as f:
+            added = json.load(f).get("added_tokens", [])
+        if any(x["single_word"] or x["lstrip"] or x["rstrip"] or x["normalized"] for x in added):
+            raise ValueError("added tokens that are not matched as they stand")
+        self._added = {x["content"]: np.array([x["id"]], "<u4").tobytes() for x in added}
+        strings = sorted(self._added, key=len, reverse=True)
+        self._cut = re.compile("(" + "|".join(map(re.escape, strings)) + ")") if strings else None
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self._bpe.encode_ordinary(text), "<u4")
 
-    def _one(self, text: str) -> bytes:
-        # A run without spaces can be one merge problem of any length: the heap of tokenizers is for those.
-        if len(text) < LONG:
-            return self._ids(text).tobytes()
-        return np.array(self._slow().encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
     def _learn(self, units: list[str]) -> None:
         """Encodes new units in one text and cuts its tokens where the units' bytes end."""
         plain = []
         for unit in units:
-            if unit and len(unit) < LONG and not unit[0].isspace() and not unit[-1].isspace():
+            if unit and not unit[0].isspace() and not unit[-1].isspace():
                 plain.append(unit)
             else:
-                self._units[unit] = self._one(" " + unit)
+                self._units[unit] = self._ids(" " + unit).tobytes()
         if not plain:
             return
         ids = self._ids(" " + " ".join(plain))
@@ -112,34 +91,30 @@ class Encoder:
             at = end
 
     def batch(self, texts: list[str]) -> list[bytes]:
-        if self._added:
-            held = [i for i, x in enumerate(texts) if self._added.search(x)]
-            if held:
-                out = self._batch(["" if self._added.search(x) else x for x in texts])
-                for i in held:
-                    out[i] = np.array(self._told().encode(texts[i], add_special_tokens=False).ids, "<u4").tobytes()
-                return out
-        return self._batch(texts)
+        parts = [self._cut.split(x) if self._cut and self._cut.search(x) else [x] for x in texts]
+        if all(len(p) == 1 for p in parts):
+            return self._batch(texts)
+        found = iter(self._batch([x for p in parts for x in p[::2]]))  # every second one is an added token's string
+        return [b"".join(self._added[x] if i % 2 else next(found) for i, x in enumerate(p)) for p in parts]
 
     def _batch(self, texts: list[str]) -> list[bytes]:
         known = self._units
-        split = [None if "  " in x or self._edge.search(x) else x.split(" ") for x in texts]
-        new = list(set().union(*[x[1:] for x in split if x]) - known.keys())
+        split = [self._space.split(x) if self._odd.search(x) else x.split(" ") for x in texts]
+        new = list(set().union(*[x[1:] for x in split]) - known.keys())
         self._learn(new)
         get = known.__getitem__
-        out = [
-            self._ids(text).tobytes() if units is None else (self._one(units[0]) if units[0] else b"") + b"".join(map(get, units[1:]))
-            for text, units in zip(texts, split, strict=True)
-        ]
+        out = [(self._ids(units[0]).tobytes() if units[0] else b"") + b"".join(map(get, units[1:])) for units in split]
         for unit in new[max(0, len(new) - max(0, len(known) - self._cached)) :]:
             del known[unit]
+        for unit in new:
+            if len(unit) > CACHED_LENGTH:
+                known.pop(unit, None)
         return out
 
 
 @lru_cache(maxsize=2)
 def encoder(name: str = TOKENIZER, folder: str | None = None) -> Encoder:
-    """Ids as tokenizers has them by default, with its added tokens."""
-    return Encoder(name, folder, added=True)
+    return Encoder(name, folder)
 
 
 def cuts(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -186,31 +161,51 @@ def token_pieces(
 # ---- the plan
 
 
-def _exact(gap: int, left: np.ndarray) -> tuple[int, ...] | None:
-    """A single length, else a pair, else a triple of available lengths that sums to gap; large ones first."""
-    if left[gap] > 0:
-        return (gap,)
-    if pair := _pair(gap, left):
-        return pair
-    for a in range(gap - 2, (gap + 2) // 3 - 1, -1):
-        if left[a] > 0:
-            left[a] -= 1
-            pair = _pair(gap - a, left)
-            left[a] += 1
-            if pair:
-                return (a, *pair)
-    return None
-
-
-def _pair(total: int, left: np.ndarray) -> tuple[int, int] | None:
-    half = total // 2
-    low = left[1 : half + 1] > 0
-    high = left[total - half : total][::-1] > 0  # of total - 1 down to total - half
-    both = low & high
-    if total % 2 == 0 and half and left[half] < 2:
-        both[half - 1] = False
-    at = np.flatnonzero(both)
-    return (total - int(at[0]) - 1, int(at[0]) + 1) if len(at) else None
+class Sums:
+    """Single, pair and triple sums of the lengths that are left, by hash of the sum: a pair sum has its pairs, a
+    triple sum the lengths that go with a pair sum. Counts only fall, so an entry that no longer holds never will
+    again and is dropped when it is met; entries of a sum are made when it is first asked for."""
+
+    def __init__(self, left: np.ndarray):
+        self.left = left
+        self.pairs: dict[int, list[tuple[int, int]]] = {}
+        self.triples: dict[int, list[int]] = {}
+
+    def find(self, gap: int) -> tuple[int, ...] | None:
+        """A single length, else a pair, else a triple of available lengths that sums to gap; large ones first."""
+        if self.left[gap] > 0:
+            return (gap,)
+        return self._pair(gap) or self._triple(gap)
+
+    def _holds(self, a: int, b: int, aside: int) -> bool:
+        return self.left[a] > (a == b) + (a == aside) and self.left[b] > (a == b) + (b == aside)
+
+    def _pair(self, total: int, aside: int = 0) -> tuple[int, int] | None:
+        """aside: a length of which one is not to be used."""
+        entries = self.pairs.get(total)
+        if entries is None:
+            low = np.flatnonzero(self.left[1 : total // 2 + 1] > 0) + 1
+            entries = self.pairs[total] = [(total - a, a) for a in low[self.left[total - low] > 0].tolist()[::-1]]
+        for i in range(len(entries) - 1, -1, -1):
+            a, b = entries[i]
+            if self._holds(a, b, aside):
+                return a, b
+            if not self._holds(a, b, 0):
+                del entries[i]
+        return None
+
+    def _triple(self, total: int) -> tuple[int, int, int] | None:
+        entries = self.triples.get(total)
+        if entries is None:
+            first = (total + 2) // 3
+            entries = self.triples[total] = (np.flatnonzero(self.left[first : max(first, total - 1)] > 0) + first).tolist()
+        for i in range(len(entries) - 1, -1, -1):
+            a = entries[i]
+            if self.left[a] > 0 and (pair := self._pair(total - a, a)):
+                return a, *pair
+            if not self.left[a] > 0 or not self._pair(total - a):
+                del entries[i]
+        return None
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
@@ -220,13 +215,13 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[i
         if not 1 <= length <= capacity:
             raise ValueError(f"a piece of {length} does not fit {capacity}")
         left[length] = n
-    out = []
+    out, sums = [], Sums(left)
     for length in range(capacity, 0, -1):
         while left[length] > 0:
             left[length] -= 1
             chosen, gap = [length], capacity - length
             while gap:
-                found = _exact(gap, left)
+                found = sums.find(gap)
                 if found is None:
                     fits = np.flatnonzero(left[1 : gap + 1] > 0)
                     if not len(fits):
@@ -270,34 +265,38 @@ def pack(pieces: DataFrame, length_col: str = "length", *, capacity: int = CAPAC
     """pieces with sequence_id and offset (bigint): sequences are gapless from offset 0 and hold at most `capacity`.
 
     pieces is read twice: give a written table. Every row is a piece of its own, repeated rows too. Lengths outside
-    1 to capacity are an error, null ones too. Columns named sequence_id, offset or __b, __r, __o must not be there.
+    1 to capacity are an error, null ones too. Columns named sequence_id or offset are replaced.
     """
-    spark, names = pieces.sparkSession, pieces.columns
-    rows = pieces.groupBy(length_col).count().limit(capacity + 2).collect()
+    spark = pieces.sparkSession
+    names = with_columns_replaced(pieces, ["sequence_id", "offset"])
+    cols = [f"c{i}" for i in range(len(names))]
+    plain = pieces.select(*columns_of(pieces, names)).toDF(*cols)
+    length = cols[names.index(length_col)]
+    rows = plain.groupBy(length).count().limit(capacity + 2).collect()
     if any(r[0] is None for r in rows) or len(rows) > capacity:
         raise ValueError(f"lengths must be 1 to {capacity}")
     counts = {int(r[0]): int(r[1]) for r in rows}
     seg = spark.sparkContext.broadcast(segments(plan(counts, capacity)))
     buckets = max(1, min(MAX_BUCKETS, sum(counts.values()) // BUCKET_ROWS))
-    order = [F.col(c) for c in names]
-    dealt = pieces.withColumn("__b", F.pmod(F.xxhash64(*order), F.lit(buckets)))
-    before = Window.partitionBy(length_col).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    order = [F.col(c) for c in cols]
+    dealt = plain.withColumn("b", F.pmod(F.xxhash64(*order), F.lit(buckets)))
+    before = Window.partitionBy(length).orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        dealt.groupBy(length_col, "__b").agg(F.count("*").alias("n"))
-        .select(length_col, "__b", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__o"))
+        dealt.groupBy(length, "b").agg(F.count("*").alias("n"))
+        .select(length, "b", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("o"))
     )
-    ranked = dealt.withColumn("__r", F.row_number().over(Window.partitionBy(length_col, "__b").orderBy(*order)))
-    ranked = ranked.join(starts, [length_col, "__b"]).select(*order, (F.col("__r") - 1 + F.col("__o")).alias("__r"))
-    schema = T.StructType([*[f for f in pieces.schema.fields], *T.StructType.fromDDL("sequence_id bigint, offset bigint").fields])
+    ranked = dealt.withColumn("r", F.row_number().over(Window.partitionBy(length, "b").orderBy(*order)))
+    ranked = ranked.join(starts, [length, "b"]).select(*order, (F.col("r") - 1 + F.col("o")).alias("r"))
+    schema = T.StructType([*plain.schema.fields, *T.StructType.fromDDL("sequence_id bigint, offset bigint").fields])
     at = names.index(length_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rb in batches:
-            length, rank = (rb.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (at, len(names)))
-            sequence, offset = place(seg.value, length, rank)
+            n, rank = (rb.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (at, len(names)))
+            sequence, offset = place(seg.value, n, rank)
             yield pa.RecordBatch.from_arrays([*rb.columns[: len(names)], pa.array(sequence), pa.array(offset)], names=schema.names)
 
-    return ranked.mapInArrow(run, schema)
+    return ranked.mapInArrow(run, schema).toDF(*names, "sequence_id", "offset")
 
 
 def sequences(packed: DataFrame) -> DataFrame:
@@ -312,4 +311,5 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A null or empty text is one piece of the end token; repeated rows are documents of their own."""
     return pack_documents(table(spark, sf_dir, "documents"))
