@@ -271,6 +271,57 @@ def test_area_resize():
     assert np.allclose(media.area_resize(np.full((1, 64), 7, np.uint8), 16, 16), 7)
 
 
+def brute_resize(image, height, width):
+    """Means of cells, a sample at a time, by the share of it that lies in the cell."""
+    out = np.zeros((height, width))
+    h, w = image.shape
+    for y in range(height):
+        for x in range(width):
+            top, bottom, left, right = y * h / height, (y + 1) * h / height, x * w / width, (x + 1) * w / width
+            total = area = 0.0
+            for i in range(int(top), min(h, int(np.ceil(bottom)))):
+                for j in range(int(left), min(w, int(np.ceil(right)))):
+                    share = max(0.0, min(i + 1, bottom) - max(i, top)) * max(0.0, min(j + 1, right) - max(j, left))
+                    total, area = total + share * float(image[i, j]), area + share
+            out[y, x] = total / area
+    return out
+
+
+def test_hash_and_tile_against_brute_force():
+    rng = np.random.default_rng(8)
+    for shape in ((1, 64), (3, 5), (37, 64), (100, 7)):
+        image = rng.integers(0, 256, shape).astype(np.uint8)
+        cells = brute_resize(image, 8, 9)
+        bits = "".join("1" if cells[y, x] < cells[y, x + 1] - 1e-9 else "0" for y in range(8) for x in range(8))
+        assert media.difference_hash(image) == int(bits, 2)
+        assert (media.shrunk(image) == np.floor(brute_resize(image, 16, 16).round(6) + 0.5)).all()
+        assert (media.decode(media.encode_bmp(image))[:, :, 1] == image).all()
+    assert (media.shrunk(np.full((4, 4), 1_000, np.uint16)) == 4).all() and (media.shrunk(np.full((4, 4), 65_535, np.uint16)) == 255).all()
+
+
+def test_samples_are_scaled_and_masks_read():
+    assert media.decode(b"P2 3 1 15\n0 7 15").tolist() == [[0, 119, 255]] and media.decode(b"P5 2 1 1000\n\x00\x00\x03\xe8").tolist() == [[0, 65_535]]
+    head = lambda bits, packed, at, body: b"BM" + struct.pack("<IIIIiiHHIIiiII", at + len(body), 0, at, 40, 2, 1, 1, bits, packed, 0, 0, 0, 0, 0)
+    body = struct.pack("<HH", 0x7C00, 0x03E0)
+    assert media.decode(head(16, 0, 54, body) + body).tolist() == [[[255, 0, 0], [0, 255, 0]]]
+    body = struct.pack("<II", 0xFF, 0xFF00)
+    masks = struct.pack("<III", 0xFF, 0xFF00, 0xFF0000)
+    assert media.decode(head(32, 3, 66, body) + masks + body).tolist() == [[[255, 0, 0], [0, 255, 0]]]
+
+
+def test_malformed_images_are_errors(spark):
+    rng = np.random.default_rng(9)
+    good = [media.encode_bmp(np.arange(12, dtype=np.uint8).reshape(3, 4)), b"P5 4 3 255\n" + bytes(12), b"P2 2 2 300 1 2 3 4", b"P6 1 1 9 abc"]
+    bad = [b"P5 " + b"9" * 5_000 + b" 1 255 x", b"P2 1 1 9 " + b"9" * 40, b"P2 1 1 9 300", b"P2 1 1 99 -5", b"P5 1 1 9 \xff", good[0][:46] + b"\xff" * 8 + good[0][54:60], good[0][:14] + b"\xff" * 4 + good[0][18:]]
+    for _ in range(3_000):
+        data = bytearray(good[rng.integers(len(good))])
+        for _ in range(rng.integers(1, 4)):
+            data[rng.integers(len(data))] = rng.integers(256)
+        bad.append(bytes(data[: rng.integers(len(data)) + 1]))
+    rows = media.media_features(spark.createDataFrame(list(enumerate(bad)), "media_id int, media binary")).collect()
+    assert len(rows) == len(bad) and all(r.error for r in rows[:7]) and all((r.error is None) == (r.tile is not None) for r in rows)
+
+
 def test_text_media(spark):
     texts = [None, "", "é" * 32, "x" * 65, "long " * 50_000, "x" * 65]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
@@ -280,7 +331,8 @@ def test_text_media(spark):
         body = raw + bytes(max(64, -(-len(raw) // 64) * 64) - len(raw))
         assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(raw), len(body), hashlib.sha256(body).hexdigest(), zlib.crc32(body[-64:]))
     assert rows[3][1:] == rows[5][1:] and rows[0].feature == rows[1].feature
-    stored = media.text_media(docs.withColumn("tile", F.lit(1)))
+    assert all(r.feature.endswith("preview=true") for r in rows)
+    stored = media.text_media(docs.withColumn("tile", F.lit(1)).withColumn("c0", F.lit(1)))
     got = media.media_features(stored.unionByName(stored.limit(1).withColumn("media", F.lit(b"?").cast("binary")))).collect()
     assert sum(r.error is not None for r in got) == 1 and all(len(r.tile) == 128 + 256 for r in got if not r.error)
     assert media.text_media_digests(docs.limit(0)).count() == 0
