@@ -245,13 +245,60 @@ def test_links_match_brute_force(spark):
         chain += flipped(chain[-1], 1, 4)
     prints = sorted({0, 1, *flipped(base[0], 150, 8), *flipped(base[1], 150, 3), *flipped(base[2], 150, 12, 30), *chain})
     signed = [int(np.uint64(p).astype(np.int64)) for p in prints]
-    found = connected_components(simhash.links(spark.createDataFrame([(p,) for p in signed], "fp bigint"))).collect()
-    root = {r.node: r.root for r in found}
-    rounds = connected_components(simhash.links(spark.createDataFrame([(p,) for p in signed], "fp bigint")), one_task=0).collect()
-    assert {r.node: r.root for r in rounds} == root
-    got = [root.get(p, p) for p in signed]
+    frame_ = spark.createDataFrame([(p,) for p in signed], "fp bigint")
     want = brute_components(prints).tolist()
-    assert len(set(zip(want, got, strict=True))) == len(set(want)) == len(set(got))
+    for segments, hot in ((simhash.LAYOUTS[0][1], 3), (simhash.LAYOUTS[1][1], simhash.HOT_KEY), (simhash.LAYOUTS[2][1], 3), (simhash.LAYOUTS[3][1], simhash.HOT_KEY)):
+        root = {r.node: r.root for r in connected_components(simhash.links(frame_, segments=segments, hot_key=hot)).collect()}
+        got = [root.get(p, p) for p in signed]
+        assert len(set(zip(want, got, strict=True))) == len(set(want)) == len(set(got))
+
+
+def test_layouts():
+    from itertools import combinations
+
+    assert [len(simhash.layout_for(n)) for n in (0, 1 << 15, 1 << 19, 1 << 24, 1 << 40)] == [5, 5, 4, 3, 2]
+    for _, segments in simhash.LAYOUTS:
+        assert sum(w for w, _ in segments) == 64 and sum(r + 1 for _, r in segments) == simhash.BITS + 1
+        for spread in combinations(range(simhash.BITS + len(segments) - 1), len(segments) - 1):  # ways to deal 4 bits to segments
+            ends = [-1, *spread, simhash.BITS + len(segments) - 1]
+            dealt = [b - a - 1 for a, b in zip(ends, ends[1:], strict=False)]
+            assert any(n <= r for n, (_, r) in zip(dealt, segments, strict=True))
+
+
+def test_large_clusters_meet_without_all_pairs(spark, monkeypatch):
+    """Two clusters of thousands that share their bits' ranges, 8 bits or more apart, and a pair of others that touch."""
+    rng = np.random.default_rng(11)
+    some = [sum(1 << int(b) for b in rng.choice(20, rng.integers(0, 6), replace=False)) for _ in range(4_000)]
+    one, two = {x << 30 for x in some}, {(x ^ ((1 << 20) - 1)) << 30 for x in some}
+    three = {(1 << 60) | (x << 20) for x in range(64)}
+    four = {(1 << 60) | (x ^ 0x3FF) << 20 for x in range(64)}
+    prints = sorted(one | two | three | four)
+    sizes = []
+    from vellum.llm import simhash as module
+
+    plain = module.materialize
+
+    def counted(df, label, **more):
+        out = plain(df, label, **more)
+        if label in ("meet", "met"):
+            sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(module, "materialize", counted)
+    root = {r.node: r.root for r in connected_components(simhash.links(spark.createDataFrame([(p,) for p in prints], "fp bigint"))).collect()}
+    want = brute_components(prints).tolist()
+    got = [root.get(p, p) for p in prints]
+    assert len(set(zip(want, got, strict=True))) == len(set(want)) == len(set(got)) and len(sizes) > 1
+    assert max(sizes) < len(one) * len(two) / 20
+
+
+def test_components_in_rounds(spark):
+    rng = np.random.default_rng(12)
+    edges = [(i, i + 1) for i in range(0, 300)] + [(1_000, i) for i in range(1_001, 1_400)] + [(int(a), int(b)) for a, b in rng.integers(2_000, 3_000, (600, 2))]
+    frame_ = spark.createDataFrame(edges, "a bigint, b bigint")
+    one = {r.node: r.root for r in connected_components(frame_).collect()}
+    many = {r.node: r.root for r in connected_components(frame_, task_edges=200).collect()}
+    assert one == many and one[300] == 0 and one[1_399] == 1_000
 
 
 def test_near_duplicates_and_what_stays(spark, sf_dir):

@@ -1,4 +1,4 @@
-"""Connected components over an edge table, by alternating large-star and small-star steps."""
+"""Connected components over an edge table: forests of bounded parts, and alternating star steps between them."""
 
 from __future__ import annotations
 
@@ -10,41 +10,37 @@ from pyspark.sql import functions as F
 
 from vellum.llm.common import discard, materialize
 
-MAX_ROUNDS = 60
-#: Edges (16 bytes each) that one task may join by union-find; more of them take the rounds.
-ONE_TASK_EDGES = 500_000
+#: Edges (16 bytes each) that a task joins by union-find.
+TASK_EDGES = 500_000
 
 
-def connected_components(edges: DataFrame, one_task: int = ONE_TASK_EDGES) -> DataFrame:
+def connected_components(edges: DataFrame, task_edges: int = TASK_EDGES) -> DataFrame:
     """(node, root) for every node of `edges` (a, b: bigint); root is the smallest node of its component.
 
-    At most one_task edges are joined in one task, which spares a small graph the rounds. Else, each step is a partially aggregated minimum and an equi-join back, so a hub's neighbours never meet in
-    one task, and each round's edges are written, so that no lineage grows. Loops and repeated edges are
-    harmless; an empty table gives an empty one. Nothing is collected but two checksums a round.
+    Each round deals the edges to tasks of at most about task_edges, whose union-find replaces them by stars around the
+    smallest node each task knows; then a large-star and a small-star step (partially aggregated minima and equi-joins
+    back, so a hub's neighbours never meet in one task) join what the tasks found. Rounds go on until one task has held
+    all edges or nothing changes; each round's edges are written, so no lineage grows. Loops and repeated edges are
+    harmless; an empty table gives an empty one. Nothing is collected but a checksum a round.
     """
     now = materialize(_oriented(edges.select("a", "b")), "edges")
-    if now.limit(one_task + 1).count() <= one_task:
-        return now.repartition(1).mapInArrow(_united, "node bigint, root bigint")
-    seen = _checksum(now)
-    for _ in range(MAX_ROUNDS):
-        if not seen[0]:
-            break
-        large = _large_star(now)
-        nxt = materialize(_small_star(large), "edges")
-        found = _checksum(nxt)
+    while True:
+        parts = max(1, -(-now.count() // task_edges))
+        dealt = now.repartition(parts) if parts == 1 else now.repartition(parts, "a", "b")
+        stars = materialize(dealt.mapInArrow(_forest, "a bigint, b bigint"), "stars")
         discard(now)
-        now = nxt
-        if found == seen:
+        if parts == 1:
+            break
+        now = materialize(_small_star(_large_star(stars.distinct())), "edges")
+        if _checksum(now) == _checksum(stars):
             break
-        seen = found
-    else:
-        raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
-    pairs = now.select(F.col("a").alias("node"), F.col("b").alias("root"))
+        discard(stars)
+    pairs = stars.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return pairs.unionByName(pairs.select(F.col("root").alias("node"), "root").distinct())
 
 
-def _united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Union-find with the smaller root on top, over a bounded number of edges."""
+def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, root) of a task's edges, roots left out: union-find with the smaller root on top."""
     above: dict[int, int] = {}
 
     def root(x: int) -> int:
@@ -59,8 +55,8 @@ def _united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a, b in zip(rb.column(0).to_pylist(), rb.column(1).to_pylist(), strict=True):
             a, b = root(a), root(b)
             above[max(a, b)] = min(a, b)
-    nodes = sorted(above)
-    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([root(x) for x in nodes], pa.int64())], names=["node", "root"])
+    pairs = [(x, r) for x in sorted(above) if (r := root(x)) != x]
+    yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
 
 def _oriented(edges: DataFrame) -> DataFrame:
