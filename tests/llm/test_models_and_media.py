@@ -372,7 +372,9 @@ def test_pieces_are_those_of_the_library():
     rng = np.random.default_rng(4)
     chars = list("ab  ▁é\n日😀ﬁthe.1")
     texts = PIECES + ["".join(rng.choice(chars, rng.integers(0, 40))) for _ in range(400)]
+    texts += ["".join(rng.choice(list("etaoinshrdlu"), 20_000)), "".join(rng.choice(list("日本語中文字人大小国的一是不了"), 20_000)), "aaab" * 5_000, "e" * 7_001]
     own = sentencepieces.encoder()
+    assert own.pieces.hasty.any() and not own.pieces.hasty.all()
     for _ in range(2):
         got = [np.frombuffer(x, "<u4").tolist() for x in own.batch(texts)]
         assert got == told.encode(texts, num_threads=1)

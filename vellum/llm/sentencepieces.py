@@ -4,14 +4,15 @@ A batch's units (a run of word marks and what follows up to the next mark; no pi
 text, whose suffixes are sorted by as many characters as the longest piece has. Every piece is found in it by binary
 search, its occurrences are edges of the text, and the edges are sorted by position. The model at hand is a BPE model:
 relaxing its edges by the best sum of scores would not give its segmentation. So edges are relaxed in the model's own
-order: in each unit, of the edges that cover exactly two adjacent symbols, the one of the greatest score, the leftmost
-of equal ones, joins them, until none is left; all units advance together. Symbols that are no piece become bytes.
+order: of the edges that cover exactly two adjacent symbols, those of the greatest score, from the left, join them,
+until none is left. No edge crosses the places that no piece covers, so a text falls there into segments that advance
+together, however long its units are; in each, all occurrences of its best piece are joined at once, or only the first
+where what it makes could be joined to more before the next one. Symbols that are no piece become bytes.
 """
 
 from __future__ import annotations
 
 import hashlib
-import heapq
 import re
 import zlib
 from collections.abc import Iterator
@@ -26,8 +27,8 @@ from vellum.llm.common import columns_of, table, with_columns_replaced
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
-#: Units kept by an encoder; characters that are indexed at once; characters from which a unit goes by heap.
-CACHED, INDEXED, LONG = 300_000, 600_000, 512
+#: Units kept by an encoder, and the longest that are; characters that are indexed at once.
+CACHED, CACHED_LENGTH, INDEXED = 300_000, 64, 600_000
 _NONE = np.iinfo(np.int64).max
 
 
@@ -54,6 +55,14 @@ class Pieces:
             own = [i for i in plain if len(self.names[i]) == k]
             if own:
                 self.by_length[k] = (np.array(own, np.int64), _points("".join(self.names[i] for i in own)).reshape(-1, k))
+        #: Places of pieces that are part of a piece of a lesser place: what joins them may be joined to more at once.
+        self.hasty = np.zeros(n + 1, bool)
+        for name, i in self.ids.items():
+            for k in range(1, len(name)):
+                if name[:k] in self.ids and name[k:] in self.ids:
+                    for part in (name[:k], name[k:]):
+                        if len(part) > 1 and self.place[self.ids[part]] >= self.place[i]:
+                            self.hasty[self.place[self.ids[part]]] = True
         byte_of = {i: b for b, i in self.bytes.items()}
         known = set(plain)
         self.raw = [bytes([byte_of[i]]) if i in byte_of else b"" if i not in known else p.replace(MARK, " ").encode() for i, p in enumerate(self.names)]
@@ -106,7 +115,13 @@ class Edges:
         self.ids = np.append(edges & 0x3FFFF, 0)
         self.first = np.searchsorted(at, np.arange(len(points)))
         self.lengths = np.zeros(len(points), np.int64)
-        np.bitwise_or.at(self.lengths, at, np.int64(1) << ((edges >> 18) & 63))
+        size = (edges >> 18) & 63
+        np.bitwise_or.at(self.lengths, at, np.int64(1) << size)
+        #: For each character, whether some piece covers it and the one before.
+        ends = np.zeros(len(points) + 2, np.int64)
+        np.add.at(ends, at + 1, 1)
+        np.add.at(ends, at + size, -1)
+        self.joined = np.cumsum(ends)[: len(points)] > 0
 
     def get(self, start: np.ndarray, length: np.ndarray) -> np.ndarray:
         """The piece that covers each span, -1 where none does."""
@@ -145,22 +160,18 @@ class Encoder:
             while end < len(new) and (end == at or size + len(new[end]) <= INDEXED):
                 size += len(new[end])
                 end += 1
-            for unit, ids in zip(new[at:end], self._encode(new[at:end]), strict=True):
+            for unit, ids in zip(new[at:end], self._relax(new[at:end]), strict=True):
                 self._known[unit] = ids
             at = end
         get = self._known.__getitem__
         out = [b"".join(map(get, units)) for units in split]
         for unit in new[max(0, len(new) - max(0, len(self._known) - self._cached)) :]:
             del self._known[unit]
+        for unit in new:
+            if len(unit) > CACHED_LENGTH:
+                self._known.pop(unit, None)
         return out
 
-    def _encode(self, units: list[str]) -> list[bytes]:
-        long = [i for i, u in enumerate(units) if len(u) >= LONG]
-        if long:
-            rest = iter(self._relax([u for u in units if len(u) < LONG]))
-            return [self._by_heap(u) if len(u) >= LONG else next(rest) for u in units]
-        return self._relax(units)
-
     def _relax(self, units: list[str]) -> list[bytes]:
         if not units:
             return []
@@ -168,7 +179,9 @@ class Encoder:
         points = _points(text)
         edges = Edges(points, self.pieces)
         sizes = np.fromiter(map(len, units), np.int64, len(units))
-        start, length, owner = np.arange(len(points)), np.ones(len(points), np.int64), np.repeat(np.arange(len(units)), sizes)
+        first = ~edges.joined
+        first[np.cumsum(sizes) - sizes] = True
+        start, length, owner = np.arange(len(points)), np.ones(len(points), np.int64), np.cumsum(first)
         place = self.pieces.place
         width = len(points) + 1
 
@@ -190,12 +203,17 @@ class Encoder:
                 start, length, owner, best = (x[~ended] for x in (start, length, owner, best))
                 if not len(start):
                     break
-                least = least[least != _NONE]
-            at = np.searchsorted(start, least % width)  # starts ascend
+                count, least = count[least != _NONE], least[least != _NONE]
+            piece = least // width
+            limit = np.where(self.pieces.hasty[piece], least, piece * width + width - 1)  # the leftmost, or all of the piece
+            at = np.flatnonzero(best <= np.repeat(limit, count))
+            fresh = np.concatenate([[True], at[1:] != at[:-1] + 1])
+            of_run = np.arange(len(at)) - np.flatnonzero(fresh)[np.cumsum(fresh) - 1]
+            at = at[of_run % 2 == 0]  # of overlapping ones every second, from the left
             length[at] += length[at + 1]
             keep = np.ones(len(start), bool)
             keep[at + 1] = False
-            at = at - np.arange(len(at))  # one symbol went before each later unit's
+            at = at - np.arange(len(at))  # a symbol went before each later one
             start, length, owner, best = (x[keep] for x in (start, length, owner, best))
             for left in (at, at[at > 0] - 1):
                 left = left[left < len(start)]
@@ -218,34 +236,6 @@ class Encoder:
         cut = (4 * np.searchsorted(which, np.arange(len(units) + 1))).tolist()
         return [raw[a:b] for a, b in zip(cut, cut[1:], strict=False)]
 
-    def _by_heap(self, unit: str) -> bytes:
-        """The same order of joins for one long unit, by a heap over its adjacent symbols."""
-        ids, place = self.pieces.ids, self.pieces.place
-        sym: list[str] = list(unit)
-        after, before = list(range(1, len(sym) + 1)), list(range(-1, len(sym) - 1))
-        heap: list[tuple[int, int, int, str]] = []
-
-        def offer(i: int) -> None:
-            if i >= 0 and after[i] < len(sym) and (p := ids.get(sym[i] + sym[after[i]])) is not None:
-                heapq.heappush(heap, (int(place[p]), i, after[i], sym[i] + sym[after[i]]))
-
-        for i in range(len(sym) - 1):
-            offer(i)
-        while heap:
-            _, i, j, joined = heapq.heappop(heap)
-            if not sym[i] or not sym[j] or after[i] != j or sym[i] + sym[j] != joined:
-                continue
-            sym[i], sym[j], after[i] = joined, "", after[j]
-            if after[j] < len(sym):
-                before[after[j]] = i
-            offer(i)
-            offer(before[i])
-        out: list[int] = []
-        for x in sym:
-            if x:
-                out += [ids[x]] if x in ids else self.pieces.fallback(x)
-        return np.array(out, "<u4").tobytes()
-
     def decode(self, ids: list[int]) -> str:
         """The text of ids: bytes join to characters, the mark put before the text goes."""
         raw = self.pieces.raw
@@ -273,7 +263,8 @@ def encoder(name: str = MODEL, folder: str | None = None) -> Encoder:
 def encode(docs: DataFrame, text_col: str = "text", out: str = "ids", *, name: str = MODEL, folder: str | None = None) -> DataFrame:
     """docs with the ids of each whole text (array<int>; empty for null and empty texts). A column `out` is replaced."""
     keep = with_columns_replaced(docs, [out])
-    schema = T.StructType([*[docs.schema[c] for c in keep], T.StructField(out, T.ArrayType(T.IntegerType()))])
+    frame = docs.select(*columns_of(docs, keep), *columns_of(docs, [text_col])).toDF(*[f"c{i}" for i in range(len(keep) + 1)])
+    schema = T.StructType([*frame.schema.fields[:-1], T.StructField("made", T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = encoder(name, folder)
@@ -281,13 +272,14 @@ def encode(docs: DataFrame, text_col: str = "text", out: str = "ids", *, name: s
             ids = [np.frombuffer(x, "<i4") for x in work.batch([x or "" for x in rb.column(len(keep)).to_pylist()])]
             yield pa.RecordBatch.from_arrays([*rb.columns[: len(keep)], pa.array(ids, pa.list_(pa.int32()))], names=schema.names)
 
-    return docs.select(*columns_of(docs, keep), *columns_of(docs, [text_col])).mapInArrow(run, schema)
+    return frame.mapInArrow(run, schema).toDF(*keep, out)
 
 
 def decode(encoded: DataFrame, ids_col: str = "ids", out: str = "text", *, name: str = MODEL, folder: str | None = None) -> DataFrame:
     """encoded with the text of each row's ids (null ids: ''). A column `out` is replaced."""
     keep = with_columns_replaced(encoded, [out])
-    schema = T.StructType([*[encoded.schema[c] for c in keep], T.StructField(out, T.StringType())])
+    frame = encoded.select(*columns_of(encoded, keep), *columns_of(encoded, [ids_col])).toDF(*[f"c{i}" for i in range(len(keep) + 1)])
+    schema = T.StructType([*frame.schema.fields[:-1], T.StructField("made", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = encoder(name, folder)
@@ -295,7 +287,7 @@ def decode(encoded: DataFrame, ids_col: str = "ids", out: str = "text", *, name:
             texts = [work.decode(x or []) for x in rb.column(len(keep)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*rb.columns[: len(keep)], pa.array(texts, pa.string())], names=schema.names)
 
-    return encoded.select(*columns_of(encoded, keep), *columns_of(encoded, [ids_col])).mapInArrow(run, schema)
+    return frame.mapInArrow(run, schema).toDF(*keep, out)
 
 
 def encode_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -318,4 +310,5 @@ def encode_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def op10_sentencepieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Null and empty texts have no ids and come back as ''; repeated rows stay."""
     return encode_digests(table(spark, sf_dir, "documents"))
