@@ -236,6 +236,62 @@ def test_trees_and_isotonic():
     assert (np.diff(ps) >= 0).all() and (np.diff(xs) >= 0).all() and 0 <= ps.min() and ps.max() <= 1
 
 
+def test_trees_and_features_against_plain_versions():
+    rng = np.random.default_rng(1)
+    x, y = rng.standard_normal((500, 4)).round(1), rng.integers(0, 2, 500).astype(float)
+    trees = toxicity.Boosted(trees=15, depth=3, min_leaf=5).fit(x, y)
+    for row, raw in zip(x[:60], trees.raw(x[:60]), strict=True):
+        total = trees.base
+        for t in range(15):
+            node = 0
+            while node < 7:
+                node = 2 * node + 1 + (row[trees.feature[t, node]] > trees.cut[t, node])
+            total += trees.leaf[t][node - 7]
+        assert raw == pytest.approx(total)
+    xs, ps = toxicity.isotonic(x[:, 0], y)
+    order = np.argsort(x[:, 0], kind="stable")
+    a, b = x[order, 0], y[order]
+    values = np.unique(a)
+    sums, n = np.array([b[a == v].sum() for v in values]), np.array([(a == v).sum() for v in values])
+    for i, v in enumerate(values):  # the greatest of the least means of ranges around a value, each shrunk by one row
+        fits = max(min(sums[j : k + 1].sum() / n[j : k + 1].sum() for k in range(i, len(values))) for j in range(i + 1))
+        got = float(ps[np.searchsorted(xs, v, "right") - 1])
+        assert abs(got - fits) <= 1 / 2 and (fits in (0.0, 1.0) or abs(got - fits) < 0.2)
+    text = "You idiot! you ARE 1d10t, zzz. 50 words"
+    row = dict(zip(toxicity.FEATURES, toxicity.Features({"idiot": 2.0}, {"zzzz": 1.0}).one(text), strict=True))
+    assert row["words_log"] == pytest.approx(np.log1p(8)) and row["hits"] == 2 and row["veiled_hits"] == 1 and row["near_second"] == 2
+    assert row["second_rate"] == 25.0 and row["bang_rate"] == 1 / len(text) and row["digit_rate"] == 5 / len(text) and row["capital_rate"] == 4 / len(text)
+
+
+def test_samples_of_repeated_ids_are_bounded(spark):
+    docs = spark.createDataFrame([(1, "a b c")] * 50 + [(1, "b")] * 50 + [(2, None)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(1, 1), (1, 1), (2, 0)], "doc_id bigint, toxic int")
+    assert toxicity.sample(docs, labels, "toxic", "doc_id", "text").count() <= 2
+
+
+def test_discriminant_against_plain_densities():
+    rng = np.random.default_rng(2)
+    a, b = rng.standard_normal((300, 3)), rng.standard_normal((200, 3)) * [1, 2, 0.5] + [1, 0, 0]
+    model = quality.Discriminant([300, 200], [a.sum(0), b.sum(0)], [a.T @ a, b.T @ b])
+    pooled = (np.cov(a.T, bias=True) * 300 + np.cov(b.T, bias=True) * 200) / 500
+    logs = []
+    for own in (a, b):
+        weight = quality.SHRINK + (1 - quality.SHRINK) * 3 / (len(own) + 3)
+        cov = np.cov(own.T)
+        cov = (1 - weight) * cov + weight * np.diag(np.diag(cov)) + quality.RIDGE * np.diag(np.diag(pooled))
+        x = rng.standard_normal((1, 3)) * 0 + np.array([[0.3, -1.0, 0.2]])
+        gap = x - own.mean(0)
+        logs.append(np.log((len(own) + 1) / 502) - 0.5 * np.linalg.slogdet(cov)[1] - 0.5 * (gap @ np.linalg.inv(cov) @ gap.T).item())
+    assert model.log_odds(np.array([[0.3, -1.0, 0.2]])).item() == pytest.approx(logs[1] - logs[0])
+
+
+def test_rows_without_an_id_are_not_held_out(spark, tmp_path):
+    spark.createDataFrame([(None, "a b"), (3, "c d")], "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(3, 1, 1)], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert quality.op7_quality(spark, str(tmp_path)).where("held_out is null").count() == 0
+    assert toxicity.op4_toxicity(spark, str(tmp_path)).where("held_out is null").count() == 0
+
+
 def test_quality(labelled, spark):
     docs, labels, known = labelled
     rows = quality.classify(docs, labels).select("doc_id", "score", (quality.fold(F.col("doc_id")) == quality.HELD_OUT).alias("held")).toPandas().merge(known, on="doc_id")
@@ -360,6 +416,59 @@ def test_language_fusion(spark):
     assert language_id.address("HTTP://u@WWW.Ex.co.uk:80/p?q#f") == ("www.ex.co.uk", "co.uk", "uk")
 
 
+def test_fusion_against_a_plain_version(spark):
+    rng = np.random.default_rng(5)
+    names = ["aa", "bb", "cc"]
+    profiles = language_id.Profiles(names, rng.integers(0, 50, (3, language_id.BUCKETS)).astype(float))
+    hosts = ["www.x.fr", "m.x.fr", "y.fr", "z.de", "w.z.de", ""]
+    rows = []
+    for i in range(60):
+        host = hosts[rng.integers(6)]
+        text = "".join(rng.choice(list("abcdefgh "), 4))
+        lang = ["", "aa", "bb", "qq"][rng.integers(4)]
+        rows.append((i, f"http://{host}/p" if host else None, f'<html lang="{lang}"><p>{text}</p></html>'))
+    told = {r.page_id: r for r in language_id.identify(spark.createDataFrame(rows, "page_id bigint, url string, html string"), profiles).collect()}
+    seen = {}
+    for i, url, html in rows:
+        logs = profiles.likelihood(language_id.visible_text(html))
+        said = language_id.declared_language(html)
+        seen[i] = (*language_id.address(url), said if said in names or not said else "?", logs, np.exp(logs) / np.exp(logs).sum())
+    for i, (host, domain, suffix, said, logs, own) in seen.items():
+        others = [x for j, x in seen.items() if j != i]
+        add = lambda keep: sum((x[5] for x in others if keep(x)), np.zeros(3))
+        everyone, full = add(lambda x: True), add(lambda x: True) + own
+        share = (full + 1) / (full.sum() + 3)
+        at_domain = (add(lambda x: x[1] == domain) + 5 * share) / (add(lambda x: x[1] == domain).sum() + 5)  # noqa: B023
+        prior = (add(lambda x: x[0] == host) + 3 * at_domain) / (add(lambda x: x[0] == host).sum() + 3)  # noqa: B023
+        total = logs + np.log(prior + 1e-9)
+        likely = lambda c, of: np.log((c + c.sum() / max(of.sum(), 1) + 1e-6) / (of + 1 + 1e-6))
+        if said:
+            total = total + likely(add(lambda x: x[3] == said), everyone)  # noqa: B023
+        if suffix:
+            total = total + likely(add(lambda x: x[2] == suffix and x[1] != domain), add(lambda x: x[1] != domain))  # noqa: B023
+        post = np.exp(total - total.max()) / np.exp(total - total.max()).sum()
+        assert told[i].lang == names[int(post.argmax())] and told[i].score == pytest.approx(post.max(), abs=1e-6)
+
+
+def test_languages_of_pages_of_unseen_texts(spark):
+    """Pages name their language and document in their paths, which no evidence is taken from."""
+    base = "/root/testdata/sf0.1"
+    profiles = language_id.fit_profiles(spark.read.parquet(f"{base}/documents.parquet").where("doc_id % 2 = 0"))
+    pages = spark.read.parquet(f"{base}/pages.parquet")
+    truth = F.regexp_extract("url", "^[a-z]+://[^/]+/([a-z]{2})/([0-9]+)", 1)
+    known = pages.select("page_id", truth.alias("truth"), F.regexp_extract("url", "/([0-9]+)[^/]*$", 1).try_cast("int").alias("d")).where("truth <> '' and d % 2 = 1")
+    rows = language_id.identify(pages, profiles).join(known, "page_id").selectExpr("count(*) AS n", "avg(int(lang = truth)) AS right").first()
+    assert rows.n > 300 and rows.right > 0.95, rows
+
+
+def test_more_languages_than_any_cap(spark):
+    rng = np.random.default_rng(4)
+    codes = [a + b for a in "abcdefghij" for b in "klmnopqr"]
+    docs = [(i * 100 + j, " ".join("".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 5)) for _ in range(4)), c) for i, c in enumerate(codes) for j in range(2)]
+    profiles = language_id.fit_profiles(spark.createDataFrame([*docs, (1, "x", "no language"), (None, "x", "zz")], "doc_id bigint, text string, lang string"))
+    assert profiles.languages == sorted(codes)
+
+
 # ---- pieces
 
 PIECES = ["", " ", "  ", "a", " a", "a ", "▁x", "a\tb\nc", "日本 ﬁ Ａ", "é é", "x " * 3, "a" * 3_000, "abcde" * 300, "the  quick   brown", "😀​", "hello world " * 200]

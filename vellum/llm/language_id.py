@@ -2,8 +2,9 @@
 
 For each page, the log likelihood of its visible text under character trigrams of each language is added to the log
 likelihoods of its declared markup language and of its address suffix, and to a log prior of its host. The two
-likelihood tables and the priors come from grouped aggregation of the texts' own posteriors: a host's counts are
-smoothed by its domain's, those by its suffix's, those by all pages', and a page's own share is taken out first.
+likelihood tables and the priors come from grouped aggregation of the texts' own posteriors, and each page counts once:
+a host's counts are smoothed by its domain's and those by all pages', a suffix's likelihood comes from the pages outside
+the page's domain, and the page's own share is taken out of every table first.
 """
 
 from __future__ import annotations
@@ -13,18 +14,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vellum.llm.common import columns_of, discard, materialize, table
 
-#: Rows that profiles are fitted on (ids that hash lowest), languages known at most, hashed trigrams.
-PROFILE_ROWS, MAX_LANGUAGES, BUCKETS = 4_000, 64, 1 << 14
+#: Documents of each language that its profile is fitted on (those whose ids hash lowest), hashed trigrams.
+PROFILE_ROWS, BUCKETS = 1_000, 1 << 14
+#: What a language's code looks like; other values of the column are no language, so languages are 18,252 at most.
+CODE = "^[a-z]{2,3}$"
+#: Pages that make a host hot at least; hot hosts have over one in a thousand pages, so they are a thousand at most.
+HOT_PAGES = 1_000
 #: Trigrams count as so many independent ones at most: neighbours in a text are not.
 EVIDENCE = 60.0
 #: Pages that a level's parent counts for.
-HOST_WEIGHT, DOMAIN_WEIGHT, SUFFIX_WEIGHT = 3.0, 5.0, 10.0
+HOST_WEIGHT, DOMAIN_WEIGHT = 3.0, 5.0
 TABLE_WEIGHT = 1.0
 _NONE, _OTHER = "", "?"
 
@@ -84,10 +89,14 @@ class Profiles:
 
 
 def fit_profiles(docs: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", text_col: str = "text", rows: int = PROFILE_ROWS) -> Profiles:
-    """From the `rows` documents whose ids hash lowest; of their languages the MAX_LANGUAGES most frequent."""
-    known = docs.select(F.col(id_col).alias("id"), F.lower(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    chosen = materialize(known.where("id is not null and lang is not null").select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(rows), "chosen")
-    texts = known.where("lang is not null").join(F.broadcast(chosen), "id").select("lang", "text")
+    """From the `rows` documents of each language whose ids hash lowest: every language that occurs has a profile.
+    Codes count in lower case; documents without an id or with no code are left out."""
+    known = docs.select(*[c.alias(n) for c, n in zip(columns_of(docs, [id_col, lang_col, text_col]), ("id", "lang", "text"), strict=True)]).withColumn("lang", F.lower("lang"))
+    known = known.where(F.col("id").isNotNull() & F.col("lang").rlike(CODE))
+    first = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
+    ids = known.select("id", "lang").distinct().withColumn("n", F.row_number().over(first)).where(F.col("n") <= rows).select("id", "lang")
+    chosen = materialize(ids, "chosen")
+    texts = known.join(chosen, ["id", "lang"]).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, np.ndarray] = {}
@@ -100,11 +109,11 @@ def fit_profiles(docs: DataFrame, lang_col: str = "lang", id_col: str = "doc_id"
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(grams[at], pa.int64())], names=["lang", "gram", "n"])
 
     counted = materialize(texts.mapInArrow(count, "lang string, gram int, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
-    languages = sorted(r["lang"] for r in counted.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect())
-    table_ = np.zeros((len(languages), BUCKETS))
+    told = counted.toArrow()  # a row at most for each language and trigram
+    languages = sorted(set(told["lang"].to_pylist()))
     place = {x: i for i, x in enumerate(languages)}
-    for r in counted.where(F.col("lang").isin(languages)).collect():  # MAX_LANGUAGES x BUCKETS rows at most
-        table_[place[r["lang"]], r["gram"]] = r["n"]
+    table_ = np.zeros((len(languages), BUCKETS))
+    table_[[place[x] for x in told["lang"].to_pylist()], told["gram"].to_numpy()] = told["n"].to_numpy()
     discard(counted)
     discard(chosen)
     return Profiles(languages, table_)
@@ -112,7 +121,8 @@ def fit_profiles(docs: DataFrame, lang_col: str = "lang", id_col: str = "doc_id"
 
 def evidence(pages: DataFrame, profiles: Profiles, id_col: str, url_col: str, html_col: str) -> DataFrame:
     """(id, host, domain, suffix, declared, logs, own): own is the text's own posterior."""
-    schema = T.StructType([pages.schema[id_col], *T.StructType.fromDDL("host string, domain string, suffix string, declared string, logs array<double>, own array<double>").fields])
+    frame = pages.select(*columns_of(pages, [id_col, url_col, html_col])).toDF("id", "url", "html")
+    schema = T.StructType([frame.schema["id"], *T.StructType.fromDDL("host string, domain string, suffix string, declared string, logs array<double>, own array<double>").fields])
     shared = pages.sparkSession.sparkContext.broadcast(profiles)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,7 +138,7 @@ def evidence(pages: DataFrame, profiles: Profiles, id_col: str, url_col: str, ht
                 [rb.column(0), *made, pa.array(said, pa.string()), pa.array(logs, pa.list_(pa.float64())), pa.array(own, pa.list_(pa.float64()))], names=schema.names
             )
 
-    return pages.select(*columns_of(pages, [id_col, url_col, html_col])).mapInArrow(run, schema)
+    return frame.mapInArrow(run, schema)
 
 
 def _counts(rows: DataFrame, by: str, n: int, out: str) -> DataFrame:
@@ -151,19 +161,22 @@ def identify(
     rows = materialize(evidence(pages, profiles, id_col, url_col, html_col), "evidence")
     total = np.array(rows.agg(*[F.sum(F.col("own")[i]) for i in range(n)]).first() or [0.0] * n, float)
     total = np.nan_to_num(total)
-    declared = {r["declared"]: np.array(r["c"]) for r in _counts(rows, "declared", n, "c").collect()}  # MAX_LANGUAGES + 2 rows at most
-    hosts = rows.groupBy("host").agg(F.first("domain").alias("domain"), F.first("suffix").alias("suffix"), *[F.sum(F.col("own")[i]).alias(f"s{i}") for i in range(n)])
-    hosts = materialize(hosts.select("host", "domain", "suffix", F.array(*[F.col(f"s{i}") for i in range(n)]).alias("own")), "hosts")
+    declared = {r["declared"]: np.array(r["c"]) for r in _counts(rows, "declared", n, "c").collect()}  # a row for each language, two more
+    hosts = rows.groupBy("host").agg(F.first("domain").alias("domain"), F.first("suffix").alias("suffix"), F.count("*").alias("pages"), *[F.sum(F.col("own")[i]).alias(f"s{i}") for i in range(n)])
+    hosts = materialize(hosts.select("host", "domain", "suffix", "pages", F.array(*[F.col(f"s{i}") for i in range(n)]).alias("own")), "hosts")
     domains, suffixes = _counts(hosts, "domain", n, "in_domain"), _counts(hosts, "suffix", n, "in_suffix")
-    levels = hosts.join(domains, "domain").join(suffixes, "suffix").select("host", F.col("own").alias("in_host"), "in_domain", "in_suffix")
-    joined = rows.join(levels, "host").select(columns_of(rows, [id_col])[0], "suffix", "declared", "logs", "own", "in_host", "in_domain", "in_suffix")
-    schema = T.StructType([rows.schema[id_col], *T.StructType.fromDDL("lang string, score double, text_lang string, declared string").fields])
+    levels = hosts.join(domains, "domain").join(suffixes, "suffix").select("host", "pages", F.col("own").alias("in_host"), "in_domain", "in_suffix")
+    levels = materialize(levels, "levels")
+    hot = levels.where(F.col("pages") > max(HOT_PAGES, rows.count() // 1_000))
+    rest = rows.join(F.broadcast(hot.select("host")), "host", "left_anti").join(levels, "host")
+    every = rest.unionByName(rows.join(F.broadcast(hot), "host"))
+    joined = every.select("id", "suffix", "declared", "logs", "own", "in_host", "in_domain", "in_suffix")
+    schema = T.StructType([rows.schema["id"], *T.StructType.fromDDL("lang string, score double, text_lang string, declared string").fields])
     names = profiles.languages
 
     def fuse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         share = (total + 1.0) / (total.sum() + n)
         everyone = sum(declared.values()) if declared else np.zeros(n)
-        tables = {d: np.log((c + TABLE_WEIGHT * everyone / max(everyone.sum(), 1e-9) + 1e-6) / (everyone + TABLE_WEIGHT + 1e-6)) for d, c in declared.items() if d != _NONE}
         for rb in batches:
             if not rb.num_rows:
                 continue
@@ -171,15 +184,15 @@ def identify(
             logs = rb.column(3).flatten().to_numpy(zero_copy_only=False).reshape(-1, n)
             without = lambda c: np.maximum(c - own, 0.0)  # noqa: B023, E731
             mix = lambda c, weight, parent: (c + weight * parent) / (c.sum(1, keepdims=True) + weight)
-            at_suffix = mix(without(suffix), SUFFIX_WEIGHT, share[None, :])
-            at_domain = mix(without(domain), DOMAIN_WEIGHT, at_suffix)
-            prior = mix(without(host), HOST_WEIGHT, at_domain)
+            prior = mix(without(host), HOST_WEIGHT, mix(without(domain), DOMAIN_WEIGHT, share[None, :]))
+            # The likelihood of evidence: its share of a language's pages, smoothed by its share of all of them.
+            likely = lambda c, of: np.log((c + TABLE_WEIGHT * c.sum(1, keepdims=True) / np.maximum(of.sum(1, keepdims=True), 1.0) + 1e-6) / (of + TABLE_WEIGHT + 1e-6))
             said = rb.column(2).to_pylist()
-            # A suffix's likelihood: its share of a language's pages, smoothed by its share of all pages.
-            rest = without(suffix)
-            ends = np.log((rest + TABLE_WEIGHT * rest.sum(1, keepdims=True) / max(total.sum(), 1.0) + 1e-6) / (total[None, :] + TABLE_WEIGHT + 1e-6))
+            tables = likely(without(np.stack([declared[d] for d in said])), without(np.broadcast_to(everyone, own.shape)))
+            tables[[d == _NONE for d in said]] = 0.0
+            ends = likely(np.maximum(suffix - domain, 0.0), np.maximum(total[None, :] - domain, 0.0))
             ends[[s == "" for s in rb.column(1).to_pylist()]] = 0.0
-            all_logs = logs + np.log(prior + 1e-9) + ends + np.array([tables.get(d, np.zeros(n)) for d in said]).reshape(-1, n)
+            all_logs = logs + np.log(prior + 1e-9) + ends + tables
             all_logs -= all_logs.max(1, keepdims=True)
             post = np.exp(all_logs)
             post /= post.sum(1, keepdims=True)
@@ -189,10 +202,11 @@ def identify(
                 names=schema.names,
             )
 
-    return joined.mapInArrow(fuse, schema)
+    return joined.mapInArrow(fuse, schema).withColumnRenamed("id", id_col)
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Null pages and addresses add no evidence; repeated rows stay."""
     profiles = fit_profiles(table(spark, sf_dir, "documents"))
     found = identify(table(spark, sf_dir, "pages"), profiles)
     return found.select("page_id", "lang", F.round("score", 6).alias("score"), "text_lang", "declared")

@@ -139,5 +139,6 @@ def classify(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Null and empty texts have the statistics of none; a row without an id is not held out; repeated rows stay."""
     scored = classify(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
-    return scored.select("doc_id", (fold(F.col("doc_id")) == HELD_OUT).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+    return scored.select("doc_id", F.coalesce(fold(F.col("doc_id")) == HELD_OUT, F.lit(False)).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

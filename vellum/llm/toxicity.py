@@ -238,13 +238,16 @@ def fold(id_column: Column, folds: int = FOLDS) -> Column:
 
 
 def sample(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str, text_col: str) -> DataFrame:
-    """(text, y, fold) of the labelled training rows whose ids hash lowest, up to the documented numbers."""
+    """(text, y, fold) of the labelled training rows whose ids hash lowest, up to the documented numbers. Of rows that
+    share an id, that of the least text hash is taken; an id with both labels is a row of each."""
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("y")).where(F.col("id").isNotNull() & F.col("y").isNotNull())
     known = known.withColumn("fold", fold(F.col("id"))).where(F.col("fold") != HELD_OUT).withColumn("h", F.xxhash64("id"))
     pick = lambda y, n: known.where(F.col("y") == y).orderBy("h", "id").limit(n)
     chosen = pick(1, MAX_POSITIVE).unionByName(pick(0, MAX_NEGATIVE)).drop("h")
     chosen = materialize(chosen, "chosen")  # at most MAX_POSITIVE + MAX_NEGATIVE rows of three numbers
-    found = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id")
+    found = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")).join(F.broadcast(chosen.distinct()), "id")
+    least = F.min_by(F.struct("text"), F.struct(F.xxhash64("text"), "text"))
+    found = found.groupBy("id", "y", "fold").agg(least["text"].alias("text"))
     return materialize(found.select("text", F.col("y").cast("double").alias("y"), "fold"), "sample")
 
 
@@ -260,7 +263,7 @@ def lexicons(rows: DataFrame) -> dict[int | None, tuple[dict[str, float], dict[s
             ids, keys, ys, folds = [], [], [], []
             for text, y, own_fold in zip(*[rb.column(i).to_pylist() for i in range(3)], strict=True):
                 every = (text or "").split()
-                words = {w for t in set(every) if 2 < len(w := _plain(t)) <= 40 and w.isalpha()}
+                words = {w for t in set(every) if 2 < len(w := _plain(t)) and w.isalpha()}
                 if not words:
                     continue
                 own = words | {f"{w[:n]}-" for w in words for n in STEMS if len(w) >= n}
@@ -323,7 +326,8 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", *, keep: list[s
     """docs with score (double, 0 to 1). Null and empty texts are scored as texts without words. A column named
     score is replaced."""
     keep = with_columns_replaced(docs, ["score"]) if keep is None else keep
-    schema = T.StructType([*[docs.schema[c] for c in keep], T.StructField("score", T.DoubleType())])
+    frame = docs.select(*columns_of(docs, keep), *columns_of(docs, [text_col])).toDF(*[f"c{i}" for i in range(len(keep) + 1)])
+    schema = T.StructType([*frame.schema.fields[:-1], T.StructField("score", T.DoubleType())])
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -332,7 +336,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", *, keep: list[s
             yield pa.RecordBatch.from_arrays([*rb.columns[: len(keep)], pa.array(model_.score(rb.column(len(keep)).to_pylist()))], names=schema.names)
         model_.features.codes.clear()  # the worker that ran this task goes on to others
 
-    return docs.select(*columns_of(docs, keep), *columns_of(docs, [text_col])).mapInArrow(run, schema)
+    return frame.mapInArrow(run, schema).toDF(*keep, "score")
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -344,6 +348,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.5, id
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Null and empty texts are scored as texts without words; a row without an id is not held out; repeated rows stay."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = score(docs, fit(docs, table(spark, sf_dir, "labels")), keep=["doc_id"])
-    return scored.select("doc_id", (fold(F.col("doc_id")) == HELD_OUT).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    return scored.select("doc_id", F.coalesce(fold(F.col("doc_id")) == HELD_OUT, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
