@@ -26,10 +26,12 @@ def sub(a: Column, b: Column) -> Column:
 
 
 def div(a: Column, b: Column) -> Column:
-    return F.when(b != 0, F.floor(a.cast("bigint") / b.cast("bigint")))
+    """Whole quotient, cut towards zero; null for a divisor of zero. No number goes through a double."""
+    return F.when(b != 0, F.call_function("div", a.cast("bigint"), b.cast("bigint")))
 
 
 def mod(a: Column, b: Column) -> Column:
+    """What div() leaves, with the dividend's sign; null for a divisor of zero."""
     return F.when(b != 0, a.cast("bigint") % b.cast("bigint"))
 
 

@@ -44,7 +44,7 @@ def variable_bytes(n: int) -> bytes:
     if n <= 0xFF:
         return bytes([0xC0, n])
     if n > 0x3FFF:
-        raise CompileError(f"variable number {n} is too large")
+        raise CompileError(f"no form for variable {n}")
     return (n + 0xC000).to_bytes(2, "big")
 
 
@@ -93,7 +93,7 @@ class Parser:
     def skip(self) -> None:
         self.at = _BLANK.match(self.s, self.at).end()
         if self.s.startswith("/*", self.at):
-            raise self.fail("unfinished comment")
+            raise self.fail("a comment is never closed")
 
     def peek(self) -> str:
         self.skip()
@@ -107,13 +107,13 @@ class Parser:
 
     def expect(self, char: str) -> None:
         if not self.take(char):
-            raise self.fail(f"{char!r} expected")
+            raise self.fail(f"no {char!r} here")
 
     def match(self, pattern: re.Pattern, what: str) -> str:
         self.skip()
         m = pattern.match(self.s, self.at)
         if not m:
-            raise self.fail(f"{what} expected")
+            raise self.fail(f"no {what} here")
         self.at = m.end()
         return m[0]
 
@@ -177,7 +177,7 @@ class Parser:
         elif self.take("#"):
             m = _FILE.match(self.s, self.at)
             if not m:
-                raise self.fail("file name expected")
+                raise self.fail("#file needs the name of a page")
             self.at = m.end()
             self.part("page", m[0])
         else:
@@ -228,20 +228,20 @@ class Parser:
             c = self.s[self.at : self.at + 1]
             if not c or self.at >= len(self.s) - 1 and c != end:
                 self.at = top
-                raise self.fail("unfinished string")
+                raise self.fail("a string is never closed")
             if c == end:
                 self.at += 1
                 return out
             if c == "<":
                 m = _CODEPOINT.match(self.s, self.at)
                 if not m:
-                    raise self.fail("code point expected")
+                    raise self.fail("<0x...> needs a code")
                 cell = int(m[1], 0).to_bytes(2, "big")
                 if self.raw:
                     try:
                         cell = charset.decode(cell).encode()
                     except UnicodeDecodeError:
-                        raise self.fail(f"no such character: {m[1]}") from None
+                        raise self.fail(f"{m[1]} is no character") from None
                 out += cell
                 self.at = m.end()
                 continue
@@ -249,7 +249,7 @@ class Parser:
                 self.at += 1
                 c = self.s[self.at]
             if c.isascii() and no_ascii:
-                raise self.fail("ASCII characters cannot be used here")
+                raise self.fail("this text may hold wide characters only")
             out += self.text(c, compact)
             self.at += 1
 
@@ -285,7 +285,7 @@ class Parser:
             else:
                 m = re.compile(r"[^,:]*(?=[,:])").match(self.s, self.at)
                 if not m:
-                    raise self.fail("unfinished string argument")
+                    raise self.fail("a string argument is never closed")
                 data, self.at = self.text(m[0]), m.end()
             self.emit(data + (b"\0" if kind == "z" else b":"))
 
@@ -294,11 +294,11 @@ class Parser:
     def parse(self) -> Unit:
         self.commands()
         if self.peek():
-            raise self.fail(f"unexpected {self.peek()!r}")
+            raise self.fail(f"{self.peek()!r} has no place here")
         if self.open_menu:
-            raise self.fail("unfinished menu item")
+            raise self.fail("a menu item is never closed")
         if self.branches:
-            raise self.fail("'}' expected")
+            raise self.fail("a block is never closed")
         return self.unit
 
     def commands(self) -> None:
@@ -319,7 +319,7 @@ class Parser:
         }.get(c)
         if not handler:
             self.at -= 1
-            raise self.fail(f"unknown command {c!r}")
+            raise self.fail(f"{c!r} begins no command")
         handler()
         return True
 
@@ -477,7 +477,7 @@ class Parser:
             first = False
             n = self.number()
             if n > 0xFFFF:
-                raise self.fail(f"number out of range: {n}")
+                raise self.fail(f"{n} does not fit a datum")
             self.emit(bytes([n & 255]) if self.take("b") else n.to_bytes(2, "little"))
 
     def call(self) -> None:
@@ -512,7 +512,7 @@ class Parser:
             return True
         m = _COMMAND.match(self.s, self.at)
         if not m:
-            raise self.fail("unknown command")
+            raise self.fail("no command of this name")
         top, name = self.at, m[0]
         self.at = m.end()
         if name in ("A", "R"):
@@ -531,7 +531,7 @@ class Parser:
             code, signature = self.lookup(name)
             if code is None:
                 self.at = top
-                raise self.fail(f"unknown command {name}")
+                raise self.fail(f"no command is called {name}")
             self.emit(code)
             if signature == "G":
                 self.page_command()
@@ -578,7 +578,7 @@ class Parser:
 
     def constants(self) -> None:
         if not self.keyword("word"):
-            raise self.fail("unknown constant type")
+            raise self.fail("constants are words")
         while True:
             name = self.match(_NAME, "identifier")
             self.take("=")
@@ -593,7 +593,7 @@ class Parser:
         elif self.keyword("address"):
             self.part("at", self.number())
         else:
-            raise self.fail("unknown pragma")
+            raise self.fail("no pragma of this name")
         self.expect(":")
 
     def foreign(self, m: re.Match) -> None:
@@ -601,7 +601,7 @@ class Parser:
         functions = self.dlls.get(m[1]) or []
         place = next((i for i, (f, _) in enumerate(functions) if f == m[2]), None)
         if place is None:
-            raise self.fail(f"unknown function {m[0]}")
+            raise self.fail(f"no library has a function {m[0]}")
         self.at = m.end()
         self.emit(O.extended()["dllCall"][0] + names.index(m[1]).to_bytes(4, "little") + place.to_bytes(4, "little"))
         comma = False
@@ -634,15 +634,15 @@ class Names:
     def add(self, kind: str, name: str, value: object) -> None:
         if kind == "var":
             if name in self.constants:
-                raise CompileError(f"{name!r} is already defined as a constant")
+                raise CompileError(f"{name!r} names a constant and a variable")
             self.variables.setdefault(name, len(self.variables))
         elif kind == "const":
             if name in self.constants or name in self.variables:
-                raise CompileError(f"constant {name!r} redefined")
+                raise CompileError(f"two constants are called {name!r}")
             self.constants[name] = value
         else:
             if name in self.functions:
-                raise CompileError(f"function {name!r} redefined")
+                raise CompileError(f"two functions are called {name!r}")
             self.functions[name] = value
 
 
@@ -664,7 +664,7 @@ def lay_out(unit: Unit, names: Names, page: int, start: int, where: str = "") ->
 
     def variable(name: str) -> int:
         if name not in names.variables:
-            raise CompileError(f"{where}: undefined variable {name!r}")
+            raise CompileError(f"{where}: no variable is called {name!r}")
         return names.variables[name]
 
     def put(parts: list[tuple]) -> None:
@@ -679,7 +679,7 @@ def lay_out(unit: Unit, names: Names, page: int, start: int, where: str = "") ->
                 out.code += O.INDEX + variable(x[0]).to_bytes(2, "big")
             elif kind == "page":
                 if x[0].lower() not in names.pages:
-                    raise CompileError(f"{where}: reference to unknown source file {x[0]!r}")
+                    raise CompileError(f"{where}: the project has no page {x[0]!r}")
                 out.code += number_bytes(names.pages[x[0].lower()])
             elif kind == "addr":
                 refs.append((len(out.code), x[0]))
@@ -688,7 +688,7 @@ def lay_out(unit: Unit, names: Names, page: int, start: int, where: str = "") ->
                 out.code += bytes(4)
             elif kind == "mark":
                 if x[0] in labels:
-                    raise CompileError(f"{where}: label {x[0]!r} redefined")
+                    raise CompileError(f"{where}: two labels are called {x[0]!r}")
                 labels[x[0]] = start + len(out.code)
             elif kind == "def":
                 for p in x[1]:
@@ -699,7 +699,7 @@ def lay_out(unit: Unit, names: Names, page: int, start: int, where: str = "") ->
             elif kind == "call":
                 wanted = names.functions.get(x[0])
                 if wanted is None:
-                    raise CompileError(f"{where}:{x[2]}: undefined function {x[0]!r}")
+                    raise CompileError(f"{where}:{x[2]}: no function is called {x[0]!r}")
                 if len(wanted) != len(x[1]):
                     raise CompileError(f"{where}:{x[2]}: {x[0]!r} takes {len(wanted)} arguments")
                 for p, value in zip(wanted, x[1], strict=True):
@@ -724,14 +724,14 @@ def lay_out(unit: Unit, names: Names, page: int, start: int, where: str = "") ->
 
     def function(name: str) -> None:
         if name not in names.functions:
-            raise CompileError(f"{where}: undefined function {name!r}")
+            raise CompileError(f"{where}: no function is called {name!r}")
         out.holes.append((len(out.code), name))
         out.code += bytes(6)
 
     put(unit.parts)
     for at, label in refs:
         if label not in labels:
-            raise CompileError(f"{where}: undefined label {label!r}")
+            raise CompileError(f"{where}: no label is called {label!r}")
         if at + 4 <= len(out.code):
             out.code[at : at + 4] = labels[label].to_bytes(4, "little")
     out.called = {x: labels[x] for x in out.called}

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from vellum.functions import arith, text
 from vellum.operators import spans, tables
+from vellum.sources import archive
+from vellum.text import glossary
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -46,12 +48,17 @@ def stable_id(part):
 
 @query(
     "pages",
-    sql="""SELECT page_id, CASE WHEN substr(url, 1, 8) = 'https://' THEN 'tls' WHEN substr(url, 1, 7) = 'http://' THEN 'plain' ELSE '?' END AS t,
+    sql="""SELECT page_id, CASE page_id % 8 WHEN 0 THEN 'pms' WHEN 1 THEN 'pms' WHEN 2 THEN 'qnt' WHEN 3 THEN 'jpeg' WHEN 4 THEN 'bmp' WHEN 5 THEN '' END AS t,
 CAST(length(html) AS BIGINT) AS n FROM pages""",
 )
 def type_sniff(pages):
-    kind = F.when(F.substring("url", 1, 8) == "https://", "tls").when(F.substring("url", 1, 7) == "http://", "plain").otherwise("?")
-    return pages.select("page_id", kind.alias("t"), F.length("html").cast("bigint").alias("n"))
+    """Pages behind the first bytes of each member type, without bytes (5), behind almost such bytes (6), and as they are (7)."""
+    heads = [F.unhex(F.lit(digits)) for digits, _ in text.MAGIC]
+    body = F.col("html").cast("binary")
+    data = F.when(F.col("page_id") % 8 == 5, F.lit("").cast("binary")).when(F.col("page_id") % 8 == 6, F.concat(F.unhex(F.lit("504D0300")), body))
+    for k, head in enumerate(heads):
+        data = data.when(F.col("page_id") % 8 == k, F.concat(head, body))
+    return pages.select("page_id", text.sniff(data.otherwise(body)).alias("t"), F.length("html").cast("bigint").alias("n"))
 
 
 @query("pages", sql="SELECT page_id, regexp_extract(url, '([^/]*)$', 1) AS b, regexp_extract(url, '^(.*)/[^/]*$', 1) AS d FROM pages")
@@ -99,16 +106,13 @@ FROM (SELECT l_orderkey, l_linenumber, CAST(floor(l_extendedprice) AS BIGINT) AS
 """,
 )
 def saturating_math(lineitem):
-    p, q, n = F.floor("l_extendedprice").cast("bigint"), F.floor("l_quantity").cast("bigint"), F.abs(F.col("l_linenumber") - 3).cast("bigint")
+    p, q, n = F.floor("l_extendedprice").cast("bigint"), F.floor("l_quantity").cast("bigint"), (F.col("l_linenumber") - 3).cast("bigint")
     return lineitem.select(
         "l_orderkey", "l_linenumber", arith.add(p, q).alias("plus"), arith.mul(p, q).alias("m"), arith.sub(q, F.lit(30)).alias("sub"),
         arith.div(p, n).alias("quot"), arith.mod(p, n).alias("rem"), arith.bits("&", q, F.lit(12).cast("bigint")).alias("conj"), arith.compare("<", q, F.lit(25)).alias("low"),
     )
 
 
-ORACLES["saturating_math"] = ORACLES["saturating_math"].replace("CAST(l_linenumber - 3 AS BIGINT)", "CAST(abs(l_linenumber - 3) AS BIGINT)")
-
-
 @query(
     "orders",
     sql="""SELECT o_orderkey, lower(CASE WHEN n <= 51 THEN printf('%02X', n + 64) WHEN n <= 16383 THEN printf('%04X', n)
@@ -238,13 +242,32 @@ def link_fill(lineitem):
 # ---- keys
 
 
+@query(
+    "documents",
+    "labels",
+    sql="""SELECT coalesce(a.doc_id, b.doc_id) AS entry_index, CASE WHEN a.doc_id IS NULL THEN 'only_right' WHEN b.doc_id IS NULL THEN 'only_left' WHEN b.quality = 0 THEN 'name' ELSE 'data' END AS state,
+CASE WHEN a.doc_id IS NOT NULL AND b.doc_id IS NOT NULL AND b.quality <> 0 THEN CAST(strlen(a.text) AS INTEGER) END AS at
+FROM (SELECT doc_id, text FROM documents WHERE lang <> 'fr') a
+FULL OUTER JOIN (SELECT l.doc_id, l.quality, l.toxic FROM labels l JOIN documents d ON d.doc_id = l.doc_id) b ON a.doc_id = b.doc_id
+WHERE a.doc_id IS NULL OR b.doc_id IS NULL OR b.quality = 0 OR b.toxic = 1""",
+)
+def archive_compare(documents, labels):
+    """Two archives of texts: names differ in case only, or by a letter where quality is 0; toxic ones have a byte more."""
+    name, data = F.concat("lang", F.lit(".txt")), F.col("text").cast("binary")
+    left = documents.where("lang <> 'fr'").select(F.col("doc_id").alias("entry_index"), name.alias("name"), data.alias("data"))
+    other = F.upper(F.concat(name, F.when(F.col("quality") == 0, F.lit("x")).otherwise(F.lit(""))))
+    more = F.concat(data, F.when(F.col("toxic") == 1, F.lit("!").cast("binary")).otherwise(F.lit("").cast("binary")))
+    right = labels.join(documents, "doc_id").select(F.col("doc_id").alias("entry_index"), other.alias("name"), more.alias("data"))
+    return archive.compare(left, right)
+
+
 @query(
     "documents",
     "labels",
     sql="""SELECT coalesce(a.doc_id, b.doc_id) AS id, CASE WHEN a.doc_id IS NULL THEN 'only_right' WHEN b.doc_id IS NULL THEN 'only_left' WHEN a.n_chars = b.n_chars THEN 'same' ELSE 'differ' END AS st
 FROM (SELECT doc_id, n_chars FROM documents WHERE lang <> 'fr') a FULL OUTER JOIN (SELECT l.doc_id, d.n_chars + l.toxic AS n_chars FROM labels l JOIN documents d ON d.doc_id = l.doc_id) b ON a.doc_id = b.doc_id""",
 )
-def archive_compare(documents, labels):
+def table_compare(documents, labels):
     left = documents.where("lang <> 'fr'").select("doc_id", "n_chars")
     right = labels.join(documents, "doc_id").select("doc_id", (F.col("n_chars") + F.col("toxic")).alias("n_chars"))
     return tables.compare(left, right, "doc_id", "n_chars")
@@ -310,10 +333,16 @@ def stopword_filter(part, lineitem):
     return tables.without(part, lineitem.where("l_quantity > 45"), "p_partkey", "l_partkey").select("p_partkey")
 
 
-@query("part", sql="SELECT p_partkey, CASE WHEN regexp_matches(p_type, '(?:Y|M)$') THEN 'hard' WHEN regexp_matches(p_type, '(?:O|L)$') THEN 'soft' ELSE 'other' END AS c FROM part")
+@query(
+    "part",
+    sql="""SELECT p_partkey, CASE p_partkey % 9 WHEN 0 THEN 'title_or_world_term' WHEN 1 THEN 'organization_candidate' WHEN 2 THEN 'facility_candidate' WHEN 3 THEN 'location_candidate'
+WHEN 4 THEN 'title_or_world_term' WHEN 5 THEN 'organization_candidate' WHEN 6 THEN 'location_candidate' ELSE 'named_phrase_candidate' END AS c FROM part""",
+)
 def suffix_class(part):
-    rules = F.when(F.col("p_type").rlike("(?:Y|M)$"), "hard").when(F.col("p_type").rlike("(?:O|L)$"), "soft").otherwise("other")
-    return part.select("p_partkey", rules.alias("c"))
+    """Names with endings of every class; 4: of two classes, the first wins; 7: an ending that is not last; 8: none."""
+    endings = F.array(*[F.lit(x) for x in ("将軍", "教団", "研究所", "神殿", "の女神", "帝国", "大都市", "森の", "")])
+    value = F.concat("p_name", F.element_at(endings, (F.col("p_partkey") % 9 + 1).cast("int")))
+    return part.select("p_partkey", glossary.classify_suffix(value).alias("c"))
 
 
 @query("part", sql="SELECT p_brand, p_partkey, CAST(rn AS BIGINT) AS rn FROM (SELECT p_brand, p_partkey, row_number() OVER (PARTITION BY p_brand ORDER BY p_size DESC, p_partkey) AS rn FROM part) WHERE rn <= 3")
