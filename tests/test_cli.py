@@ -10,6 +10,9 @@ def test_archives(spark, tmp_path, capsys):
     assert cli.main(["ald", "create", out, str(a), str(b)]) == 0
     assert cli.main(["ald", "list", out]) == 0 and "b.txt" in capsys.readouterr().out
     assert cli.main(["ald", "-d", str(tmp_path / "x"), "extract", out, "--", "2"]) == 0 and (tmp_path / "x" / "b.txt").read_bytes() == b.read_bytes()
+    assert cli.main(["ald", "-d", str(tmp_path / "x"), "-m", str(tmp_path / "x" / "m.txt"), "extract", out]) == 0
+    assert (tmp_path / "x" / "m.txt").read_text() == "1,1,a.txt\n1,2,b.txt\n"
+    assert cli.main(["ald", "-m", str(tmp_path / "x" / "m.txt"), "create", str(tmp_path / "ySA.ALD")]) == 0 and (tmp_path / "ySA.ALD").exists()
     assert cli.main(["ald", "dump", out, "--", "B.TXT"]) == 0 and "日本." in capsys.readouterr().out
     assert cli.main(["ald", "dump-index", out]) == 0 and "link 2" in capsys.readouterr().out
     assert cli.main(["ald", "compare", out, out]) == 0
@@ -45,5 +48,22 @@ def test_messages_go_through_the_side_file(spark, tmp_path):
     assert cli.main(["compile", "-g", "-p", str(src / "project.cfg"), "-o", str(out)]) == 0
     assert {p.name for p in out.iterdir()} == {"gameSA.ALD", "System39.ain", "gameSA.ALD.symbols"}
     assert cli.main(["decompile", str(out), "-o", str(back)]) == 0
+    assert (back / "a.adv").read_text() == (src / "a.adv").read_text()  # the symbols have it
+    assert "variables.txt" in (back / "project.cfg").read_text()
+    assert cli.main(["decompile", "-a", str(out), "-o", str(back)]) == 0
     text = (back / "a.adv").read_text()
-    assert "'はい'" in text and "'いいえ'" in text and (back / "variables.txt").read_text().split() == ["X"]
+    assert text != (src / "a.adv").read_text() and "'はい'" in text and "'いいえ'" in text and (back / "variables.txt").read_text().split() == ["X"]
+
+
+def test_dumps_show_characters_across_rows():
+    assert cli.gutters("0123456789abcde日本".encode("cp932") + b"\x81\0") == ["0123456789abcde日", " 本.."]
+    assert cli.gutters(b"") == [] and cli.gutters(b"a\n") == ["a."]
+
+
+def test_names_stay_in_their_folder(tmp_path):
+    import pytest
+
+    assert cli._inside("x", "a\\b.adv") == "x/a/b.adv"
+    for bad in ("../a", "/a", "a/../../b", "..\\a", ""):
+        with pytest.raises(ValueError, match="no file"):
+            cli._inside("x", bad)

@@ -80,7 +80,10 @@ def test_project(spark):
     texts, told = D.decompile_project(compiled, Config(disable_ain_message=True), D.Names(["X"]))
     back = compile_project(texts.select("page", "name", "text"), told)
     assert {(r.page, bytes(r.content), r.volume) for r in back.collect()} == {(r.page, bytes(r.content), r.volume) for r in compiled.collect()}
-    assert [r.page for r in D.missing_pages(texts.where("page <> 1")).collect()] == [1]
+    names = D.Names(functions={(1, 64): "late", (1, 40): "f", (2, 9): "there"}, aliases={(1, 40): ["again"]})
+    gone = D.missing_pages(texts.where("page <> 1"), names).collect()
+    assert [(r.page, r.text) for r in gone] == [(1, "pragma ald_volume 0:\npragma address 0x28:\n**f:\n**again:\npragma address 0x40:\n**late:\n")]
+    assert [r.text for r in D.missing_pages(texts.where("page <> 1")).collect()] == ["pragma ald_volume 0:\n"]
 
 
 def test_chains_of_calls_are_followed_to_their_end(spark, monkeypatch):
@@ -93,3 +96,42 @@ def test_chains_of_calls_are_followed_to_their_end(spark, monkeypatch):
     rows = spark.createDataFrame([(bytearray(p), 1) for p in pages], "content binary, volume int")
     told, _ = D.decompile_project(rows, config())
     assert [r.text.count(f"'deep{r.page}'") for r in told.orderBy("page").collect()] == [0, 1, 1, 1]
+
+
+@pytest.mark.parametrize("version", ["3.5", "3.8"])
+@pytest.mark.parametrize(
+    ("data", "shown"),
+    [
+        ('"name" "" "x y" [513, 1]', ['"name"', '""', '"x y"', "[513, 1]"]),
+        ('[1, 2, 3, 4, 5, 6, 7, 8, 9, 7b]', ["[1, 2, 3, 4, 5, 6, 7, 8, 9, 7b]"]),
+        ('[1] "a\\"b\\\\c\\<" [0b]', ["[1]", '"a\\"b\\\\c\\<"', '""']),
+        ('"日本語のカナ"', ['"日本語のカナ"']),
+        ('[65b, 0b]', ["[65]"]),
+        ('[0b]', ['""']),
+        ('[0b] "ab"', ['""', '"ab"']),
+    ],
+)
+def test_data_are_strings_and_numbers(version, data, shown):
+    pages, back, texts, _ = again([("a.adv", f"#t, 0: R @e: *t: {data} *e: R")], version)
+    assert pages == back, texts[0]
+    lines = texts[0].splitlines()
+    if version == "3.5":  # where the byte of a space is a wide one
+        shown = [x.replace("x y", "x\u3000y") for x in shown]
+    assert [x for x in lines if x[0] in '["'] == shown
+
+
+@pytest.mark.parametrize(("version", "options"), [("3.5", {}), ("3.8", {}), ("3.8", {"unicode": True})])
+def test_any_bytes_as_data(version, options):
+    import random
+
+    rng = random.Random(5)
+    for size in (1, 2, 3, 40, 400, 4000):
+        for choose in (range(256), (0, 0x41, 0x22, 0x5C, 0x3C), (0, 0x82, 0xA0, 0xE3, 0x81, 0x82, 0x20, 0x0A, 0x7F)):
+            data = ", ".join(f"{rng.choice(choose)}b" for _ in range(size))
+            pages, back, texts, _ = again([("a.adv", f"#t, 0: R @e: *t: [{data}] *e: R")], version, **options)
+            assert pages == back, texts[0]
+
+
+def test_long_data_take_time_in_proportion():
+    pages, back, _, _ = again([("a.adv", "#t, 0: R @e: *t: [" + ", ".join(["65b"] * 60_001) + "] *e: R")])
+    assert pages == back

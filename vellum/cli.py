@@ -40,15 +40,33 @@ def _write(path: str, data: bytes) -> None:
         f.write(data)
 
 
+def _inside(folder: str, name: str) -> str:
+    """The path of a file that a name from an archive asks for; names that lead out of the folder are errors."""
+    parts = name.replace("\\", "/").split("/")
+    if os.path.isabs(name) or ".." in parts or not parts[-1]:
+        raise ValueError(f"{name!r} is no file of this folder")
+    return os.path.join(folder, *parts)
+
+
 def _split(words: list[str]) -> tuple[list[str], list[str]]:
     """Archives, and the members after --."""
     at = words.index("--") if "--" in words else len(words)
     return words[:at], words[at + 1 :]
 
 
-def gutter(row: bytes) -> str:
-    """Text beside a row of a dump: what can be shown, dots for the rest."""
-    return "".join(c if c.isprintable() and c != "�" else "." for c in charset.decode(row, "�"))
+def gutters(data: bytes) -> list[str]:
+    """Text beside each 16 bytes of a dump: what can be shown, dots for the rest. A character of two bytes stands at the
+    first one; where that is the last of its row, the next row begins with a space."""
+    rows, at = [""] * -(-len(data) // 16), 0
+    while at < len(data):
+        pair = charset.is_lead(data[at]) and at + 1 < len(data) and charset.is_trail(data[at + 1])
+        size = 2 if pair else 1
+        shown = charset.decode(data[at : at + size], "�")
+        rows[at // 16] += shown if shown.isprintable() and shown != "�" or shown == "\u3000" else "."
+        if pair and at % 16 == 15:
+            rows[at // 16 + 1] += " "
+        at += size
+    return rows
 
 
 def ald(args: argparse.Namespace) -> int:
@@ -96,9 +114,11 @@ def ald(args: argparse.Namespace) -> int:
             if args.action == "extract":
                 _write(os.path.join(args.directory, r["name"]), r["data"])
             else:
-                for at in range(0, len(r["data"]), 16):
-                    row = bytes(r["data"][at : at + 16])
-                    print(f"{at:08x}  {row.hex(' '):47}  {gutter(row)}")
+                for i, beside in enumerate(gutters(bytes(r["data"]))):
+                    print(f"{i * 16:08x}  {bytes(r['data'][i * 16 : i * 16 + 16]).hex(' '):47}  {beside}")
+    if args.action == "extract" and args.manifest:
+        lines = archive.manifest(entries).orderBy("entry_index").toLocalIterator()
+        _write(args.manifest, "".join(f"{r['line']}\n" for r in lines).encode())
     return 0
 
 
@@ -166,34 +186,62 @@ def compile_(args: argparse.Namespace) -> int:
 
 def decompile(args: argparse.Namespace) -> int:
     spark = _session()
-    paths = [p for p in glob.glob(os.path.join(args.folder, "*")) if p.upper().endswith(".ALD") and os.path.basename(p).upper()[-6:-5] == "S"]
+    files = sorted(glob.glob(os.path.join(args.folder, "*")))
+    paths = [p for p in files if p.upper().endswith(".ALD") and os.path.basename(p).upper()[-6:-5] == "S"]
     entries = archive.read_ald(spark, *paths).where("entry_index is not null")
-    side = [p for p in glob.glob(os.path.join(args.folder, "*")) if p.lower().endswith(".ain")]
+    side = [p for p in files if p.lower().endswith(".ain")]
+    debug = [p for p in files if p.upper().endswith("SA.ALD.SYMBOLS")]
     names, config = decoder.Names(), project.Config(disable_ain_message=True)
     if side:
         with open(side[0], "rb") as f:
             ain = binary.read_ain(f.read())
         text = lambda b: charset.decode(b, "�")
-        places = {(p - 1, a): text(n[0]) for (p, a), n in binary.aliases(ain).items()}
-        names = decoder.Names(list(map(text, ain.variables)), places, ain.messages, [(text(d), [(text(f), t) for f, t in fs]) for d, fs in ain.dlls.items()])
+        places = {(p - 1, a): list(map(text, n)) for (p, a), n in binary.aliases(ain).items()}
+        dlls = [(text(d), [(text(f), t) for f, t in fs]) for d, fs in ain.dlls.items()]
+        names = decoder.Names(list(map(text, ain.variables)), {k: n[0] for k, n in places.items()}, ain.messages, dlls, {k: n[1:] for k, n in places.items() if n[1:]})
         config.disable_ain_message = not ain.messages
         if args.aindump:
             print(binary.ain_json(ain))
             return 0
+    told = None
+    if debug:
+        with open(debug[0], "rb") as f:
+            told = binary.read_symbols(f.read())
+        names.variables = names.variables or [_decoded(v) for v in told.variables]
     texts, config = decoder.decompile_project(entries.select(F.col("data").alias("content"), "volume"), config, names)
     encoding = "cp932" if args.encoding == "sjis" else "utf-8"
-    sources = []
-    for r in texts.orderBy("page").toLocalIterator():
-        sources.append(r["name"])
-        _write(os.path.join(args.output, r["name"]), r["text"].encode(encoding))
-    config.encoding, config.hed = args.encoding, "sources.hed"
+    if told and told.sources and not args.address:  # the sources as they were
+        sources = [_decoded(n) for n, _ in told.sources]
+        for name, (_, text_of) in zip(sources, told.sources, strict=True):
+            _write(_inside(args.output, name), text_of)
+        encoding = "utf-8" if all(_is_utf8(t) for _, t in told.sources) else "cp932"
+    else:
+        found = {}
+        for r in texts.toLocalIterator():
+            found[r["page"]] = r["name"]
+            _write(_inside(args.output, r["name"]), r["text"].encode(encoding))
+        here = spark.createDataFrame([(p,) for p in found], "page int")
+        for r in decoder.missing_pages(here, names).toLocalIterator():
+            found[r["page"]] = f"_missing{r['page']}.adv"
+            _write(os.path.join(args.output, found[r["page"]]), r["text"].encode(encoding))
+        sources = [found[p] for p in sorted(found)]
+    config.encoding, config.hed = "sjis" if encoding == "cp932" else "utf8", "sources.hed"
+    if names.variables:
+        config.variables = "variables.txt"
+        _write(os.path.join(args.output, config.variables), project.write_variables(names.variables).encode(encoding))
     _write(os.path.join(args.output, "project.cfg"), project.write_config(config).encode())
     _write(os.path.join(args.output, "sources.hed"), project.write_hed(project.Hed(sources)).encode(encoding))
-    if names.variables:
-        _write(os.path.join(args.output, "variables.txt"), project.write_variables(names.variables).encode(encoding))
     return 0
 
 
+def _is_utf8(raw: bytes) -> bool:
+    return charset.invalid_utf8_at(raw) < 0
+
+
+def _decoded(raw: bytes) -> str:
+    return raw.decode(errors="replace") if _is_utf8(raw) else charset.decode(raw, "�")
+
+
 def text_(args: argparse.Namespace) -> int:
     spark = _session()
     if args.action == "extract":
@@ -258,6 +306,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("-o", "--output", default=".")
     p.add_argument("-E", "--encoding", choices=("utf8", "sjis"), default="utf8")
     p.add_argument("-d", "--aindump", action="store_true")
+    p.add_argument("-a", "--address", action="store_true", help="read the pages even where symbols have their sources")
     p = tool("text", text_, ("extract", "apply"))
     p.add_argument("words", nargs="+")
     p.add_argument("--output", required=True)

@@ -8,6 +8,7 @@ source is for `disable_else`, with the jumps written out.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -35,6 +36,7 @@ class Names:
     functions: dict[tuple[int, int], str] = field(default_factory=dict)  # (page, address)
     messages: list[bytes] = field(default_factory=list)
     dlls: list[tuple[str, list[tuple[str, list[int]]]]] = field(default_factory=list)
+    aliases: dict[tuple[int, int], list[str]] = field(default_factory=dict)  # further names of a function
 
     def variable(self, n: int) -> str:
         return self.variables[n] if n < len(self.variables) and self.variables[n] else f"VAR{n}"
@@ -42,6 +44,10 @@ class Names:
     def function(self, page: int, address: int) -> str:
         return self.functions.get((page, address)) or f"F_{page}_{address:05x}"
 
+    def heads(self, page: int, address: int) -> list[str]:
+        """Lines that begin the function, one for each of its names."""
+        return [f"**{n}:" for n in (self.function(page, address), *self.aliases.get((page, address), ()))]
+
 
 # ---- expressions
 
@@ -418,6 +424,67 @@ class Walker:
         r.at = at
         return f"'{''.join(out)}'"
 
+    # data
+
+    def data_lines(self, at: int, upto: int) -> list[str]:
+        """Data as strings and numbers. Text of two bytes or more before a zero is a string; so is a zero alone, one
+        after a string and one before a string: an empty one. Else two bytes are a number; an odd last byte is one of
+        its own, with `b`. Linear in the bytes."""
+        lines: list[str] = []
+        words: list[str] = []
+        dead: set[int] = set()  # characters from which no string goes on
+        while at < upto:
+            found = self.data_text(at, upto, dead)
+            if not found and self.data[at] == 0:
+                beside = not words and (lines[-1:] and lines[-1][0] == '"' or self.data_text(at + 1, upto, dead))
+                found = ("", at + 1) if at + 1 == upto or beside else None
+            if not found:
+                words.append(f"{self.data[at]}b" if at + 1 == upto else str(int.from_bytes(self.data[at : at + 2], "little")))
+                at += 2
+            if words and (found or at >= upto):
+                lines.append(f"[{', '.join(words)}]")
+                words = []
+            if found:
+                lines.append(f'"{found[0]}"')
+                at = found[1]
+        return lines
+
+    def data_text(self, at: int, upto: int, dead: set[int]) -> tuple[str, int] | None:
+        """The string that begins here and what follows its zero; None where none does."""
+        begin, out, passed = at, [], [at]
+        while at < upto and at not in dead:
+            if self.data[at] == 0:
+                if at - begin < 2:
+                    break
+                return "".join(out), at + 1
+            shown, size = self.data_character(at, upto)
+            if not size:
+                break
+            passed.append(at)
+            out.append(shown)
+            at += size
+        dead.update(passed)
+        return None
+
+    def data_character(self, at: int, upto: int) -> tuple[str, int]:
+        """A character of a string and its bytes; no bytes where none is."""
+        b, old = self.data[at], self.version == 3.5
+        if self.c.unicode and b >= 0x80:
+            size = 2 if b < 0xE0 else 3 if b < 0xF0 else 4
+            try:
+                return self.data[at : min(at + size, upto)].decode(), size
+            except UnicodeDecodeError:
+                return "", 0
+        if old and charset.is_compacted(b):
+            return charset.decode(charset.expand(b)), 1
+        if charset.is_lead(b) and at + 1 < upto and charset.is_trail(self.data[at + 1]):
+            low = self.data[at + 1]
+            plain = charset.is_safe(b, low) and not (old and charset.compact(b, low))
+            return charset.cells()[b << 8 | low] if plain else f"<0x{b:02x}{low:02x}>", 2
+        if 0x20 <= b < 0x7F:
+            return f"\\{chr(b)}" if chr(b) in '\\<"' else chr(b), 1
+        return "", 0
+
 
 # ---- source
 
@@ -435,7 +502,7 @@ def has_else(walker: Walker) -> bool:
 
 
 def source(walker: Walker, functions: set[int], with_else: bool, volume: int = 1) -> str:
-    """The page's text, one instruction a line, data as bytes."""
+    """The page's text, one instruction a line, data as strings and numbers."""
     steps, names = walker.steps, walker.names
     before = {s.end: s for s in steps.values()}
     closing: dict[int, list[tuple[int, str]]] = {}
@@ -464,7 +531,7 @@ def source(walker: Walker, functions: set[int], with_else: bool, volume: int = 1
     def heads(a: int) -> None:
         lines.extend(text for _, text in sorted(closing.get(a, []), reverse=True))
         if a in functions:
-            lines.append(f"**{names.function(walker.page.page, a)}:")
+            lines.extend(names.heads(walker.page.page, a))
         if a in labels:
             lines.append(f"*{name(a)}:")
 
@@ -477,8 +544,8 @@ def source(walker: Walker, functions: set[int], with_else: bool, volume: int = 1
                 lines.append(text.format(*map(name, step.marks)) if step.marks else text)
             at = step.end
         else:
-            upto = next(x for x in stops if x > at)
-            lines += [f"[{', '.join(f'{b}b' for b in walker.data[i : min(i + 16, upto)])}]" for i in range(at, upto, 16)]
+            upto = stops[bisect_right(stops, at)]
+            lines += walker.data_lines(at, upto)
             at = upto
     heads(end)
     return "\n".join(lines) + "\n"
@@ -563,7 +630,12 @@ def decompile_project(pages: DataFrame, config: Config, names: Names | None = No
     return rows.mapInPandas(write, "page int, name string, volume int, text string"), config
 
 
-def missing_pages(pages: DataFrame) -> DataFrame:
-    """(page, text) of the pages that are not there below the last one: sources that put nothing into an archive."""
+def missing_pages(pages: DataFrame, names: Names | None = None) -> DataFrame:
+    """(page, text) of the pages that are not there below the last one: sources that put nothing into an archive, but
+    keep the addresses of the functions in them that `names` has."""
+    names = names or Names()
+    places = [(p, a, "\n".join([f"pragma address 0x{a:x}:", *names.heads(p, a)]) + "\n") for p, a in names.functions]
+    told = pages.sparkSession.createDataFrame(places, "page int, at bigint, line string").groupBy("page").agg(F.sort_array(F.collect_list(F.struct("at", "line"))).alias("told"))
     last = pages.agg(F.max("page").alias("n")).select(F.explode(F.sequence(F.lit(0), F.coalesce("n", F.lit(0)))).alias("page"))
-    return last.join(pages.select("page"), "page", "left_anti").withColumn("text", F.lit("pragma ald_volume 0:\n"))
+    lines = F.array_join(F.coalesce(F.col("told.line"), F.array().cast("array<string>")), "")
+    return last.join(pages.select("page"), "page", "left_anti").join(told, "page", "left").select("page", F.concat(F.lit("pragma ald_volume 0:\n"), lines).alias("text"))

@@ -239,6 +239,13 @@ def parse_manifest(lines: DataFrame, order: str = "at", line: str = "line") -> D
     return out
 
 
+def manifest(entries: DataFrame) -> DataFrame:
+    """(entry_index, line) of an archive's members: manifest lines `volume,link,name`, the link being the member's place.
+    Holes have no line."""
+    line = F.concat_ws(",", F.col("volume").cast("string"), F.col("entry_index").cast("string"), F.coalesce("name", F.lit("")))
+    return entries.where("entry_index is not null").select("entry_index", line.alias("line"))
+
+
 def save(files: DataFrame, name: str, content: str, folder: str) -> None:
     """One file a row, one at a time."""
     os.makedirs(folder, exist_ok=True)
