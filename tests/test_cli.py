@@ -31,8 +31,8 @@ def test_compile_decompile_and_text(spark, tmp_path, capsys):
     assert cli.main(["compile", "-p", str(src / "project.cfg"), "-o", one]) == 0
     assert cli.main(["decompile", one, "-o", two]) == 0
     cfg = tmp_path / "two" / "project.cfg"
-    cfg.write_text(cfg.read_text().replace("3.9", "3.8") + "ald_basename = game\nvariables = v.txt\n")
-    (tmp_path / "two" / "v.txt").write_text("VAR0\n")
+    cfg.write_text(cfg.read_text().replace("3.9", "3.8") + "ald_basename = game\n")
+    assert (tmp_path / "two" / "variables.txt").read_text().split() == ["VAR0"]
     assert cli.main(["compile", "-p", str(cfg), "-o", three]) == 0
     assert (tmp_path / "one" / "gameSA.ALD").read_bytes() == (tmp_path / "three" / "gameSA.ALD").read_bytes()
     assert cli.main(["text", "extract", two, "--output", str(tmp_path / "m"), "--candidates", str(tmp_path / "c")]) == 0

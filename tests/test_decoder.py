@@ -78,7 +78,7 @@ def test_project(spark):
     frame = spark.createDataFrame([(i, n, t) for i, (n, t) in enumerate(sources)], "page int, name string, text string").repartition(3)
     compiled = compile_project(frame, config)
     texts, told = D.decompile_project(compiled, Config(disable_ain_message=True), D.Names(["X"]))
-    back = compile_project(texts.select("page", "name", "text"), told)
+    back = compile_project(texts.select("page", "name", "text"), told, ["X"])
     assert {(r.page, bytes(r.content), r.volume) for r in back.collect()} == {(r.page, bytes(r.content), r.volume) for r in compiled.collect()}
     names = D.Names(functions={(1, 64): "late", (1, 40): "f", (2, 9): "there"}, aliases={(1, 40): ["again"]})
     gone = D.missing_pages(texts.where("page <> 1"), names).collect()
@@ -135,3 +135,36 @@ def test_any_bytes_as_data(version, options):
 def test_long_data_take_time_in_proportion():
     pages, back, _, _ = again([("a.adv", "#t, 0: R @e: *t: [" + ", ".join(["65b"] * 60_001) + "] *e: R")])
     assert pages == back
+
+
+CALLS = [
+    ("a.adv", "!A:1!!B:2!!C:3! ~f: !C:A! ~f: !A:5!!B:A+1! ~g: !A:7! *in: !B:8! ~g: !A:1!!C[2]:4!!B:2! ~g: @in:"),
+    ("b.adv", "@e: **f: ~0,C: **g: !A:3!!B:4! ~h: ~0,B: **h: ~0,A: *e: R"),
+]
+
+
+def test_calls_get_their_arguments():
+    """f: C in every call; g: B, as a label or an element stands before it; h: one call, all that it assigns."""
+    pages, back, texts, _ = again(CALLS, variables=["A", "B", "C"])
+    assert pages == back, texts
+    assert texts[0].splitlines()[:8] == ["!A:1!", "!B:2!", "~F_1_00025 3:", "~F_1_00025 A:", "!A:5!", "~F_1_0002a A+1:", "!A:7!", texts[0].splitlines()[7]]
+    assert [x for x in texts[1].splitlines() if x.startswith(("**", "~F"))] == ["**F_1_00025 C:", "**F_1_0002a B:", "~F_1_0003e 3, 4:", "**F_1_0003e A, B:"]
+
+
+@pytest.mark.parametrize(("many", "found"), [(20, True), (21, False)])
+def test_setting_up_is_no_call(many, found):
+    names = [f"v{i}" for i in range(many)]
+    program = "".join(f"!{n}:1!" for n in names) + "~f: R @e: **f: ~0,1: *e: R"
+    pages, back, texts, _ = again([("a.adv", program)], variables=names)
+    assert pages == back and texts[0].startswith("~F_") == found
+
+
+def test_calls_of_a_project_get_their_arguments(spark):
+    config = lambda: Config(sys_ver="3.8", disable_ain_message=True)
+    pages, _, _ = compile_pages(CALLS, config(), ["A", "B", "C"])
+    plain, _ = D.decompile_pages(pages, config(), D.Names(["A", "B", "C"]))
+    rows = spark.createDataFrame([(bytearray(p), 1) for p in pages], "content binary, volume int").repartition(2)
+    texts, _ = D.decompile_project(rows, config(), D.Names(["A", "B", "C"]))
+    assert [r.text for r in texts.orderBy("page").collect()] == plain
+    only, _ = D.decompile_project(rows.where("false").unionByName(spark.createDataFrame([(bytearray(pages[0]), 1)], rows.schema)), config(), D.Names(["A", "B", "C"]))
+    assert "~F_1_00025:" in only.first().text  # its page is not there

@@ -12,6 +12,7 @@ import argparse
 import glob
 import json
 import os
+import re
 import sys
 
 from pyspark.sql import SparkSession
@@ -23,6 +24,10 @@ from vellum.sources import archive, binary, images, project
 from vellum.text import catalog, glossary
 
 
+#: The greatest number of a variable that a page can name.
+MAX_VARIABLE = 0x3FFF
+
+
 def _session() -> SparkSession:
     from vellum.session import local_session
 
@@ -216,15 +221,17 @@ def decompile(args: argparse.Namespace) -> int:
             _write(_inside(args.output, name), text_of)
         encoding = "utf-8" if all(_is_utf8(t) for _, t in told.sources) else "cp932"
     else:
-        found = {}
+        found, most = {}, 0
         for r in texts.toLocalIterator():
             found[r["page"]] = r["name"]
+            most = max([most, *[n + 1 for n in map(int, re.findall(r"\bVAR(\d{1,5})\b", r["text"])) if n <= MAX_VARIABLE]])
             _write(_inside(args.output, r["name"]), r["text"].encode(encoding))
         here = spark.createDataFrame([(p,) for p in found], "page int")
         for r in decoder.missing_pages(here, names).toLocalIterator():
             found[r["page"]] = f"_missing{r['page']}.adv"
             _write(os.path.join(args.output, found[r["page"]]), r["text"].encode(encoding))
         sources = [found[p] for p in sorted(found)]
+        names.variables = [names.variable(i) for i in range(max(most, len(names.variables)))]
     config.encoding, config.hed = "sjis" if encoding == "cp932" else "utf8", "sources.hed"
     if names.variables:
         config.variables = "variables.txt"

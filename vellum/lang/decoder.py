@@ -2,7 +2,7 @@
 
 Each page is followed from its start, from its labels and from the functions that any page calls in it; what is never
 reached is data. Calls name places in other pages, so pages are followed in rounds until no new place turns up; a round
-only looks at pages that got one. Conditions get their else branches back where every page's jumps allow it; else the
+only looks at pages that got one. What every call of a function assigns last are its parameters. Conditions get their else branches back where every page's jumps allow it; else the
 source is for `disable_else`, with the jumps written out.
 """
 
@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from bisect import bisect_right
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from vellum.functions import charset
 from vellum.lang import opcodes as O
+from vellum.operators import tables
 from vellum.sources.binary import Page, read_page
 from vellum.sources.project import Config
 
@@ -26,6 +27,10 @@ _EXTRA = {int(v[2:], 16): k for k, v in O.OPERATORS.items() if len(v) == 4}
 _RANK = {op: len(O.LEVELS) - k for k, ops in enumerate(O.LEVELS) for op in ops}
 
 
+#: Assignments at once that are no arguments in the first page.
+_SET_UP = 20
+
+
 class DecodeError(ValueError):
     pass
 
@@ -37,6 +42,7 @@ class Names:
     messages: list[bytes] = field(default_factory=list)
     dlls: list[tuple[str, list[tuple[str, list[int]]]]] = field(default_factory=list)
     aliases: dict[tuple[int, int], list[str]] = field(default_factory=dict)  # further names of a function
+    parameters: dict[tuple[int, int], list[int]] = field(default_factory=dict)  # variables that its calls give values
 
     def variable(self, n: int) -> str:
         return self.variables[n] if n < len(self.variables) and self.variables[n] else f"VAR{n}"
@@ -46,7 +52,8 @@ class Names:
 
     def heads(self, page: int, address: int) -> list[str]:
         """Lines that begin the function, one for each of its names."""
-        return [f"**{n}:" for n in (self.function(page, address), *self.aliases.get((page, address), ()))]
+        given = ", ".join(map(self.variable, self.parameters.get((page, address), ())))
+        return [f"**{n} {given}".rstrip() + ":" for n in (self.function(page, address), *self.aliases.get((page, address), ()))]
 
 
 # ---- expressions
@@ -152,6 +159,7 @@ class Step:
     marks: tuple[int, ...] = ()  # addresses that need a label, data ones too
     calls: tuple[tuple[int, int], ...] = ()
     stops: bool = False  # what follows is only reached from elsewhere
+    sets: tuple[int, str] | None = None  # variable and value of a plain assignment
 
 
 class Walker:
@@ -189,6 +197,26 @@ class Walker:
     def calls(self) -> set[tuple[int, int]]:
         return {c for s in self.steps.values() for c in s.calls}
 
+    def assigned(self, functions: set[int]) -> dict[int, list[Step]]:
+        """Of each call, by its address, the plain assignments right before it, without a place among them that code is
+        come to from elsewhere. More than 20 at once from variable 0 on in the first page set the program up: none."""
+        entered = functions.union(*[(*s.targets, *s.marks) for s in self.steps.values()])
+        before = {s.end: s for s in self.steps.values() if s.sets}
+        out = {}
+        for s in self.steps.values():
+            if s.kind == "call":
+                run, at = [], s.start
+                while at not in entered and at in before:
+                    run.append(before[at])
+                    at = before[at].start
+                first = len(run) > _SET_UP and self.page.page == 0 and run[-1].sets[0] == 0
+                out[s.start] = [] if first else run[::-1]
+        return out
+
+    def given(self, functions: set[int]) -> list[tuple[int, int, list[int]]]:
+        """(page, address, variables assigned) of each call."""
+        return [(*self.steps[at].calls[0], [x.sets[0] for x in run]) for at, run in self.assigned(functions).items()]
+
     # one instruction
 
     def step(self, at: int) -> Step:
@@ -203,7 +231,8 @@ class Walker:
             value = r.expression()
             if b == 0x21 and self.data[r.at : r.at + 4] == b"<\0<\x01":
                 return self.counted(at, r, variable, value)
-            return done(f"!{say(variable)}{op}:{say(value)}!")
+            plain = b == 0x21 and variable[0] == "variable"
+            return done(f"!{say(variable)}{op}:{say(value)}!", sets=(variable[1], say(value)) if plain else None)
         if c == "{":
             value, end = r.expression(), r.number(4)
             return done(f"{{{say(value)}:", kind="if", targets=(end,))
@@ -279,7 +308,7 @@ class Walker:
             value = show(r.expression(), self.names)
             return Step(at, r.at, f"~0,{value}:", stops=True)
         place = (page - 1, r.number(4))
-        return Step(at, r.at, f"~{self.names.function(*place)}:", calls=(place,))
+        return Step(at, r.at, f"~{self.names.function(*place)}:", kind="call", calls=(place,))
 
     def letters(self, at: int, r: Reader) -> Step:
         for size in (3, 2, 1):
@@ -522,6 +551,12 @@ def source(walker: Walker, functions: set[int], with_else: bool, volume: int = 1
                 closing.setdefault(over, []).append((s.start, "}"))
         else:
             closing.setdefault(end, []).append((s.start, "}"))
+    for at, run in walker.assigned(functions).items():
+        place = steps[at].calls[0]
+        own = run[len(run) - len(names.parameters.get(place, ())) :]
+        if own:
+            silent.update(s.start for s in own)
+            opened[at] = f"~{names.function(*place)} {', '.join(s.sets[1] for s in own)}:"
     labels = {m for s in steps.values() if s.start not in silent for m in s.marks}
     name = lambda a: f"L_{a:05x}"
     lines = [] if volume == 1 else [f"pragma ald_volume {volume}:"]
@@ -557,7 +592,7 @@ def _start(page: Page) -> int:
 
 def decompile_pages(contents: list[bytes], config: Config, names: Names | None = None) -> tuple[list[str], Config]:
     """Texts of pages, and the configuration that they compile under; for a few pages, without Spark."""
-    names, pages = names or Names(), [read_page(c) for c in contents]
+    names, pages = replace(names or Names()), [read_page(c) for c in contents]
     if pages and pages[0].code[:4] == b"ZU\x41\x7f":
         config.unicode = True
     walkers = {p.page: Walker(p, _start(p), config, names) for p in pages}
@@ -570,17 +605,29 @@ def decompile_pages(contents: list[bytes], config: Config, names: Names | None =
         if not found:
             break
         seen |= found
+    own = lambda w: {a for p, a in seen if p == w.page.page}
+    common: dict[tuple[int, int], list[int]] = {}
+    for p, a, found in [x for w in walkers.values() for x in w.given(own(w)) if x[0] in walkers]:
+        common[p, a] = _common_end(common.get((p, a), found), found)
+    names.parameters = common
     with_else = float(config.sys_ver) >= 3.8 and all(has_else(w) for w in walkers.values())
     config.disable_else = not with_else
-    return [source(w, {a for p, a in seen if p == w.page.page}, with_else) for w in walkers.values()], config
+    return [source(w, own(w), with_else) for w in walkers.values()], config
+
+
+def _common_end(a: list[int], b: list[int]) -> list[int]:
+    n = next((i for i, (x, y) in enumerate(zip(reversed(a), reversed(b), strict=False)) if x != y), min(len(a), len(b)))
+    return a[len(a) - n :]
 
 
 def decompile_project(pages: DataFrame, config: Config, names: Names | None = None) -> tuple[DataFrame, Config]:
     """(page, name, volume, text) of (content, volume) rows of compiled pages, and the configuration for them.
 
     The places that calls name are gathered round by round; they are (page, address) pairs, bounded by the format.
-    A round follows only pages that got a new place."""
-    spark, names = pages.sparkSession, names or Names()
+    A round follows only pages that got a new place. Parameters are the common ends of what calls assign, grouped by
+    function over all pages; functions of pages that are not there keep none. The texts
+    compile with the list of variables, since one that only parameters name comes into being nowhere else."""
+    spark, names = pages.sparkSession, replace(names or Names())
     rows = pages.select("content", "volume").persist()
 
     def walk(content: bytes, places: dict[int, set[int]]) -> Walker:
@@ -621,6 +668,16 @@ def decompile_project(pages: DataFrame, config: Config, names: Names | None = No
     config.disable_else = not with_else
     last = spark.sparkContext.broadcast(places)
 
+    def give(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            walkers = [walk(c, last.value) for c in frame["content"]]
+            out = [(w.page.page, -1, []) for w in walkers] + [x for w in walkers for x in w.given(last.value.get(w.page.page, set()))]
+            yield pd.DataFrame(out, columns=["page", "addr", "argv"])
+
+    ends = tables.common_suffix(rows.select("content").mapInPandas(give, "page int, addr bigint, argv array<int>"), ["page", "addr"], "argv").collect()
+    here = {r["page"] for r in ends if r["addr"] < 0}
+    names.parameters = {(r["page"], r["addr"]): list(r["suffix"]) for r in ends if r["suffix"] and r["page"] in here}
+
     def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             walkers = [walk(c, last.value) for c in frame["content"]]
