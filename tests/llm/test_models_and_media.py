@@ -507,3 +507,18 @@ def test_encode_and_decode(spark):
     assert [r.back for r in back] == [(t or "").replace("▁", " ") for t in [None, *PIECES]]
     got = sentencepieces.encode_digests(docs)
     assert got.where("not round_trip").count() == 0 and sentencepieces.encode_digests(docs.limit(0)).count() == 0
+
+
+def test_profiles_are_of_the_ids_that_hash_lowest(spark):
+    rows = [(i % 2500, f"text number {i % 2500} {'abc' * (i % 7)}", "en" if i % 10 else "fr") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(7)
+    for most in (1, 40, 5000):
+        kept = None
+        for lang in ("en", "fr"):
+            own = docs.where(F.col("lang") == lang)
+            ids = [r.doc_id for r in own.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).collect()]
+            part = own.where(F.col("doc_id").isin(ids))
+            kept = part if kept is None else kept.unionByName(part)
+        got, plain = language_id.fit_profiles(docs, rows=most), language_id.fit_profiles(kept, rows=10**9)
+        for name, value in vars(plain).items():
+            np.testing.assert_array_equal(getattr(got, name), value, err_msg=name)

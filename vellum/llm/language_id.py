@@ -93,8 +93,15 @@ def fit_profiles(docs: DataFrame, lang_col: str = "lang", id_col: str = "doc_id"
     Codes count in lower case; documents without an id or with no code are left out."""
     known = docs.select(*[c.alias(n) for c, n in zip(columns_of(docs, [id_col, lang_col, text_col]), ("id", "lang", "text"), strict=True)]).withColumn("lang", F.lower("lang"))
     known = known.where(F.col("id").isNotNull() & F.col("lang").rlike(CODE))
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    ids = known.select("id", "lang").distinct().withColumn("n", F.row_number().over(first)).where(F.col("n") <= rows).select("id", "lang")
+    ids = known.select("id", "lang").distinct().withColumn("h", F.xxhash64("id"))
+    # 4,096 slots of hashes: only ids of the slots that hold a language's first ones meet in its task.
+    slot = F.shiftright("h", 52)
+    lower = Window.partitionBy("lang").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
+    counts = ids.groupBy("lang", slot.alias("slot")).agg(F.count("*").alias("n")).withColumn("before", F.coalesce(F.sum("n").over(lower), F.lit(0)))
+    last = counts.where(F.col("before") < rows).groupBy("lang").agg(F.max("slot").alias("last"))  # a row a language: see CODE
+    first = Window.partitionBy("lang").orderBy("h", "id")
+    few = ids.join(F.broadcast(last), "lang").where(slot <= F.col("last"))
+    ids = few.withColumn("n", F.row_number().over(first)).where(F.col("n") <= rows).select("id", "lang")
     chosen = materialize(ids, "chosen")
     texts = known.join(chosen, ["id", "lang"]).select("lang", "text")
 
