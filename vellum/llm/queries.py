@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vellum.llm import language_id, line_dedup, media, neighbours, packing, quality, secret_scan, sentencepieces, simhash, toxicity
+from vellum.llm import collocations, language_id, line_dedup, media, neighbours, packing, quality, secret_scan, sentencepieces, simhash, toxicity
 
 QUERIES = {
     "op1_secret_scan": secret_scan.op1_secret_scan,
@@ -15,5 +15,6 @@ QUERIES = {
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_language_id": language_id.op9_language_id,
     "op10_sentencepieces": sentencepieces.op10_sentencepieces,
+    "op12_collocations": collocations.op12_collocations,
 }
-ORACLES = {"op1_secret_scan": secret_scan.SQL, "op8_line_dedup": line_dedup.SQL}
+ORACLES = {"op1_secret_scan": secret_scan.SQL, "op8_line_dedup": line_dedup.SQL, "op12_collocations": collocations.SQL}
