@@ -19,20 +19,21 @@ _written: dict[str, SparkSession] = {}
 
 #: Rows in a batch that goes to Python; the default of 10,000 whole texts is a large part of a small executor.
 BATCH_ROWS = 1_000
+#: Bytes of files up to which a table is dealt to the cores, and to how many tasks.
+DEAL_BYTES, DEAL_TASKS = 32 << 20, 64
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the folder. Sets the session's batches to BATCH_ROWS rows, unless they are smaller.
 
-    A table of fewer files, and of no more splits, than there are cores is dealt to all cores: a row group is one task,
-    so a small file would be read by one core. Larger tables are read as they lie."""
+    A table of at most DEAL_BYTES is dealt to the cores, DEAL_TASKS at most: a row group is one task, so a small file
+    would be read by one core. What is dealt is bounded in bytes, whatever the cluster; larger tables are read as they lie."""
     if not 0 < int(spark.conf.get(_BATCH, "10000")) <= BATCH_ROWS:
         spark.conf.set(_BATCH, BATCH_ROWS)
     read = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    small = len(read.inputFiles()) < cores and read.rdd.getNumPartitions() <= cores
-    return read.repartition(cores) if small else read
+    size = int(read._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())  # noqa: SLF001  of its files
+    return read.repartition(min(spark.sparkContext.defaultParallelism, DEAL_TASKS)) if size <= DEAL_BYTES else read
 
 
 def work_dir(spark: SparkSession) -> str:
@@ -163,5 +164,28 @@ def quoted(name: str) -> str:
     return f"`{name.replace('`', '``')}`"
 
 
+#: Join keys that a hot key's rows are dealt to, and the rows that make a key hot at least, whatever the table's size.
+SALTS, HOT_ROWS = 32, 1_000
+
+
+def spread_join(rows: DataFrame, one: DataFrame, keys: list[str], spread: str, salts: int = SALTS, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """rows joined with `one`, which has one row a key (no nulls in keys). Keys of over one in a thousand rows (so a
+    thousand keys at most) are dealt to `salts` keys by the hash of column `spread`, and their row in `one` to each."""
+    keyed = [F.col(k).alias(f"hot_{k}") for k in keys]
+    hot = rows.groupBy(*keys).agg(F.count("*").alias("rows_of")).where(F.col("rows_of") > max(hot_rows, rows.count() // 1_000)).select(*keyed)
+    hot = materialize(hot, "hot")
+    if not hot.limit(1).count():
+        return rows.join(one, keys)
+
+    def salted(side: DataFrame, salt) -> DataFrame:
+        met = [F.col(k) == F.col(f"hot_{k}") for k in keys]
+        told = side.join(F.broadcast(hot), met, "left")
+        return told.withColumn("salt", salt(F.col(f"hot_{keys[0]}").isNotNull())).drop(*[f"hot_{k}" for k in keys])
+
+    left = salted(rows, lambda is_hot: F.when(is_hot, F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")).otherwise(F.lit(0)))
+    right = salted(one, lambda is_hot: F.explode(F.sequence(F.lit(0), F.when(is_hot, F.lit(salts - 1)).otherwise(F.lit(0)))))
+    return left.join(right, [*keys, "salt"]).drop("salt")
+
+
 def columns_of(df: DataFrame, names: Iterable[str]) -> list:
     return [F.col(quoted(n)) for n in names]
