@@ -247,7 +247,7 @@ def test_links_match_brute_force(spark):
     signed = [int(np.uint64(p).astype(np.int64)) for p in prints]
     frame_ = spark.createDataFrame([(p,) for p in signed], "fp bigint")
     want = brute_components(prints).tolist()
-    for segments, hot in ((simhash.LAYOUTS[0][1], 3), (simhash.LAYOUTS[1][1], simhash.HOT_KEY), (simhash.LAYOUTS[2][1], 3), (simhash.LAYOUTS[3][1], simhash.HOT_KEY)):
+    for segments, hot in ((simhash.LAYOUTS[0][1], 1), (simhash.LAYOUTS[0][1], simhash.HOT_KEY), (simhash.LAYOUTS[1][1], 1), (simhash.LAYOUTS[1][1], simhash.HOT_KEY)):
         root = {r.node: r.root for r in connected_components(simhash.links(frame_, segments=segments, hot_key=hot)).collect()}
         got = [root.get(p, p) for p in signed]
         assert len(set(zip(want, got, strict=True))) == len(set(want)) == len(set(got))
@@ -256,8 +256,9 @@ def test_links_match_brute_force(spark):
 def test_layouts():
     from itertools import combinations
 
-    assert [len(simhash.layout_for(n)) for n in (0, 1 << 15, 1 << 19, 1 << 24, 1 << 40)] == [5, 5, 4, 3, 2]
+    assert [len(simhash.layout_for(n)) for n in (0, 1, 1_000, 1 << 24, 1 << 25, 1 << 40)] == [3, 3, 3, 3, 2, 2]
     for _, segments in simhash.LAYOUTS:
+        assert any(r for _, r in segments)
         assert sum(w for w, _ in segments) == 64 and sum(r + 1 for _, r in segments) == simhash.BITS + 1
         for spread in combinations(range(simhash.BITS + len(segments) - 1), len(segments) - 1):  # ways to deal 4 bits to segments
             ends = [-1, *spread, simhash.BITS + len(segments) - 1]
@@ -265,6 +266,43 @@ def test_layouts():
             assert any(n <= r for n, (_, r) in zip(dealt, segments, strict=True))
 
 
+def test_balls_are_enumerated_at_every_size(spark):
+    """46 distinct keys a fingerprint from the first one on: each segment, and its values at one differing bit."""
+    segments = simhash.layout_for(1_000)
+    assert segments == simhash.layout_for(1)
+    prints = spark.range(1_000).select(F.xxhash64("id").alias("fp"))
+    asked = prints.select("fp", F.explode(simhash._probes(F.col("fp"), segments)).alias("key"))
+    assert asked.distinct().count() == 1_000 * sum(w * r + 1 for w, r in segments) == 46_000
+    near = asked.join(prints.select(F.col("fp").bitwiseXOR(1 << 3).alias("other")), F.col("key") == simhash._key(F.col("other"), segments, 0)).where("fp = other ^ 8")
+    assert near.count() == 1_000
+
+
+def test_parts_cover_the_bits_outside_a_segment():
+    for _, segments in simhash.LAYOUTS:
+        for level in range(simhash.SPLITS):
+            parts = simhash._parts(segments, level)
+            assert len(parts) == len(segments) * 5 ** (level + 1)
+            for w in range(0, len(parts), 5):
+                own = parts[w : w + 5]
+                assert all(a & b == 0 for i, a in enumerate(own) for b in own[:i]) and all(own)
+
+
+def test_a_full_bucket_of_unrelated_fingerprints_is_no_product(spark, monkeypatch):
+    """5,000 fingerprints of one value in the first segment, half of them in its neighbour at one bit."""
+    rng = np.random.default_rng(4)
+    prints = [(int(x) & ~((1 << 22) - 1)) | (i & 1) for i, x in enumerate(rng.integers(-(2**63), 2**63, 5_000))]
+    made, plain = [], simhash._meeting
+
+    def counted(asked, told, bits):
+        pairs = asked.groupBy("key").count().join(told.groupBy("key").agg(F.count("*").alias("n")), "key")
+        made.append(pairs.agg(F.sum(F.col("count") * F.col("n"))).first()[0])
+        return plain(asked, told, bits)
+
+    monkeypatch.setattr(simhash, "_meeting", counted)
+    found = simhash.links(spark.createDataFrame([(p,) for p in prints], "fp bigint")).count()
+    assert found == 0 and made[0] < 5_000 * 5_000 / 20
+
+
 def test_large_clusters_meet_without_all_pairs(spark, monkeypatch):
     """Two clusters of thousands that share their bits' ranges, 8 bits or more apart, and a pair of others that touch."""
     rng = np.random.default_rng(11)
