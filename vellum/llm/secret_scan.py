@@ -2,8 +2,7 @@ r"""Secret scans by multipart credential linking, in DataFrame functions only.
 
 Base spans are what the fixed patterns match. The method adds weak parts (identifiers, short, standalone, keyed or
 bearer secrets, endpoints): each is reported only where at most SCOPE code points lie between it and a
-complementary part of the same text (gaps, as the queries have it), or between their starts. Parts meet in an interval
-join: a part and its scope are dealt to the buckets of SCOPE + 1 code points that they cover, and each bucket is first
+complementary part of the same text. Parts meet in an interval join: a part and its scope are dealt to the buckets of SCOPE + 1 code points that they cover, and each bucket is first
 reduced to the least start and the greatest end of each role, so a bucket of many parts makes no pairs.
 """
 
@@ -122,14 +121,13 @@ def _listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
 
 
-def scan(docs: DataFrame, text_col: str = "text", *, scope: int = SCOPE, keep: list[str] | None = None, gaps: bool = False) -> DataFrame:
+def scan(docs: DataFrame, text_col: str = "text", *, scope: int = SCOPE, keep: list[str] | None = None) -> DataFrame:
     """docs with n_assign, n_access, n_hex (bigint), base_sha256, spans (strings) and found, an array of
     struct<start, end, kind> that holds base and linked spans by start.
 
     A null or empty text has no spans and base_sha256 of ''. Equal texts get equal results; repeated rows stay.
     Columns named like an added one are replaced, others may have any name. Offsets are code points, ends exclusive.
-    gaps: scope is counted from a part's end to the next one's start, not from start to start. keep: the columns of
-    docs to carry (all). Texts are matched once: what the patterns find is written, and each text's spans then meet
+    scope is counted from a part's end to the next one's start. keep: the columns of docs to carry (all). Texts are matched once: what the patterns find is written, and each text's spans then meet
     its rows by its digest; texts themselves are only shuffled where they are kept.
     """
     added = ["n_assign", "n_access", "n_hex", "base_sha256", "spans", "found"]
@@ -150,7 +148,7 @@ def scan(docs: DataFrame, text_col: str = "text", *, scope: int = SCOPE, keep: l
     sizes = [F.size(x[0]).cast("long").alias(f"n_{x[0]}") for x in BASE]
     some = matched.select("h", base.alias("base"), weak.alias("weak"), *sizes).where((F.size("base") > 0) | (F.size("weak") > 0))
     texts = materialize(some.groupBy("h").agg(*[F.first(c).alias(c) for c in some.columns[1:]]), "texts")
-    linked = _linked(texts, scope, gaps)
+    linked = _linked(texts, scope)
     spans = F.array_sort(F.concat("base", F.coalesce("linked", F.array().cast(_SPAN))))
     told = texts.join(linked, "h", "left").select(
         "h", "n_assign", "n_access", "n_hex", _listed(F.col("base")).alias("base_listed"), spans.alias("every"),
@@ -176,29 +174,28 @@ def scan(docs: DataFrame, text_col: str = "text", *, scope: int = SCOPE, keep: l
     )
 
 
-def _linked(texts: DataFrame, scope: int, gaps: bool) -> DataFrame:
+def _linked(texts: DataFrame, scope: int) -> DataFrame:
     """(h, linked): the weak parts of each text that a complementary part is within scope of. h is unique in texts."""
     width = scope + 1
     roles = F.array_distinct(F.transform(F.concat("weak", "base"), lambda x: x["role"]))
     some = texts.where((F.size("weak") > 0) & (F.size(roles) > 1))
     both = F.concat(F.transform("base", lambda x: F.struct(F.lit(False).alias("weak"), x.alias("s"))), F.transform("weak", lambda x: F.struct(F.lit(True).alias("weak"), x.alias("s"))))
     flat = materialize(some.select("h", F.explode(both).alias("p")).select("h", "p.weak", "p.s.*"), "flat")
-    till = F.col("end") if gaps else F.col("start")
     buckets = lambda a, b: F.explode(F.sequence(F.floor(a / F.lit(width)), F.floor(b / F.lit(width))))
     # Of two others in a bucket, one before and one behind a part's scope, the scope would have to fit between: it is wider than a bucket.
-    least = flat.withColumn("bucket", buckets(F.col("start"), till)).groupBy("h", "bucket", F.col("role").alias("other")).agg(F.min("start").alias("lo"), F.max(till).alias("hi"))
-    asked = flat.where("weak").drop("weak").withColumn("bucket", buckets(F.greatest(F.col("start") - scope, F.lit(0)), till + scope))
+    least = flat.withColumn("bucket", buckets(F.col("start"), F.col("end"))).groupBy("h", "bucket", F.col("role").alias("other")).agg(F.min("start").alias("lo"), F.max("end").alias("hi"))
+    asked = flat.where("weak").drop("weak").withColumn("bucket", buckets(F.greatest(F.col("start") - scope, F.lit(0)), F.col("end") + scope))
     complement = reduce(lambda a, b: a | b, [(F.col("role") == role) & F.col("other").isin(*others) for role, others in COMPLEMENTS.items()])
-    near = (F.col("lo") <= till + scope) & (F.col("hi") >= F.col("start") - scope)
+    near = (F.col("lo") <= F.col("end") + scope) & (F.col("hi") >= F.col("start") - scope)
     met = asked.join(least, ["h", "bucket"]).where(complement & near)
     return met.groupBy("h").agg(F.collect_set(F.struct("start", "ord", "end", "kind", "role")).alias("linked"))
 
 
-def redact(docs: DataFrame, text_col: str = "text", *, mark: str = "[SECRET]", scope: int = SCOPE, gaps: bool = True) -> DataFrame:
+def redact(docs: DataFrame, text_col: str = "text", *, mark: str = "[SECRET]", scope: int = SCOPE) -> DataFrame:
     """docs, their columns as they were, with every span that scan() finds replaced by mark, and n_chars (if there
     is one) counted anew. Overlapping spans are one. Texts without spans, nulls included, stay untouched."""
     names, types = docs.columns, dict(docs.dtypes)
-    found = scan(docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)]), f"c{names.index(text_col)}", scope=scope, gaps=gaps)
+    found = scan(docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)]), f"c{names.index(text_col)}", scope=scope)
     text, zero = F.col(f"c{names.index(text_col)}"), F.lit(0).cast("long")
     none = F.array().cast("array<string>")
     cut = lambda of, a, b: F.substring(of, (a + 1).cast("int"), (b - a).cast("int"))
@@ -229,29 +226,47 @@ def redact(docs: DataFrame, text_col: str = "text", *, mark: str = "[SECRET]", s
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Null and empty texts have no spans; repeated rows stay."""
-    return scan(table(spark, sf_dir, "documents"), keep=["doc_id"], gaps=True).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+    return scan(table(spark, sf_dir, "documents"), keep=["doc_id"]).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+
+
+#: The kinds for an engine whose patterns cannot look around: pattern, group of the span, group of the value, its least
+#: length, a condition on the span. A pattern may take a character before or behind the span, where no other match can begin.
+_BEFORE = "[^A-Za-z0-9_-]"
+_FLAT = {
+    **{kind: (f"({p})", 1, group + 1, least, "true") for kind, p, group, least, _ in (*BASE, *_FIRST)},
+    "short": (f"({_assigned(_KEYED, '[A-Za-z0-9+/_.=-]{1,7}')})[^A-Za-z0-9+/_.=-]", 1, 3, 3, "true"),
+    "standalone": (
+        f"({_TOKEN}+)={{0,2}}", 0, 1, 32, "regexp_matches(span, '^[A-Za-z0-9]') AND regexp_matches(span, '[a-z]') AND regexp_matches(span, '[A-Z]') AND regexp_matches(span, '[0-9]')",
+    ),
+    "key": (rf"""{_BEFORE}([A-Za-z0-9][A-Za-z0-9_-]*[_-][Kk][Ee][Yy]["']?[ ]*[:=][ ]*["']?({_VALUE}))""", 1, 2, 6, "true"),
+    "bearer": ("[^A-Za-z0-9_]([Bb][Ee][Aa][Rr][Ee][Rr][ ]+([A-Za-z0-9+/_.~=-]+))", 1, 2, 6, "true"),
+}
 
 
 def _sql() -> str:
-    """Kinds of _FIRST only, and scope from start to start; op1_secret_scan also has what lies beyond."""
+    """Texts are matched between two blanks. For `key`, names that end in api_key or access_key are made others of the same length."""
     q = lambda p: "'" + p.replace("'", "''") + "'"
+    roles = {x[0]: x[4] for x in (*BASE, *WEAK)}
+    other = "regexp_replace(t, '([Aa][Pp][Ii]|[Aa][Cc][Cc][Ee][Ss][Ss])_[Kk][Ee][Yy]', '\\1_kex', 'g')"
     one = "\n  UNION ALL\n  ".join(
-        f"""SELECT d, {KINDS.index(kind)} AS ord, '{kind}' AS kind, '{role}' AS role, {kind in [w[0] for w in _FIRST]} AS weak, unnest(range(1, len(whole) + 1)) AS i, {least} AS least, whole, value, between
-    FROM (SELECT d, regexp_extract_all(t, {q(p)}, 0) AS whole, regexp_extract_all(t, {q(p)}, {group}) AS value, regexp_split_to_array(t, {q(p)}) AS between FROM docs)"""
-        for kind, p, group, least, role in (*BASE, *_FIRST)
+        f"""SELECT d, {KINDS.index(kind)} AS ord, '{kind}' AS kind, '{roles[kind]}' AS role, {kind not in [x[0] for x in BASE]} AS weak, i, s, whole[i] AS whole, spans[i] AS span
+    FROM (SELECT *, CAST(list_sum(list_transform(between[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(whole[1:i - 1], lambda x: length(x))), 0) AS BIGINT) - 1 AS s
+    FROM (SELECT d, unnest(range(1, len(whole) + 1)) AS i, whole, value, spans, between
+    FROM (SELECT d, regexp_extract_all(x, {q(p)}, 0) AS whole, regexp_extract_all(x, {q(p)}, {value}) AS value, regexp_extract_all(x, {q(p)}, {span}) AS spans, regexp_split_to_array(x, {q(p)}) AS between
+    FROM (SELECT d, {other if kind == 'key' else 't'} AS x FROM docs)))) WHERE length(value[i]) >= {least} AND {where.replace('span', 'spans[i]')}"""
+        for kind, (p, span, value, least, where) in _FLAT.items()
     )
     complement = " OR ".join(f"(a.role = '{r}' AND b.role IN ({', '.join(map(q, others))}))" for r, others in COMPLEMENTS.items())
     return f"""
-WITH docs AS (SELECT row_number() OVER () AS d, doc_id, coalesce(text, '') AS t FROM documents),
+WITH docs AS (SELECT row_number() OVER () AS d, doc_id, concat(' ', coalesce(text, ''), ' ') AS t FROM documents),
 matched AS (
   {one}
 ), part AS (
-  SELECT d, ord, kind, role, weak, s AS start, s + length(whole[i]) AS stop FROM (
-    SELECT *, CAST(list_sum(list_transform(between[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(whole[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS s
-    FROM matched WHERE length(value[i]) >= least)
+  SELECT d, ord, kind, role, weak, s + before AS start, s + before + length(span) AS stop
+  FROM (SELECT *, CASE WHEN kind IN ('key', 'bearer') THEN length(whole) - length(span) ELSE 0 END AS before FROM matched)
 ), kept AS (
   SELECT * FROM part a WHERE NOT weak OR EXISTS (
-    SELECT 1 FROM part b WHERE b.d = a.d AND ({complement}) AND abs(b.start - a.start) <= {SCOPE})
+    SELECT 1 FROM part b WHERE b.d = a.d AND ({complement}) AND b.start <= a.stop + {SCOPE} AND b.stop >= a.start - {SCOPE})
 ), listed AS (
   SELECT d, CAST(count_if(kind = 'assign') AS BIGINT) AS n_assign, CAST(count_if(kind = 'access') AS BIGINT) AS n_access, CAST(count_if(kind = 'hex') AS BIGINT) AS n_hex,
     string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, ord) FILTER (WHERE NOT weak) AS base,
