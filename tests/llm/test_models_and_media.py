@@ -1,7 +1,9 @@
 """Packing, neighbours, classifiers, media, language and pieces: brute force, round trips and held-out accuracy."""
 
 import hashlib
+import re
 import struct
+import time
 import zlib
 from collections import Counter
 
@@ -419,7 +421,7 @@ def test_language_fusion(spark):
 def test_fusion_against_a_plain_version(spark):
     rng = np.random.default_rng(5)
     names = ["aa", "bb", "cc"]
-    profiles = language_id.Profiles(names, rng.integers(0, 50, (3, language_id.BUCKETS)).astype(float))
+    profiles = language_id.Profiles(names, np.repeat(np.arange(3), language_id.BUCKETS), np.tile(np.arange(language_id.BUCKETS), 3), rng.integers(0, 50, 3 * language_id.BUCKETS))
     hosts = ["www.x.fr", "m.x.fr", "y.fr", "z.de", "w.z.de", ""]
     rows = []
     for i in range(60):
@@ -522,3 +524,40 @@ def test_profiles_are_of_the_ids_that_hash_lowest(spark):
         got, plain = language_id.fit_profiles(docs, rows=most), language_id.fit_profiles(kept, rows=10**9)
         for name, value in vars(plain).items():
             np.testing.assert_array_equal(getattr(got, name), value, err_msg=name)
+
+
+def plain_visible(html):
+    skipped = re.sub(r"<(script|style|noscript|template)\b.*?</\1\s*>|<!--.*?-->", " ", html, flags=re.I | re.S)
+    return " ".join(re.sub(r"&#?\w{1,10};", " ", re.sub(r"<[^>]*>", " ", skipped)).split())
+
+
+def test_pages_are_read_in_one_pass():
+    rng = np.random.default_rng(6)
+    parts = ["<script", "<SCRIPT x>", "</script >", "</Script\n>", "<style>", "</style>", "<!--", "-->", "<b>", "<", ">", "word", " ", "&amp;", "<html ", "<html>", " lang=en", ' LANG = "de', "scripts", "<scripty>", "lang"]
+    for _ in range(3_000):
+        html = "".join(rng.choice(parts, rng.integers(0, 14)))
+        assert language_id.visible_text(html) == plain_visible(html)
+        found = re.search(r"""<html\b[^>]*?\blang\s*=\s*["']?\s*([A-Za-z]{2,8})""", html, re.I)
+        assert language_id.declared_language(html) == (found[1].lower() if found else "")
+
+
+@pytest.mark.parametrize("part", ["<html ", "<script ", "<!-- ", "<style></", "<", "<html lang=", "lang = '", "<html lang" + " " * 99, "</script " + " " * 99])
+def test_a_megabyte_of_open_tags_takes_no_second(part):
+    html = part * (1_000_000 // len(part))
+    began = time.process_time()
+    language_id.visible_text(html), language_id.declared_language(html)
+    assert time.process_time() - began < 1
+
+
+def test_thousands_of_languages(spark):
+    """5,000 codes: profiles hold what was seen, not a row of all trigrams for each."""
+    import itertools
+    import pickle
+
+    codes = ["".join(x) for x in itertools.islice(itertools.product("abcdefghijklmnopqrst", repeat=3), 5_000)]
+    docs = spark.createDataFrame([(i, f"some words of {c} {c}{c} {c}x", c) for i, c in enumerate(codes)], "doc_id bigint, text string, lang string")
+    profiles = language_id.fit_profiles(docs)
+    assert len(profiles.languages) == 5_000 and len(pickle.dumps(profiles)) < 5_000 * 1_000
+    pages = spark.createDataFrame([(i, f"http://h{i}.{codes[7 * i]}/", f"<html lang={codes[7 * i]}><p>{codes[7 * i] * 2} {codes[7 * i]}x") for i in range(40)], "page_id bigint, url string, html string")
+    found = {r.page_id: r.lang for r in language_id.identify(pages, profiles).collect()}
+    assert sum(found[i] == codes[7 * i] for i in range(40)) >= 38

@@ -18,10 +18,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vellum.llm.common import columns_of, discard, materialize, table
+from vellum.llm.common import columns_of, discard, materialize, spread_join, table
 
 #: Documents of each language that its profile is fitted on (those whose ids hash lowest), hashed trigrams.
 PROFILE_ROWS, BUCKETS = 1_000, 1 << 14
+#: Documents of all profiles (a document at least for each language).
+PROFILE_TOTAL = 50_000
 #: What a language's code looks like; other values of the column are no language, so languages are 18,252 at most.
 CODE = "^[a-z]{2,3}$"
 #: Pages that make a host hot at least; hot hosts have over one in a thousand pages, so they are a thousand at most.
@@ -33,20 +35,52 @@ HOST_WEIGHT, DOMAIN_WEIGHT = 3.0, 5.0
 TABLE_WEIGHT = 1.0
 _NONE, _OTHER = "", "?"
 
-_SKIPPED = re.compile(r"<(script|style|noscript|template)\b.*?</\1\s*>|<!--.*?-->", re.I | re.S)
-_TAG = re.compile(r"<[^>]*>")
+_OPENS = re.compile(r"<(?:(script|style|noscript|template)\b|!--)", re.I)
+_CLOSES = {name: re.compile(rf"</{name}\s*+>", re.I) for name in ("script", "style", "noscript", "template")} | {None: re.compile("-->")}
 _ENTITY = re.compile(r"&#?\w{1,10};")
-_DECLARED = re.compile(r"""<html\b[^>]*?\blang\s*=\s*["']?\s*([A-Za-z]{2,8})""", re.I)
+_HTML = re.compile(r"<html\b", re.I)
+_LANG = re.compile(r"""\blang\s*+=\s*+(?:["']\s*+)?([A-Za-z]{2,8})""", re.I)
 _HOST = re.compile(r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)")
 
 
+def _without_hidden(html: str) -> str:
+    """A blank for each script, style, noscript, template and comment that is closed. One pass: a closer that is not
+    ahead of one opener is not ahead of a later one either, so it is looked for no more."""
+    kept, at, look, unclosed = [], 0, 0, set()
+    while found := _OPENS.search(html, look):
+        name = found[1].lower() if found[1] else None
+        end = None if name in unclosed else _CLOSES[name].search(html, found.end())
+        if end:
+            kept.append(html[at : found.start()])
+            at = look = end.end()
+        else:
+            unclosed.add(name)
+            look = found.end()
+    return " ".join([*kept, html[at:]])
+
+
+def _without_tags(html: str) -> str:
+    kept, at = [], 0
+    while (start := html.find("<", at)) >= 0 and (end := html.find(">", start)) >= 0:
+        kept.append(html[at:start])
+        at = end + 1
+    return " ".join([*kept, html[at:]])
+
+
 def visible_text(html: str | None) -> str:
-    return " ".join(_ENTITY.sub(" ", _TAG.sub(" ", _SKIPPED.sub(" ", html or ""))).split())
+    """Text without tags, entities and what is not shown; in time linear in the page, whatever is left open in it."""
+    return " ".join(_ENTITY.sub(" ", _without_tags(_without_hidden(html or ""))).split())
 
 
 def declared_language(html: str | None) -> str:
-    found = _DECLARED.search(html or "")
-    return found[1].lower() if found else _NONE
+    """The first lang that an html tag gives, in lower case; one pass over the tags, an open one reaching to the end."""
+    html, at = html or "", 0
+    while tag := _HTML.search(html, at):
+        end = html.find(">", tag.end())
+        at = len(html) if end < 0 else end
+        if found := _LANG.search(html, tag.end(), at):
+            return found[1].lower()
+    return _NONE
 
 
 def address(url: str | None) -> tuple[str, str, str]:
@@ -72,11 +106,15 @@ def trigrams(text: str) -> np.ndarray:
 
 
 class Profiles:
-    """Log shares of trigrams, by language."""
+    """Log shares of trigrams, by language: what each language has of all trigrams, and, by trigram, what those that
+    saw it have more. Only what was seen is held, however many languages there are."""
 
-    def __init__(self, languages: list[str], counts: np.ndarray):
+    def __init__(self, languages: list[str], lang: np.ndarray, gram: np.ndarray, n: np.ndarray):
         self.languages = languages
-        self.logs = np.log((counts + 0.5) / (counts.sum(1, keepdims=True) + 0.5 * BUCKETS)) if languages else np.zeros((0, BUCKETS))
+        order = np.lexsort((lang, gram))
+        self.starts = np.searchsorted(gram[order], np.arange(BUCKETS + 1))
+        self.lang, self.more = lang[order].astype(np.int32), np.log(2.0 * n[order] + 1.0)
+        self.unseen = np.log(0.5) - np.log(np.bincount(lang, weights=n, minlength=len(languages)) + 0.5 * BUCKETS)
 
     def likelihood(self, text: str) -> np.ndarray:
         """Log likelihoods, relative to the greatest; all 0 without trigrams."""
@@ -84,16 +122,19 @@ class Profiles:
         if not len(grams):
             return np.zeros(len(self.languages))
         kinds, n = np.unique(grams, return_counts=True)
-        total = self.logs[:, kinds] @ n * min(1.0, EVIDENCE / len(grams))
-        return total - total.max()
+        held = self.starts[kinds + 1] - self.starts[kinds]
+        at = np.repeat(self.starts[kinds] - np.cumsum(held) + held, held) + np.arange(held.sum())
+        total = np.bincount(self.lang[at], self.more[at] * np.repeat(n, held), len(self.languages)) + self.unseen * len(grams)
+        return (total - total.max()) * min(1.0, EVIDENCE / len(grams))
 
 
 def fit_profiles(docs: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", text_col: str = "text", rows: int = PROFILE_ROWS) -> Profiles:
-    """From the `rows` documents of each language whose ids hash lowest: every language that occurs has a profile.
-    Codes count in lower case; documents without an id or with no code are left out."""
+    """From the `rows` documents of each language whose ids hash lowest, fewer where there are so many languages that
+    PROFILE_TOTAL documents would not do: every language that occurs has a profile. Codes count in lower case; documents without an id or with no code are left out."""
     known = docs.select(*[c.alias(n) for c, n in zip(columns_of(docs, [id_col, lang_col, text_col]), ("id", "lang", "text"), strict=True)]).withColumn("lang", F.lower("lang"))
     known = known.where(F.col("id").isNotNull() & F.col("lang").rlike(CODE))
     ids = known.select("id", "lang").distinct().withColumn("h", F.xxhash64("id"))
+    rows = max(1, min(rows, PROFILE_TOTAL // max(1, known.select("lang").distinct().count())))
     # 4,096 slots of hashes: only ids of the slots that hold a language's first ones meet in its task.
     slot = F.shiftright("h", 52)
     lower = Window.partitionBy("lang").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
@@ -119,11 +160,10 @@ def fit_profiles(docs: DataFrame, lang_col: str = "lang", id_col: str = "doc_id"
     told = counted.toArrow()  # a row at most for each language and trigram
     languages = sorted(set(told["lang"].to_pylist()))
     place = {x: i for i, x in enumerate(languages)}
-    table_ = np.zeros((len(languages), BUCKETS))
-    table_[[place[x] for x in told["lang"].to_pylist()], told["gram"].to_numpy()] = told["n"].to_numpy()
+    lang = np.array([place[x] for x in told["lang"].to_pylist()], np.int64)
     discard(counted)
     discard(chosen)
-    return Profiles(languages, table_)
+    return Profiles(languages, lang, told["gram"].to_numpy(), told["n"].to_numpy())
 
 
 def evidence(pages: DataFrame, profiles: Profiles, id_col: str, url_col: str, html_col: str) -> DataFrame:
@@ -148,9 +188,10 @@ def evidence(pages: DataFrame, profiles: Profiles, id_col: str, url_col: str, ht
     return frame.mapInArrow(run, schema)
 
 
-def _counts(rows: DataFrame, by: str, n: int, out: str) -> DataFrame:
-    """(by, out): sums of `own` by language."""
-    return rows.groupBy(by).agg(*[F.sum(F.col("own")[i]).alias(f"s{i}") for i in range(n)]).select(by, F.array(*[F.col(f"s{i}") for i in range(n)]).alias(out))
+def _counts(rows: DataFrame, by: str, out: str) -> DataFrame:
+    """(by, out): sums of `own` by language, in the order of languages."""
+    sums = rows.select(by, F.posexplode("own").alias("place", "s")).groupBy(by, "place").agg(F.sum("s").alias("s"))
+    return sums.groupBy(by).agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "s"))), lambda x: x["s"]).alias(out))
 
 
 def identify(
@@ -166,28 +207,28 @@ def identify(
     if not n:
         return pages.select(id_col, F.lit(None).cast("string").alias("lang"), F.lit(0.0).alias("score"), F.lit(None).cast("string").alias("text_lang"), F.lit("").alias("declared"))
     rows = materialize(evidence(pages, profiles, id_col, url_col, html_col), "evidence")
-    total = np.array(rows.agg(*[F.sum(F.col("own")[i]) for i in range(n)]).first() or [0.0] * n, float)
-    total = np.nan_to_num(total)
-    declared = {r["declared"]: np.array(r["c"]) for r in _counts(rows, "declared", n, "c").collect()}  # a row for each language, two more
-    hosts = rows.groupBy("host").agg(F.first("domain").alias("domain"), F.first("suffix").alias("suffix"), F.count("*").alias("pages"), *[F.sum(F.col("own")[i]).alias(f"s{i}") for i in range(n)])
-    hosts = materialize(hosts.select("host", "domain", "suffix", "pages", F.array(*[F.col(f"s{i}") for i in range(n)]).alias("own")), "hosts")
-    domains, suffixes = _counts(hosts, "domain", n, "in_domain"), _counts(hosts, "suffix", n, "in_suffix")
+    total = np.zeros(n)
+    for r in rows.select(F.posexplode("own").alias("place", "s")).groupBy("place").agg(F.sum("s").alias("s")).collect():  # a row a language
+        total[r["place"]] = r["s"]
+    named = rows.groupBy("host").agg(F.first("domain").alias("domain"), F.first("suffix").alias("suffix"), F.count("*").alias("pages"))
+    hosts = materialize(named.join(_counts(rows, "host", "own"), "host"), "hosts")
+    domains, suffixes = _counts(hosts, "domain", "in_domain"), _counts(hosts, "suffix", "in_suffix")
     levels = hosts.join(domains, "domain").join(suffixes, "suffix").select("host", "pages", F.col("own").alias("in_host"), "in_domain", "in_suffix")
     levels = materialize(levels, "levels")
     hot = levels.where(F.col("pages") > max(HOT_PAGES, rows.count() // 1_000))
     rest = rows.join(F.broadcast(hot.select("host")), "host", "left_anti").join(levels, "host")
     every = rest.unionByName(rows.join(F.broadcast(hot), "host"))
-    joined = every.select("id", "suffix", "declared", "logs", "own", "in_host", "in_domain", "in_suffix")
+    every = spread_join(every, _counts(rows, "declared", "in_declared"), ["declared"], "id")
+    joined = every.select("id", "suffix", "declared", "logs", "own", "in_host", "in_domain", "in_suffix", "in_declared")
     schema = T.StructType([rows.schema["id"], *T.StructType.fromDDL("lang string, score double, text_lang string, declared string").fields])
     names = profiles.languages
 
     def fuse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         share = (total + 1.0) / (total.sum() + n)
-        everyone = sum(declared.values()) if declared else np.zeros(n)
         for rb in batches:
             if not rb.num_rows:
                 continue
-            own, host, domain, suffix = (rb.column(i).flatten().to_numpy(zero_copy_only=False).reshape(-1, n) for i in (4, 5, 6, 7))
+            own, host, domain, suffix, same = (rb.column(i).flatten().to_numpy(zero_copy_only=False).reshape(-1, n) for i in (4, 5, 6, 7, 8))
             logs = rb.column(3).flatten().to_numpy(zero_copy_only=False).reshape(-1, n)
             without = lambda c: np.maximum(c - own, 0.0)  # noqa: B023, E731
             mix = lambda c, weight, parent: (c + weight * parent) / (c.sum(1, keepdims=True) + weight)
@@ -195,7 +236,7 @@ def identify(
             # The likelihood of evidence: its share of a language's pages, smoothed by its share of all of them.
             likely = lambda c, of: np.log((c + TABLE_WEIGHT * c.sum(1, keepdims=True) / np.maximum(of.sum(1, keepdims=True), 1.0) + 1e-6) / (of + TABLE_WEIGHT + 1e-6))
             said = rb.column(2).to_pylist()
-            tables = likely(without(np.stack([declared[d] for d in said])), without(np.broadcast_to(everyone, own.shape)))
+            tables = likely(without(same), without(np.broadcast_to(total, own.shape)))
             tables[[d == _NONE for d in said]] = 0.0
             ends = likely(np.maximum(suffix - domain, 0.0), np.maximum(total[None, :] - domain, 0.0))
             ends[[s == "" for s in rb.column(1).to_pylist()]] = 0.0
