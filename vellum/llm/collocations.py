@@ -2,8 +2,8 @@ r"""Phrase collocations from suffix automata of shards.
 
 Documents are dealt to shards of about SHARD_WORDS words of one language, each with its own word list. Two exact prunings
 come first: a phrase of `least` occurrences holds only words and neighbouring pairs of as many, so words are counted,
-then pairs of frequent words, both summed over shards; each shard gets back its own frequent ones only, by a join on the
-shard, never a list of all. What is left of a shard are runs of words joined by frequent pairs. A generalised suffix automaton
+then pairs of frequent words, both summed over shards; each shard gets back its own frequent ones only, never a list of
+all. What is left of a shard are runs of words joined by frequent pairs. A generalised suffix automaton
 of the distinct runs, weighted by how often each occurs, has the endpos count of every substring: those of 2 to 5 words
 are read off its states and summed over shards. A candidate's suffix link (itself without its first word) and the
 mirrored link lead from a longer candidate to those it may subsume.
@@ -11,6 +11,7 @@ mirrored link lead from a longer candidate to those it may subsume.
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from itertools import count
@@ -21,12 +22,14 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vellum.llm.common import columns_of, discard, materialize, table
+from vellum.llm.common import columns_of, discard, materialize, table, with_number
 
 LEAST, WORDS, TOP = 100, 5, 2_000
 SHARD_WORDS = 1 << 20
 #: Parts of a language that are ranked on their own before its ranks.
 RANK_PARTS = 64
+#: Groups that pairs and phrases are dealt to, at least.
+LEAST_GROUPS = 64
 #: Breaks between pieces become full stops, tabs blanks.
 _BYTES = bytes.maketrans(b",;:!?\n\x0b\x0c\r\t", b"." * 9 + b" ")
 
@@ -96,7 +99,7 @@ def tokens(text: str | None) -> list[bytes]:
 
 
 def shards(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", shard_words: int = SHARD_WORDS) -> DataFrame:
-    """(shard, lang, words, counts, tokens): tokens are int32 places in words from 1, 0 a break. A task closes a
+    """(shard, lang, size, words, counts, tokens): tokens are `size` places in words from 1, 0 a break, packed. A task closes a
     shard with the document that fills it, or its largest one once all it holds are four times as long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,9 +113,9 @@ def shards(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", shar
             ids = np.concatenate(parts)
             n = np.bincount(ids, minlength=len(places))[1:]
             words = [w.decode("utf-8", "replace") for w in places][1:]
-            row = [next(numbers)], [lang], [words], [n.tolist()], [ids.tobytes()]
-            kinds = pa.int64(), pa.string(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.binary()
-            return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(row, kinds, strict=True)], names=["shard", "lang", "words", "counts", "tokens"])
+            row = [next(numbers)], [lang], [len(ids)], [words], [n.tolist()], [_packed(ids)]
+            kinds = pa.int64(), pa.string(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.binary()
+            return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(row, kinds, strict=True)], names=["shard", "lang", "size", "words", "counts", "tokens"])
 
         for rb in batches:
             for lang, text in zip(rb.column(0).to_pylist(), rb.column(1).to_pylist(), strict=True):
@@ -130,37 +133,84 @@ def shards(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", shar
         for lang in list(held):
             yield close(lang)
 
-    schema = "shard bigint, lang string, words array<string>, counts array<bigint>, tokens binary"
+    schema = "shard bigint, lang string, size bigint, words array<string>, counts array<bigint>, tokens binary"
     return docs.select(*columns_of(docs, [lang_col, text_col])).mapInArrow(run, schema)
 
 
-def _known(rb: pa.RecordBatch, i: int, column: str, *fields: str) -> list[np.ndarray]:
-    """Fields of one row's array of structs."""
-    items = rb.column(rb.schema.get_field_index(column))[i].values
-    return [np.asarray(items.field(f)) for f in fields]
+def _packed(values: np.ndarray) -> bytes:
+    """Sorted or small whole numbers: differences, byte by byte of all, compressed."""
+    return pa.compress(np.diff(values, prepend=np.int64(0)).astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes(), "zstd", asbytes=True)
 
 
-def _frequent_ids(ids: np.ndarray, places: np.ndarray) -> np.ndarray:
-    """ids with each frequent word's place in places (sorted), -1 for breaks and all other words."""
+def _unpacked(data: bytes, n: int) -> np.ndarray:
+    raw = pa.decompress(data, 8 * n, "zstd", asbytes=True) if n else b""
+    return np.cumsum(np.frombuffer(raw, np.uint8).reshape(8, n).T.copy().view("<i8").reshape(n))
+
+
+def _by_group(group: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each group's number and places, in their order."""
+    order = np.argsort(group, kind="stable")
+    for part in np.split(order, np.flatnonzero(np.diff(group[order])) + 1):
+        if len(part):
+            yield int(group[part[0]]), part
+
+
+def _known(rb: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places (sorted) and numbers of the frequent words in one row's shard."""
+    items = rb.column("known")[i].values
+    place, word = np.asarray(items.field("place")), np.asarray(items.field("word"))
+    order = np.argsort(place)
+    return place[order], word[order]
+
+
+def _frequent_ids(rb: pa.RecordBatch, i: int, numbers: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """One row's tokens as the numbers of its frequent words, -1 for breaks and all other words."""
+    ids = _unpacked(rb.column("tokens")[i].as_py(), rb.column("size")[i].as_py())
     to = np.full(max(int(ids.max(initial=0)), int(places.max(initial=0))) + 1, -1, np.int64)
-    to[places] = np.arange(len(places))
+    to[places] = numbers
     return to[ids]
 
 
-def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(shard, first, second, n): the neighbours that are both frequent words, counted in each shard."""
-    for rb in batches:
-        for i in range(rb.num_rows):
-            place, word = _known(rb, i, "known", "place", "word")
-            order = np.argsort(place)
-            of = _frequent_ids(np.frombuffer(rb.column(1)[i].as_py(), "<i4"), place[order])
-            both = (of[:-1] >= 0) & (of[1:] >= 0)
-            codes, n = np.unique(of[:-1][both] * len(place) + of[1:][both], return_counts=True)
-            word = word[order]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(n), rb.column(0)[i].as_py(), np.int64)), pa.array(word[codes // len(place)]), pa.array(word[codes % len(place)]), pa.array(n.astype(np.int64))],
-                names=["shard", "first", "second", "n"],
-            )
+def _codes(ids: np.ndarray) -> np.ndarray:
+    """For each place but the last, its pair of neighbours as one number, -1 unless both are frequent words."""
+    return np.where((ids[:-1] >= 0) & (ids[1:] >= 0), ids[:-1] << 32 | ids[1:], -1)
+
+
+def _pairs(groups: int):
+    """(group, shard, size, codes, counts): the pairs of neighbours that are both frequent words, counted in each shard."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rb in batches:
+            for i in range(rb.num_rows):
+                place, word = _known(rb, i)
+                codes, n = np.unique(_codes(_frequent_ids(rb, i, word, place)), return_counts=True)
+                codes, n = (x[np.searchsorted(codes, 0) :] for x in (codes, n))
+                mixed = codes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)
+                parts = [(g, len(at), _packed(codes[at]), _packed(n[at])) for g, at in _by_group((mixed % np.uint64(groups)).astype(np.int64))]
+                g, size, packed, counts = zip(*parts, strict=True) if parts else ((), (), (), ())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(g, pa.int32()), pa.array([rb.column("shard")[i].as_py()] * len(g), pa.int64()), pa.array(size, pa.int64()), pa.array(packed, pa.binary()), pa.array(counts, pa.binary())],
+                    names=["group", "shard", "size", "codes", "counts"],
+                )
+
+    return run
+
+
+def _frequent_pairs(least: int):
+    """Of one group's pairs, each shard's own ones that have `least` occurrences in all: (shard, size, codes)."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        sizes = rows["size"].to_pylist()
+        unpack = lambda name: [_unpacked(x, n) for x, n in zip(rows[name].to_pylist(), sizes, strict=True)]
+        codes = np.concatenate(unpack("codes"))
+        _, at = np.unique(codes, return_inverse=True)
+        total = np.zeros(at.max() + 1, np.int64)
+        np.add.at(total, at, np.concatenate(unpack("counts")))
+        kept = [c[f] for c, f in zip(*[np.split(x, np.cumsum(sizes)[:-1]) for x in (codes, total[at] >= least)], strict=True)]
+        out = [(s, len(c), _packed(c)) for s, c in zip(rows["shard"].to_pylist(), kept, strict=True) if len(c)]
+        return pa.table({n: pa.array([x[k] for x in out], t) for k, (n, t) in enumerate((("shard", pa.int64()), ("size", pa.int64()), ("codes", pa.binary())))})
+
+    return run
 
 
 def runs(ids: np.ndarray, joined: np.ndarray) -> Counter:
@@ -173,52 +223,69 @@ def runs(ids: np.ndarray, joined: np.ndarray) -> Counter:
     return found
 
 
-def _phrases(most: int):
+def _phrases(most: int, groups: int):
+    """(group, lang, size, phrases, counts): the phrases of each shard's automaton, sorted and compressed."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rb in batches:
             for i in range(rb.num_rows):
-                place, word = _known(rb, i, "known", "place", "word")
-                order = np.argsort(place)
-                place, word = place[order], word[order]
-                by_word = np.argsort(word)
-                at = lambda x: by_word[np.searchsorted(word, x, sorter=by_word)]  # noqa: B023, E731
-                first, second = _known(rb, i, "held", "first", "second")
-                codes = np.sort(at(first) * len(place) + at(second))
-                of = _frequent_ids(np.frombuffer(rb.column(1)[i].as_py(), "<i4"), place)
-                both = (of[:-1] >= 0) & (of[1:] >= 0)
-                own = np.where(both, of[:-1] * len(place) + of[1:], -1)
-                joined = codes[np.minimum(np.searchsorted(codes, own), len(codes) - 1)] == own
+                place, word = _known(rb, i)
+                held = np.sort(np.concatenate([_unpacked(x["codes"].as_py(), x["size"].as_py()) for x in rb.column("held")[i]]))
+                own = _codes(_frequent_ids(rb, i, word, place))
+                joined = held[np.minimum(np.searchsorted(held, own), len(held) - 1)] == own
+                local = _frequent_ids(rb, i, np.arange(len(place)), place)
                 automaton = SuffixAutomaton()
-                for run_, weight in runs(of, joined).items():
-                    automaton.add(run_, weight)
-                names = rb.column(3)[i].values.take(pa.array(place)).to_pylist()
-                rows = [(" ".join([names[w] for w in x]), n) for x, n in automaton.substrings(2, most)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([rb.column(2)[i].as_py()] * len(rows), pa.string()), pa.array([x[0] for x in rows], pa.string()), pa.array([x[1] for x in rows], pa.int64())],
-                    names=["lang", "phrase", "n"],
-                )
+                for sequence, weight in runs(local, joined).items():
+                    automaton.add(sequence, weight)
+                names = [w.encode("utf-8", "surrogatepass") for w in rb.column("words")[i].values.take(pa.array(place - 1)).to_pylist()]
+                found = sorted((b" ".join([names[w] for w in x]), n) for x, n in automaton.substrings(2, most))
+                del automaton
+                group = np.fromiter((zlib.crc32(x) % groups for x, _ in found), np.int64, len(found))
+                for g, at in _by_group(group):
+                    mine = [found[k] for k in at.tolist()]
+                    text = b"\n".join([x for x, _ in mine])
+                    row = [g], [rb.column("lang")[i].as_py()], [len(mine)], [len(text)], [pa.compress(text, "zstd", asbytes=True)], [_packed(np.array([n for _, n in mine], np.int64))]
+                    kinds = pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.binary()
+                    yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(row, kinds, strict=True)], names=["group", "lang", "size", "bytes", "phrases", "counts"])
+
+    return run
+
+
+def _frequent_phrases(least: int):
+    """(lang, phrase, a) of one group's phrases with `least` occurrences in all."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        total: dict[str, Counter] = defaultdict(Counter)
+        for r in rows.to_pylist():
+            counts, of = total[r["lang"]], _unpacked(r["counts"], r["size"]).tolist()
+            for phrase, n in zip(pa.decompress(r["phrases"], r["bytes"], "zstd", asbytes=True).split(b"\n"), of, strict=True):
+                counts[phrase] += n
+        out = [(lang, p.decode("utf-8", "replace"), n) for lang, counts in total.items() for p, n in counts.items() if n >= least]
+        return pa.table({n: pa.array([x[k] for x in out], t) for k, (n, t) in enumerate((("lang", pa.string()), ("phrase", pa.string()), ("a", pa.int64())))})
 
     return run
 
 
 def phrase_counts(cut: DataFrame, least: int = LEAST, most: int = WORDS) -> DataFrame:
-    """(lang, phrase, a) of all phrases of 1 to `most` words with at least `least` occurrences. cut: shards(), written."""
+    """(lang, phrase, a) of all phrases of 1 to `most` words with at least `least` occurrences. cut: shards(), written.
+
+    Pairs and phrases are dealt to groups by their hash, as one compressed row for each shard and group, and a
+    group is summed in one task; there are as many groups as the words ask for, so a group stays as small as a shard."""
+    groups = max(LEAST_GROUPS, -(-(cut.agg(F.sum("size")).first()[0] or 0) // SHARD_WORDS))
     words = cut.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("w")).select("lang", F.col("w.words").alias("phrase"), F.col("w.counts").alias("n"))
     words = words.groupBy("lang", "phrase").agg(F.sum("n").alias("a")).where(F.col("a") >= least)
-    words = materialize(words.withColumn("word", F.monotonically_increasing_id()), "words")
+    words = with_number(words, "word")
     listed = cut.select("shard", "lang", F.posexplode("words").alias("at", "phrase"))
     known = listed.join(words, ["lang", "phrase"]).groupBy("shard").agg(F.collect_list(F.struct((F.col("at") + 1).alias("place"), "word")).alias("known"))
     known = materialize(known, "known")
-    pairs = cut.select("shard", "tokens").join(known, "shard").mapInArrow(_pairs, "shard bigint, first bigint, second bigint, n bigint")
-    pairs = materialize(pairs, "pairs")
-    frequent = pairs.groupBy("first", "second").agg(F.sum("n").alias("a")).where(F.col("a") >= least).select("first", "second")
-    held = pairs.join(frequent, ["first", "second"]).groupBy("shard").agg(F.collect_list(F.struct("first", "second")).alias("held"))
-    rows = cut.select("shard", "tokens", "lang", "words").join(known, "shard").join(held, "shard")
-    # A place counts from 1 in tokens and from 0 in words.
-    phrases = rows.withColumn("words", F.concat(F.array(F.lit("")), "words")).mapInArrow(_phrases(most), "lang string, phrase string, n bigint")
-    found = phrases.groupBy("lang", "phrase").agg(F.sum("n").alias("a")).where(F.col("a") >= least)
+    pairs = cut.select("shard", "size", "tokens").join(known, "shard").mapInArrow(_pairs(groups), "group int, shard bigint, size bigint, codes binary, counts binary")
+    frequent = pairs.groupBy("group").applyInArrow(_frequent_pairs(least), "shard bigint, size bigint, codes binary")
+    held = materialize(frequent.groupBy("shard").agg(F.collect_list(F.struct("size", "codes")).alias("held")), "held")
+    rows = cut.select("shard", "size", "tokens", "lang", "words").join(known, "shard").join(held, "shard")
+    phrases = rows.mapInArrow(_phrases(most, groups), "group int, lang string, size bigint, bytes bigint, phrases binary, counts binary")
+    found = phrases.groupBy("group").applyInArrow(_frequent_phrases(least), "lang string, phrase string, a bigint")
     out = materialize(words.select("lang", "phrase", "a").unionByName(found), "phrases")
-    for done in (words, known, pairs):
+    for done in (words, known, held):
         discard(done)
     return out
 

@@ -71,6 +71,20 @@ def materialize(df: DataFrame, label: str, *, partition_by: str | None = None) -
     return read
 
 
+def with_number(df: DataFrame, out: str, label: str = "numbered") -> DataFrame:
+    """df, written, with whole numbers from 0 without gaps, as bigint. A task numbers its own rows; the rows of the
+    tasks before are added, of which there is one number a task."""
+    rows = materialize(df.withColumn("own", F.monotonically_increasing_id()), label)
+    task = F.shiftright("own", 33)
+    sizes = sorted(tuple(r) for r in rows.groupBy(task.alias("task")).agg(F.count("*").alias("n")).collect())
+    before = [(t, sum(n for _, n in sizes[:k])) for k, (t, _) in enumerate(sizes)]
+    starts = df.sparkSession.createDataFrame(before or [(0, 0)], "task bigint, before bigint")
+    told = rows.join(F.broadcast(starts), task == starts["task"])
+    read = told.select(*columns_of(rows, df.columns), (F.col("own").bitwiseAND((1 << 33) - 1) + F.col("before")).alias(out))
+    read._vellum_path = rows._vellum_path  # noqa: SLF001
+    return read
+
+
 def discard(df: DataFrame) -> None:
     """Removes the files of a materialized frame that no later result reads."""
     if path := getattr(df, "_vellum_path", None):
