@@ -75,7 +75,7 @@ def test_paths():
 def test_spans_of_nothing_and_containment(spark):
     s = spark.createDataFrame([("f", 0, 3), ("f", 5, 9), ("g", 5, 9)], "file string, start int, end int")
     outer = spark.createDataFrame([("f", 5, 10)], "file string, start int, end int")
-    assert spans.exclude_contained(s, outer, ["file"]).count() == 2 and spans.exclude_overlapping(s, outer, ["file"], width=2).count() == 2
+    assert spans.exclude_contained(s, outer, ["file"]).count() == 2 and spans.exclude_overlapping(s, outer, ["file"]).count() == 2
     assert spans.exclude_overlapping(s, outer.limit(0), ["file"]).count() == 3 and spans.exclude_overlapping(s.limit(0), outer, ["file"]).count() == 0
 
 

@@ -6,11 +6,11 @@ All are partitioned by a file-like key; positions order rows within it.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vellum.operators.scans import prefix_scan
+
 
 def _window(by: Sequence[str], order: Sequence):
     return Window.partitionBy(*by).orderBy(*order)
@@ -54,24 +54,32 @@ def context(df: DataFrame, value: str, by: Sequence[str], order: Sequence, lines
     return df.select("*", *before, *after)
 
 
-def exclude_overlapping(spans: DataFrame, taken: DataFrame, by: Sequence[str], *, start: str = "start", end: str = "end", width: int = 4096) -> DataFrame:
-    """Spans that overlap no taken span of the same key (s < t.end and e > t.start).
+def _swept(spans: DataFrame, marks: DataFrame, by: Sequence[str], place: str, start: str, end: str, first: int) -> DataFrame:
+    """spans with __reach, the greatest end of the marks of their key that start at or before `place` (at it only if
+    marks come first there, first=0). One sorted scan of both, so no pair of a span and a mark is made."""
+    names = list(spans.columns)
+    rows = spans.select(*by, F.col(place).alias("__at"), F.lit(1 - first).alias("__kind"), F.lit(None).cast(marks.schema[end].dataType).alias("__end"), F.struct(*names).alias("__row"))
+    seen = marks.select(*by, F.col(start).alias("__at"), F.lit(first).alias("__kind"), F.col(end).alias("__end"), F.lit(None).cast(rows.schema["__row"].dataType).alias("__row"))
+    told = prefix_scan(rows.unionByName(seen), by, ["__at", "__kind"], {"__reach": ("max", F.col("__end"))})
+    return told.where(F.col("__row").isNotNull()).select(*[F.col(f"__row.{c}").alias(c) for c in names], "__reach")
+
 
-    A span meets a taken one in a bucket of `width` positions that both touch, so a file with many spans makes
-    pairs of neighbours only; the buckets are the equi-join keys."""
-    keyed = spans.withColumn("__id", F.xxhash64(*[F.col(c) for c in spans.columns]))
-    cells = lambda s, e: F.explode(F.sequence(F.floor(F.col(s) / width), F.floor(F.greatest(F.col(e) - 1, F.col(s)) / width)))
-    left = keyed.select(*by, F.col(start).alias("__s"), F.col(end).alias("__e"), "__id", cells(start, end).alias("__cell"))
-    right = taken.select(*by, F.col(start).alias("__ts"), F.col(end).alias("__te"), cells(start, end).alias("__cell"))
-    met = left.join(right, [*by, "__cell"]).where((F.col("__s") < F.col("__te")) & (F.col("__e") > F.col("__ts"))).select("__id").distinct()
-    return keyed.join(met, "__id", "left_anti").drop("__id")
+def exclude_overlapping(spans: DataFrame, taken: DataFrame, by: Sequence[str], *, start: str = "start", end: str = "end") -> DataFrame:
+    """Spans that overlap no taken span of the same key (s < t.end and e > t.start): of the taken ones that start
+    before a span's end, the greatest end decides."""
+    told = _swept(spans, taken, by, end, start, end, first=1)
+    return told.where(F.col("__reach").isNull() | (F.col("__reach") <= F.col(start))).drop("__reach")
 
 
 def exclude_contained(spans: DataFrame, outer: DataFrame, by: Sequence[str], *, start: str = "start", end: str = "end") -> DataFrame:
-    """Spans inside no outer span. An equi-join on the key with the range as its residual."""
-    o = outer.select(*[F.col(c).alias(f"__{c}") for c in by], F.col(start).alias("__os"), F.col(end).alias("__oe"))
-    on = reduce(lambda a, b: a & b, [spans[c] == F.col(f"__{c}") for c in by])
-    return spans.join(o, on & (spans[start] >= F.col("__os")) & (spans[end] <= F.col("__oe")), "left_anti")
+    """Spans inside no outer span of the same key: of the outer ones that start at or before it, the greatest end decides."""
+    told = _swept(spans, outer, by, start, start, end, first=0)
+    return told.where(F.col("__reach").isNull() | (F.col("__reach") < F.col(end))).drop("__reach")
+
+
+def contained(spans: DataFrame, outer: DataFrame, by: Sequence[str], *, start: str = "start", end: str = "end") -> DataFrame:
+    """Spans inside some outer span of the same key, each once."""
+    return _swept(spans, outer, by, start, start, end, first=0).where(F.col("__reach") >= F.col(end)).drop("__reach")
 
 
 def within_after(rows: DataFrame, marks: Column, seconds: int, by: Sequence[str], ts: str, key: str) -> DataFrame:
@@ -84,14 +92,10 @@ def within_after(rows: DataFrame, marks: Column, seconds: int, by: Sequence[str]
     return told.withColumn("__n", F.sum("__m").over(w) - F.col("__m")).where(F.col("__n") == 0).drop("__us", "__m", "__n")
 
 
-def running_offsets(df: DataFrame, size: Column, by: Sequence[str], order: Sequence, *, end: str = "sector", number: str = "link_no") -> DataFrame:
-    """Inclusive running sum of sizes and a running number."""
-    frame = _window(by, order)
-    return df.select(
-        "*",
-        F.sum(size).over(frame.rowsBetween(Window.unboundedPreceding, Window.currentRow)).cast("bigint").alias(end),
-        F.row_number().over(frame).cast("bigint").alias(number),
-    )
+def running_offsets(df: DataFrame, size: Column, by: Sequence[str], order: Sequence[str], *, end: str = "sector", number: str = "link_no") -> DataFrame:
+    """Inclusive running sum of sizes and a running number, in two passes."""
+    told = prefix_scan(df, by, order, {end: ("sum", size.cast("bigint")), number: ("sum", F.lit(1).cast("bigint"))})
+    return told.withColumn(end, F.col(end).cast("bigint"))
 
 
 def fill_links(df: DataFrame, link: str, by: Sequence[str], order: Sequence, out: str = "link") -> DataFrame:
@@ -114,10 +118,11 @@ def changed_rows(df: DataFrame, value: str, by: Sequence[str], order: Sequence)
     return df.withColumn("__p", before).where(F.col("__p").isNull() | (F.col("__p") != F.col(value))).drop("__p")
 
 
-def numbered_ids(df: DataFrame, by: Sequence[str], order: Sequence, prefix: Column, out: str = "id") -> DataFrame:
-    """prefix:000001 and so on, counted by key."""
-    n = F.row_number().over(_window(by, order)).cast("string")
-    return df.withColumn(out, F.concat(prefix, F.lit(":"), F.lpad(n, 6, "0")))
+def numbered_ids(df: DataFrame, by: Sequence[str], order: Sequence[str], prefix: Column, out: str = "id") -> DataFrame:
+    """prefix:000001 and so on, counted by key in two passes; numbers of more digits are written out."""
+    n = F.col("__n").cast("string")
+    told = prefix_scan(df, by, order, {"__n": ("sum", F.lit(1).cast("bigint"))})
+    return told.withColumn(out, F.concat(prefix, F.lit(":"), F.lpad(n, F.greatest(F.length(n), F.lit(6)), F.lit("0")))).drop("__n")
 
 
 def line_of(text: Column, at: Column) -> Column:

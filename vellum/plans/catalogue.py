@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vellum.functions import arith, text
-from vellum.operators import spans, tables
+from vellum.operators import reach, scans, spans, tables
 from vellum.sources import archive
 from vellum.text import glossary
 
@@ -189,7 +189,7 @@ SELECT l_orderkey, l_linenumber FROM s WHERE NOT EXISTS (SELECT 1 FROM orders o
 def span_overlap_exclusion(orders, lineitem):
     s = lineitem.select("l_orderkey", "l_linenumber", (F.col("l_suppkey") % 10).alias("k"), (F.col("l_partkey") % 100000).alias("start"), (F.col("l_partkey") % 100000 + F.col("l_quantity").cast("bigint")).alias("end"))
     t = orders.where("o_orderstatus = 'P'").select((F.col("o_orderkey") % 10).alias("k"), (F.col("o_custkey") * 3).alias("start"), (F.col("o_custkey") * 3 + 5).alias("end"))
-    return spans.exclude_overlapping(s, t, ["k"], width=64).select("l_orderkey", "l_linenumber")
+    return spans.exclude_overlapping(s, t, ["k"]).select("l_orderkey", "l_linenumber")
 
 
 @query("documents", sql="SELECT doc_id, CAST(sum((n_chars + 255) // 256) OVER w AS BIGINT) AS sector, CAST(row_number() OVER w AS BIGINT) AS link_no FROM documents WINDOW w AS (PARTITION BY source ORDER BY doc_id)")
@@ -239,6 +239,57 @@ def link_fill(lineitem):
     return spans.fill_links(given, "given", ["l_suppkey"], ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"]).select("l_orderkey", "l_linenumber", "l_suppkey", "link")
 
 
+@query(
+    "orders",
+    "lineitem",
+    sql="""WITH s AS (SELECT l_orderkey, l_linenumber, l_suppkey % 10 AS k, l_partkey % 1000 AS a, l_partkey % 1000 + l_linenumber AS z FROM lineitem),
+o AS (SELECT o_orderkey % 10 AS k, o_custkey % 1000 AS a, o_custkey % 1000 + 4 AS z FROM orders WHERE o_orderstatus = 'P')
+SELECT l_orderkey, l_linenumber, EXISTS (SELECT 1 FROM o WHERE o.k = s.k AND s.a >= o.a AND s.z <= o.z) AS inside FROM s""",
+)
+def span_containment(orders, lineitem):
+    """Which spans lie inside a statement's span: the semi-join's rows, and the anti-join's."""
+    s = lineitem.select("l_orderkey", "l_linenumber", (F.col("l_suppkey") % 10).alias("k"), (F.col("l_partkey") % 1000).alias("start"), (F.col("l_partkey") % 1000 + F.col("l_linenumber")).alias("end"))
+    o = orders.where("o_orderstatus = 'P'").select((F.col("o_orderkey") % 10).alias("k"), (F.col("o_custkey") % 1000).alias("start"), (F.col("o_custkey") % 1000 + 4).alias("end"))
+    inside, outside = spans.contained(s, o, ["k"]), spans.exclude_contained(s, o, ["k"])
+    return inside.withColumn("inside", F.lit(True)).unionByName(outside.withColumn("inside", F.lit(False))).select("l_orderkey", "l_linenumber", "inside")
+
+
+@query(
+    "lineitem",
+    sql="""WITH RECURSIVE e AS (SELECT DISTINCT l_partkey * 2 AS a, l_suppkey * 2 + 1 AS b FROM lineitem WHERE l_quantity >= 49),
+way AS (SELECT a, b FROM e UNION SELECT b, a FROM e), r(node, round) AS (
+  SELECT (SELECT min(l_suppkey) * 2 + 1 FROM lineitem), CAST(0 AS BIGINT) UNION SELECT way.b, r.round + 1 FROM r JOIN way ON way.a = r.node WHERE r.round < 30)
+SELECT node, CAST(min(round) AS BIGINT) AS round FROM r GROUP BY node""",
+)
+def reachable_parts(lineitem):
+    """From the first supplier, by lines of 49 pieces and more: the parts that it sells, their other suppliers, and so on."""
+    e = lineitem.where("l_quantity >= 49").select((F.col("l_partkey") * 2).alias("source"), (F.col("l_suppkey") * 2 + 1).alias("target"))
+    both = e.unionByName(e.select(F.col("target").alias("source"), F.col("source").alias("target")))
+    seeds = lineitem.agg((F.min("l_suppkey") * 2 + 1).alias("node"))
+    return reach.reachable(seeds, both)
+
+
+_HELD_SQL = """WITH RECURSIVE e AS (SELECT user_id, event_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM events),
+s AS (
+  SELECT user_id, event_id, rn, {set_v} AS v, {set_c} AS c, CAST(NULL AS BIGINT) AS taken_v, CAST(NULL AS BIGINT) AS taken_c FROM (SELECT *, CAST(NULL AS BIGINT) AS pv, CAST(NULL AS BIGINT) AS pc FROM e WHERE rn = 1)
+  UNION ALL
+  SELECT user_id, event_id, rn, CASE WHEN closes THEN NULL ELSE {set_v} END, CASE WHEN closes THEN NULL ELSE {set_c} END, CASE WHEN closes THEN pv END, CASE WHEN closes THEN pc END
+  FROM (SELECT e.*, s.v AS pv, s.c AS pc, (e.event_type = 'purchase' AND s.v IS NOT NULL) OR (e.event_type = 'error' AND s.c IS NOT NULL) AS closes FROM s JOIN e ON e.user_id = s.user_id AND e.rn = s.rn + 1)
+)
+SELECT user_id, event_id, taken_v, taken_c FROM s WHERE taken_v IS NOT NULL OR taken_c IS NOT NULL""".format(
+    set_v="CASE WHEN event_type = 'view' THEN event_id ELSE pv END", set_c="CASE WHEN event_type = 'click' THEN event_id ELSE pc END"
+)
+
+
+@query("events", sql=_HELD_SQL)
+def held_events(events):
+    """A user's last view and click are held until a purchase that finds a view, or an error that finds a click, takes both."""
+    field = F.when(F.col("event_type") == "view", 0).when(F.col("event_type") == "click", 1)
+    closer = F.when(F.col("event_type") == "purchase", 0).when(F.col("event_type") == "error", 1)
+    taken = scans.held_fields(events, ["user_id"], "event_id", field=field, value=F.col("event_id"), closer=closer, leads=[0, 1], fields=2)
+    return taken.select("user_id", "event_id", F.col("taken")[0]["value"].alias("taken_v"), F.col("taken")[1]["value"].alias("taken_c"))
+
+
 # ---- keys
 
 

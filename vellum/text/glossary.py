@@ -12,12 +12,14 @@ import os
 from collections import Counter
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vellum.functions.text import PLACEHOLDER, clean_term, nfkc, stable_id
+from vellum.operators.scans import held_fields
+from vellum.operators.tables import merge_first_seen
+from vellum.written import written
 
 # ---- fixed values: patterns, word lists and category ranks
 
@@ -139,28 +141,24 @@ def _parsed(lines: DataFrame) -> DataFrame:
 
 
 def character_terms(parsed: DataFrame) -> DataFrame:
-    """SET_CHR: fields are held until an id line that finds its leading field among them takes and clears them.
-
-    Which lines clear depends on what earlier ones cleared, so the file is walked in order."""
-
-    def walk(frame: pd.DataFrame) -> pd.DataFrame:
-        held: dict[int, tuple[str, int]] = {}
-        out = []
-        for r in frame.sort_values("at").itertuples():
-            if r.ms == r.ms and r.ms is not None:
-                if int(r.ms) in (1, 2, 4, 5):
-                    held[int(r.ms)] = (r.value, r.at)
-                continue
-            lead, fields = CHARACTER_FIELDS.get(r.var, (None, ()))
-            if lead not in held:
-                continue
-            for k, (field, category, reason) in enumerate(fields):
-                if field in held:
-                    out.append((r.file, r.at * 10 + k, category, held[field][0], reason, int(r.entity), f"{r.file}:{held[field][1]}"))
-            held.clear()
-        return pd.DataFrame(out, columns=["file", "at", "category", "value", "reason", "entity", "ref"])
-
-    found = parsed.where(F.col("file") == TABLE_FILES[0]).groupBy("file").applyInPandas(walk, "file string, at bigint, category string, value string, reason string, entity bigint, ref string")
+    """SET_CHR: fields are held until an id line that finds its leading field among them takes and clears them."""
+    kinds = list(CHARACTER_FIELDS)
+    numbers = {1: 0, 2: 1, 4: 2, 5: 3}
+    field, closer = F.lit(None).cast("int"), F.lit(None).cast("int")
+    for ms, n in numbers.items():
+        field = F.when(F.col("ms") == ms, n).otherwise(field)
+    for n, var in enumerate(kinds):
+        closer = F.when(F.col("ms").isNull() & (F.col("var") == var), n).otherwise(closer)
+    lines = parsed.where(F.col("file") == TABLE_FILES[0])
+    leads = [numbers[CHARACTER_FIELDS[var][0]] for var in kinds]
+    taken = held_fields(lines, ["file"], "at", field=field, value=F.col("value"), closer=closer, leads=leads, fields=len(numbers))
+    # The id is the closing line's own.
+    ids = lines.where(closer.isNotNull()).select("file", "at", "entity")
+    rules = F.array(*[F.struct(F.lit(n).alias("closer"), F.lit(numbers[ms]).alias("field"), F.lit(k).alias("k"), F.lit(category).alias("category"), F.lit(reason).alias("reason"))
+                      for n, var in enumerate(kinds) for k, (ms, category, reason) in enumerate(CHARACTER_FIELDS[var][1])])
+    found = taken.join(ids, ["file", "at"]).withColumn("rule", F.explode(F.filter(rules, lambda r: r["closer"] == F.col("closer"))))
+    found = found.withColumn("held", F.get("taken", F.col("rule.field"))).where(F.col("held").isNotNull())
+    found = found.select("file", (F.col("at") * 10 + F.col("rule.k")).alias("at"), "rule.category", F.col("held.value").alias("value"), "rule.reason", "entity", F.concat_ws(":", "file", "held.at").alias("ref"))
     return found.select(*_term(1, F.col("at"), F.col("category"), F.col("value"), "high", "extracted", "id_table", F.col("reason"), F.col("entity"), F.lit(0), F.col("ref")))
 
 
@@ -196,7 +194,7 @@ def mined_terms(catalog: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 
     def each(pattern: str, group: int) -> DataFrame:
         found = rows.select("*", F.posexplode(F.regexp_extract_all("text", F.lit(pattern), F.lit(group))).alias("k", "value"))
-        return found.withColumn("at", F.col("row") * 100_000 + F.col("k"))
+        return found.withColumn("at", F.col("row") * (1 << 31) + F.col("k"))
 
     bracket = each(BRACKET, 1).withColumn("value", clean_term(F.col("value"))).withColumn("category", classify_bracket(F.col("value"), F.col("text")))
     bracket = bracket.where(~F.col("value").contains("ADV:") & plausible_bracket(F.col("value"), F.col("category")))
@@ -216,8 +214,7 @@ def merge_terms(terms: DataFrame) -> DataFrame:
     kept = terms.where((F.col("source") != "") & ~F.col("source").isin(*NEVER))
     seq = F.struct("stage", F.encode("file", "UTF-8").alias("file"), "at")
     keys = ["category", "source"]
-    firsts = kept.where("example is not null").groupBy(*keys, "example").agg(F.min(seq).alias("s"))
-    examples = firsts.groupBy(*keys).agg(F.slice(F.transform(F.array_sort(F.collect_list(F.struct("s", "example"))), lambda x: x["example"]), 1, 3).alias("examples"))
+    examples = merge_first_seen(kept.where("example is not null").withColumn("seq", seq), keys, "seq", examples="example", most=3)
     scalars = F.min(F.struct(seq.alias("s"), "confidence", "status", "origin", "reason")).alias("first")
     whole = kept.groupBy(*keys).agg(
         scalars, F.sum("occurrences").alias("occurrences"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("entity_ids")))).alias("entity_ids"),
@@ -232,10 +229,10 @@ def merge_terms(terms: DataFrame) -> DataFrame:
 
 def build(files: DataFrame, catalog: DataFrame, encoding: str = "utf-8", *, suffix_least: int = 2, katakana_least: int = 3) -> DataFrame:
     """The glossary of (file, content) scripts and (file, at, source) catalog rows, `at` ordering a file's records."""
-    parsed = _parsed(lines_of(files, encoding)).persist()
+    parsed = written(_parsed(lines_of(files, encoding)), "lines")
     tables_ = character_terms(parsed).unionByName(table_terms(parsed, 2, TABLE_FILES[1], 8, "158", "location")).unionByName(table_terms(parsed, 3, TABLE_FILES[2], 7, "160", "item"))
     known = tables_.unionByName(runtime_terms(parsed)).where((F.col("source") != "") & ~F.col("source").isin(*NEVER))
-    known = known.unionByName(filename_terms(files).join(known.select("source").distinct(), "source", "left_anti")).persist()
+    known = written(known.unionByName(filename_terms(files).join(known.select("source").distinct(), "source", "left_anti")), "known")
     sources = known.select("source").distinct()
     bracket, suffix, kana = (t.join(sources, "source", "left_anti") for t in mined_terms(catalog))
     keys = ["category", "source"]
