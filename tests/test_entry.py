@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from vellum.functions import arith, text
 from vellum.operators import spans, tables
-from vellum.plans import catalogue, formats  # noqa: F401
+from vellum.plans import catalogue, columns, formats  # noqa: F401
 
 
 @pytest.fixture(scope="module")
