@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vellum.llm import hyperminhash as op
-from vellum.llm.common import materialize, spread_join
+from vellum.llm.common import spread_join
 
 
 def shingles(text):
@@ -72,25 +72,45 @@ def found(spark, rows, **how):
     return sorted([tuple(r) for r in out.collect()], key=repr)
 
 
-@pytest.mark.parametrize("how", [{}, {"pairs": 0, "turns": 1, "splits": 0}, {"pairs": 0, "turns": 1, "splits": 1}, {"percent": 60}])
+@pytest.mark.parametrize("how", [{}, {"turns": 1}, {"turns": 0, "percent": 85}, {"percent": 60}, {"percent": 60, "turns": 0}])
 def test_components_are_those_of_all_pairs(spark, how):
-    """pairs=0 sends every key through least and greatest members, splits, and the last turn."""
-    rows = texts(len(how))
+    """Without turns all is left to the rarest shingles."""
+    rows = texts(len(how) + how.get("turns", 2))
     assert found(spark, rows, **how) == plain(rows, how.get("percent", 85))
 
 
-def test_a_hot_key_of_unrelated_units_is_split(spark):
-    """400 texts of one passage and own words share many keys and no link: pairs that meet stay far below all."""
+def asked_of(spark, rows, **how):
+    """How many pairs are compared, and the rows found."""
+    asked, plain_links = [], op._Links._linked
+
+    def counted(self, pairs, sets):
+        asked.append(pairs.count())
+        return plain_links(self, pairs, sets)
+
+    op._Links._linked = counted
+    try:
+        return found(spark, rows, **how), sum(asked)
+    finally:
+        op._Links._linked = plain_links
+
+
+def test_texts_of_one_passage_are_not_compared(spark):
+    """400 texts of one passage and own words share many keys and no link; so do much changed copies."""
     rng = random.Random(8)
     passage = " ".join(f"p{i}" for i in range(60))
     rows = [(i, passage + " " + " ".join(str(rng.random()) for _ in range(60))) for i in range(400)]
-    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
-    prints = op.sketches(docs, "doc_id", "text").withColumn("uid", F.col("id"))
-    links = op._Links(materialize(prints.select("uid", "n", "sketch"), "units"), 85, 4, 1, 2)
-    asked = []
-    links._linked = lambda pairs, sets: (asked.append(pairs.count()), spark.createDataFrame([], "a bigint, b bigint"))[1]
-    links.found(None)
-    assert 0 < sum(asked) < 400 * 399 / 2 / 4
+    rows += list(enumerate(group(rng, 150, 100, 30), 1_000))
+    got, asked = asked_of(spark, rows)
+    assert got == plain(rows) and asked < 2_000
+
+
+def test_keys_of_unlinked_sets_with_common_shingles(spark):
+    """300 texts of the same lines, 40 of 60 each: nothing is one text's own."""
+    rng = random.Random(9)
+    lines = [" ".join(f"w{i}x{k}" for k in range(6)) for i in range(60)]
+    rows = [(i, " ".join(lines[k] for k in sorted(rng.sample(range(60), 40)))) for i in range(300)]
+    got, asked = asked_of(spark, rows)
+    assert got == plain(rows) and asked < 300 * 299 / 2
 
 
 def test_registers_hold_zeros_and_the_bits_behind():

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vellum.llm.common import columns_of, discard, materialize, table
+from vellum.llm.common import columns_of, discard, materialize, table, with_number
 
 LEAST, TOP = 10, 10
 #: Terms of a task before they are sent on, counts that are tallied at a time, and tallied pairs that are summed at a time.
@@ -63,31 +63,31 @@ def term_counts(docs: DataFrame, lang_col: str, source_col: str, text_col: str)
     return docs.select(*columns_of(docs, [lang_col, source_col, text_col])).mapInArrow(run, "lang string, source string, term string, n bigint, docs bigint")
 
 
-def kept_terms(docs: DataFrame, lang_col: str, source_col: str, text_col: str, least: int = LEAST) -> DataFrame:
-    """(lang, term, total, held): held has the sources that have the term, with their counts, by source."""
-    counts = term_counts(docs, lang_col, source_col, text_col).groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-    by_term = counts.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("total"), F.collect_list(F.struct("source", "n")).alias("held"))
+def kept_terms(counts: DataFrame, groups: DataFrame, least: int = LEAST) -> DataFrame:
+    """(lang, term, total, held): held has the groups that have the term, with their counts, by group. counts:
+    term_counts(); groups: (lang, source, g), g a number."""
+    counts = counts.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    numbered = counts.join(groups, ["lang", "source"]).select("lang", "term", "g", "n", "docs")
+    by_term = numbered.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("total"), F.collect_list(F.struct("g", "n")).alias("held"))
     return by_term.where(F.col("docs") >= least).select("lang", "term", "total", F.array_sort("held").alias("held"))
 
 
 class _Tally:
-    """Cells of the pairs of sources in some terms. Sources of a language are numbered as they come."""
+    """Cells of the pairs of groups in some terms."""
 
     def __init__(self):
         self.pending: list[tuple[np.ndarray, np.ndarray]] = []
         self.size = 0
 
     def batches(self, rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = pa.Table.from_batches(rows).combine_chunks()
-        held = rows["held"].combine_chunks()
+        held = pa.Table.from_batches(rows)["held"].combine_chunks()
         at = np.repeat(np.arange(len(held)), np.asarray(held.value_lengths()))
         flat = held.flatten()
-        langs, sources = rows["lang"].combine_chunks().dictionary_encode(), flat.field("source").dictionary_encode()
-        lang, source = np.asarray(langs.indices)[at].astype(np.int64), np.asarray(sources.indices).astype(np.int64)
+        group = np.asarray(flat.field("g"))
         values, count = np.unique(np.asarray(flat.field("n")), return_inverse=True)
         values = np.concatenate([[0], values])  # code 0 stands for the count 0
         count = count + 1
-        width, base = len(sources.dictionary), len(values)
+        base = len(values)
 
         def summed() -> pa.RecordBatch:
             pair, cell = (np.concatenate([p[i] for p in self.pending]) for i in (0, 1))
@@ -96,12 +96,11 @@ class _Tally:
             # What both have is no longer in the margins: (x, 0) and (0, y) lose it, (0, 0), which lost it twice, regains it.
             margins = [(pair, cell // base * base, -n), (pair, cell % base, -n), (pair, np.zeros_like(cell), n)]
             pair, cell, n = (np.concatenate(x) for x in zip((pair, cell, n), *[_runs(*m) for m in margins], strict=True))
-            names = langs.dictionary.take(pa.array(pair // width // width)), sources.dictionary.take(pa.array(pair // width % width)), sources.dictionary.take(pa.array(pair % width))
-            return pa.RecordBatch.from_arrays([*names, pa.array(values[cell // base]), pa.array(values[cell % base]), pa.array(n)], names=["lang", "first", "second", "x", "y", "m"])
+            return pa.RecordBatch.from_arrays([pa.array(pair), pa.array(values[cell // base]), pa.array(values[cell % base]), pa.array(n)], names=["pair", "x", "y", "m"])
 
         for d in range(1, int(np.asarray(held.value_lengths()).max(initial=0))):
             i = np.flatnonzero(at[d:] == at[:-d])
-            self.pending.append(((lang[i] * width + source[i]) * width + source[i + d], count[i] * base + count[i + d]))
+            self.pending.append((group[i] << 32 | group[i + d], count[i] * base + count[i + d]))
             self.size += len(i)
             if self.size >= _PENDING:
                 yield summed()
@@ -121,7 +120,7 @@ def _tallied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rows, size = [], 0
     for rb in batches:
         rows.append(rb)
-        size += len(rb.column(1).flatten())
+        size += len(rb.column(0).flatten())
         if size >= _CHUNK:
             yield from _Tally().batches(rows)
             rows, size = [], 0
@@ -130,18 +129,17 @@ def _tallied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def joint_histograms(kept: DataFrame, pairs: DataFrame, histograms: DataFrame) -> DataFrame:
-    """(lang, first, second, x, y, m): how many kept terms have counts x and y in the sources of each pair, zeros too.
-    pairs: (lang, first, second, v, kinds_first, kinds_second); histograms: (lang, source, n, m)."""
-    dealt = kept.repartitionByRange("lang", "total", "term").select("lang", "held")
-    both = dealt.mapInArrow(_tallied, "lang string, first string, second string, x bigint, y bigint, m bigint")
+    """(pair, x, y, m): how many kept terms have counts x and y in the groups of each pair, zeros too.
+    pairs: (pair, a, b, v, kinds_a, kinds_b), a and b numbers of groups; histograms: (g, n, m)."""
+    dealt = kept.repartitionByRange("lang", "total", "term").select("held")
+    both = dealt.mapInArrow(_tallied, "pair bigint, x bigint, y bigint, m bigint")
     zero = F.lit(0).cast("bigint")
-    own = lambda side: histograms.select("lang", F.col("source").alias(side), "n", "m")
-    names = pairs.select("lang", "first", "second")
-    here = names.join(own("first"), ["lang", "first"]).select("lang", "first", "second", F.col("n").alias("x"), zero.alias("y"), "m")
-    there = names.join(own("second"), ["lang", "second"]).select("lang", "first", "second", zero.alias("x"), F.col("n").alias("y"), "m")
-    none = pairs.select("lang", "first", "second", zero.alias("x"), zero.alias("y"), (F.col("v") - F.col("kinds_first") - F.col("kinds_second")).alias("m"))
+    own = lambda side: histograms.select(F.col("g").alias(side), "n", "m")
+    here = pairs.select("pair", "a").join(own("a"), "a").select("pair", F.col("n").alias("x"), zero.alias("y"), "m")
+    there = pairs.select("pair", "b").join(own("b"), "b").select("pair", zero.alias("x"), F.col("n").alias("y"), "m")
+    none = pairs.select("pair", zero.alias("x"), zero.alias("y"), (F.col("v") - F.col("kinds_a") - F.col("kinds_b")).alias("m"))
     cells = both.unionByName(here).unionByName(there).unionByName(none)
-    return cells.groupBy("lang", "first", "second", "x", "y").agg(F.sum("m").alias("m")).where(F.col("m") > 0)
+    return cells.groupBy("pair", "x", "y").agg(F.sum("m").alias("m")).where(F.col("m") > 0)
 
 
 def share(count: str, total: str, kept: str) -> Column:
@@ -163,27 +161,29 @@ def audit(docs: DataFrame, lang_col: str = "lang", source_col: str = "source", t
     none. Every row is a document, repeated rows too. An empty table gives no rows. As many rows come out as there are
     pairs of sources, which is what the pairs part is; nothing else grows with their square but their cells.
     """
-    kept = materialize(kept_terms(docs, lang_col, source_col, text_col, least), "terms")
-    histograms = materialize(kept.select("lang", F.explode("held").alias("h")).groupBy("lang", F.col("h.source").alias("source"), F.col("h.n").alias("n")).agg(F.count("*").alias("m")), "histograms")
-    langs = kept.groupBy("lang").agg(F.count("*").alias("v"), F.sum("total").alias("lang_total"))
-    own = histograms.groupBy("lang", "source").agg(F.sum(F.col("n") * F.col("m")).alias("total"), F.sum("m").alias("kinds"))
     names = docs.select(*[F.coalesce(c, F.lit("")).alias(n) for c, n in zip(columns_of(docs, [lang_col, source_col]), ("lang", "source"), strict=True)]).distinct()
-    groups = names.join(own, ["lang", "source"], "left").join(langs, "lang", "left").na.fill(0, ["total", "kinds", "v", "lang_total"])
+    names = with_number(names, "g")  # two numbers are a pair's, so groups are below 2^31
+    kept = materialize(kept_terms(term_counts(docs, lang_col, source_col, text_col), names, least), "terms")
+    histograms = materialize(kept.select(F.explode("held").alias("h")).groupBy(F.col("h.g").alias("g"), F.col("h.n").alias("n")).agg(F.count("*").alias("m")), "histograms")
+    langs = kept.groupBy("lang").agg(F.count("*").alias("v"), F.sum("total").alias("lang_total"))
+    own = histograms.groupBy("g").agg(F.sum(F.col("n") * F.col("m")).alias("total"), F.sum("m").alias("kinds"))
+    groups = names.join(own, "g", "left").join(langs, "lang", "left").na.fill(0, ["total", "kinds", "v", "lang_total"])
     groups = materialize(groups, "groups")
-    # Pairs of a language's sources, dealt by the second one.
-    second = groups.select("lang", F.col("source").alias("second"), F.col("total").alias("total_second"), F.col("kinds").alias("kinds_second"), F.pmod(F.xxhash64("source"), F.lit(BLOCKS)).alias("block"))
-    first = groups.select("lang", F.col("source").alias("first"), F.col("total").alias("total_first"), F.col("kinds").alias("kinds_first"), "v", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(BLOCKS - 1).cast("bigint"))).alias("block"))
-    pairs = materialize(first.join(second, ["lang", "block"]).where(F.col("first") < F.col("second")).drop("block"), "pairs")
+    # Pairs of a language's groups, dealt by the second one.
+    side = lambda x: [F.col(c).alias(f"{c}_{x}") for c in ("source", "total", "kinds")] + [F.col("g").alias(x)]
+    second = groups.select("lang", *side("b"), F.pmod("g", F.lit(BLOCKS)).cast("int").alias("block"))
+    first = groups.select("lang", *side("a"), "v", F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1))).alias("block"))
+    pairs = first.join(second, ["lang", "block"]).where(F.col("a") < F.col("b")).drop("block")
+    pairs = materialize(pairs.withColumn("pair", F.call_function("shiftleft", F.col("a"), F.lit(32)).bitwiseOR(F.col("b"))), "pairs")
     cells = joint_histograms(kept, pairs, histograms)
-    told = cells.join(pairs.where("v > 0").select("lang", "first", "second", "v", "total_first", "total_second"), ["lang", "first", "second"])
-    told = told.withColumn("p", share("x", "total_first", "v")).withColumn("q", share("y", "total_second", "v"))
-    sums = told.groupBy("lang", "first", "second").agg(F.sum(divergence("p", "q") * F.col("m")).alias("value"))
-    valued = pairs.select("lang", "first", "second").join(sums, ["lang", "first", "second"], "left").na.fill(0, ["value"])
-    valued = materialize(valued, "values")
+    told = cells.join(pairs.where("v > 0").select("pair", "v", "total_a", "total_b"), "pair")
+    told = told.withColumn("p", share("x", "total_a", "v")).withColumn("q", share("y", "total_b", "v"))
+    sums = told.groupBy("pair").agg(F.sum(divergence("p", "q") * F.col("m")).alias("value"))
+    valued = materialize(pairs.select("pair", "lang", "source_a", "source_b").join(sums, "pair", "left").na.fill(0, ["value"]), "values")
     part = lambda rows, source, item, name: rows.select("lang", F.col(source).alias("source"), F.lit(name).alias("part"), F.col(item).alias("item"), "value")
-    mirrored = part(valued, "first", "second", "pair").unionByName(part(valued, "second", "first", "pair"))
-    flat = kept.select("lang", "term", F.col("total").alias("in_lang"), F.explode("held").alias("h")).select("lang", "term", "in_lang", F.col("h.source").alias("source"), F.col("h.n").alias("n"))
-    rows = flat.join(groups, ["lang", "source"]).withColumn("p", share("n", "total", "v")).withColumn("q", share("in_lang", "lang_total", "v")).where("p > q")
+    mirrored = part(valued, "source_a", "source_b", "pair").unionByName(part(valued, "source_b", "source_a", "pair"))
+    flat = kept.select("term", F.col("total").alias("in_lang"), F.explode("held").alias("h")).select("term", "in_lang", "h.g", "h.n")
+    rows = flat.join(groups, "g").withColumn("p", share("n", "total", "v")).withColumn("q", share("in_lang", "lang_total", "v")).where("p > q")
     rows = part(rows.withColumn("value", divergence("p", "q")), "source", "term", "term")
     place = F.row_number().over(Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item"))
     ranked = mirrored.withColumn("rank", place).unionByName(rows.withColumn("rank", place).where(F.col("rank") <= top))

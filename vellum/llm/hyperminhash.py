@@ -6,10 +6,10 @@ from others in a fixed order, make a document's keys: two sets of a Jaccard inde
 with a chance of about 10^-9. Pairs that share one are estimated from the registers, less the collisions that compression makes;
 an estimate that sampling explains with a chance of no more than 10^-9 ends a pair there, all others are confirmed on full sets.
 
-Groups of copies: equal sets are one unit before any key is made. Keys with few pairs between different components
-make all of these pairs. At fuller ones members meet the key's least and greatest member (by an order that changes
-with each turn), which joins dense clusters without their pairs; what is then still apart is compared with the members of
-other components, and keys that are full of unrelated units are split by the units' other keys first.
+Groups of copies: equal sets are one unit before any key is made. Units of a key meet its least and greatest one (by an
+order that changes with each turn), which joins dense clusters without their pairs. Of what is then still apart, units
+of different components are compared that share a rare shingle, or a key if they can link without their rare ones. Before that each unit counts its shingles that no other unit has: it can share no more than the rest, which leaves out
+texts of a common passage or a much changed copy without a look at their pairs.
 """
 
 from __future__ import annotations
@@ -33,10 +33,10 @@ EMPTY = 0xFFFF
 _ZEROS, _MANTISSA = 48, 10
 #: Minus the logarithm of the chance at which an estimate ends a pair.
 CERTAINTY = 20.7
-#: Pairs between components for each member of a key up to which a key makes all of them.
-PAIRS = 16
-#: Turns of least and greatest members before keys are split, and how often they are.
-TURNS, SPLITS = 3, 2
+#: Turns of least and greatest members before what is left is compared by its rare shingles.
+TURNS = 2
+#: Units that a rare shingle has at most.
+RARE = 16
 #: Units whose full sets are fetched by a broadcast of their digests (16 bytes each); more are joined.
 MAX_BROADCAST = 500_000
 _DIGEST = ["d1", "d2"]
@@ -195,65 +195,117 @@ def _confirmed(percent: int):
     return run
 
 
+def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(uid, hashes) to (uid, hash)."""
+    for rb in batches:
+        sets = [np.frombuffer(x.as_buffer(), np.int64) for x in rb.column(1)]
+        uid = np.repeat(np.asarray(rb.column(0)), [len(x) for x in sets])
+        yield pa.RecordBatch.from_arrays([pa.array(uid), pa.array(np.concatenate([np.empty(0, np.int64), *sets]))], names=["uid", "hash"])
+
+
+def common_shingles(units: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """units (uid, n) with s, how many of their shingles some other unit has too. Two sets share no more than the
+    lesser s: units whose s is too small for any link are left out."""
+    once = sets.mapInArrow(_exploded, "uid bigint, hash bigint").groupBy("hash").agg(F.count("*").alias("of"), F.min("uid").alias("uid")).where(F.col("of") == 1)
+    own = once.groupBy("uid").agg(F.count("*").alias("alone"))
+    told = units.join(own, "uid", "left").withColumn("s", F.col("n") - F.coalesce("alone", F.lit(0)))
+    return told.where(100 * F.col("s") >= percent * F.col("n")).select("uid", "n", "s")
+
+
 class _Links:
     """Links between units (uid, n, sketch) that leave their components as all links would."""
 
-    def __init__(self, units: DataFrame, percent: int, pairs: int, turns: int, splits: int):
-        self.units, self.percent, self.pairs, self.turns, self.splits = units, percent, pairs, turns, splits
+    def __init__(self, units: DataFrame, percent: int, turns: int):
+        self.percent, self.turns = percent, turns
         own = units.where(F.col("n") * (100 - percent) >= percent)  # smaller sets link with equal ones only
         self.keys = materialize(own.select("uid", "n", "sketch").mapInArrow(_keyed, "key bigint, uid bigint, n bigint"), "keys")
         self.members = self._shared(self.keys)
+        self.units = materialize(own.join(self.members.select("uid").distinct(), "uid"), "compared")
         self.edges: list[DataFrame] = []
         self.roots: DataFrame | None = None
 
     def _shared(self, rows: DataFrame) -> DataFrame:
-        """Rows (key, uid, n) of keys that more than one unit has."""
+        """Rows with a key that more than one of them has."""
         many = rows.groupBy("key").agg(F.count("*").alias("size")).where("size > 1").select("key")
         return materialize(rows.join(many, "key"), "members")
 
     def found(self, sets: DataFrame) -> DataFrame:
-        for split in range(self.splits + 1):
-            for turn in range(self.turns):
-                last = split == self.splits and turn == self.turns - 1
-                if not self._turn(sets, split * self.turns + turn, last):
-                    return self._all()
-            if split < self.splits:
-                self.members = self._shared(self._split())
+        """The links, over the full sets (uid, hashes) of self.units."""
+        common = common_shingles(self.units.select("uid", "n"), sets, self.percent)
+        self.members = self._shared(self.members.join(common.select("uid", "s"), "uid"))
+        for turn in range(self.turns):
+            told, size = self._told("key"), F.col("size")
+            few, full = self._apart(told, size <= 3), self._apart(told, size > 3)
+            if not self._compare([self._outside(told, few), self._pivots(told, full, turn)], sets):
+                return self._all()
+            self.members = materialize(told.join(full.select("key"), "key").select("key", "uid", "n", "s"), "members")
+        told = self._told("key")
+        left = materialize(told.join(self._apart(told, F.lit(True)).select("key"), "key"), "left")
+        rare, rest = self._by_rare_shingles(left, sets)
+        self._compare([self._outside(rare, self._apart(rare, F.lit(True))), self._outside(rest, self._apart(rest, F.lit(True)), once=True)], sets)
         return self._all()
 
     def _all(self) -> DataFrame:
         return reduce(DataFrame.unionByName, self.edges)
 
-    def _turn(self, sets: DataFrame, turn: int, last: bool) -> bool:
-        """Compares what the keys ask for; whether some keys are left."""
-        told = self.members
-        if self.roots is not None:
-            told = told.join(self.roots.withColumnRenamed("node", "uid"), "uid", "left").select("key", "uid", "n", F.coalesce("root", "uid").alias("c"))
-        else:
-            told = told.withColumn("c", F.col("uid"))
-        told = materialize(told, "told")
-        parts = told.groupBy("key", "c").agg(F.count("*").alias("size"))
-        stats = parts.groupBy("key").agg(F.sum("size").alias("size"), F.sum(F.col("size").cast("double") * F.col("size")).alias("inside"), F.max_by("c", F.struct("size", "c")).alias("main"), F.count("*").alias("parts"))
-        between = (F.col("size").cast("double") * F.col("size") - F.col("inside")) / 2
-        state = materialize(stats.where("parts > 1").select("key", "main", (F.lit(last) | (between <= self.pairs * F.col("size"))).alias("all")), "open")
-        if not state.limit(1).count():
-            return False
-        other = told.select("key", F.col("uid").alias("b"), F.col("n").alias("m"), F.col("c").alias("d"))
-        outside = told.join(state.where("all"), "key").where("c <> main").select("key", "uid", "n", "c")
-        whole = outside.join(other, "key").where("c <> d")
-        full = told.join(state.where("not all").select("key"), "key")
-        by = F.struct(F.xxhash64("uid", F.lit(turn)), "uid", "n", "c")
-        pivots = full.groupBy("key").agg(F.array(F.min(by), F.max(by)).alias("p")).select("key", F.explode("p").alias("p"))
-        met = full.join(pivots.select("key", F.col("p.uid").alias("b"), F.col("p.n").alias("m"), F.col("p.c").alias("d")), "key").where("c <> d")
-        pairs = whole.select("uid", "b", "n", "m").unionByName(met.select("uid", "b", "n", "m"))
-        near = 100 * F.least("n", "m") >= self.percent * F.greatest("n", "m")
-        pairs = pairs.where(near).select(F.least("uid", "b").alias("a"), F.greatest("uid", "b").alias("b")).distinct()
+    def _told(self, key: str) -> DataFrame:
+        """The members with their components (c)."""
+        if self.roots is None:
+            return self.members.withColumn("c", F.col("uid"))
+        rows = self.members.join(self.roots.withColumnRenamed("node", "uid"), "uid", "left")
+        return materialize(rows.select(key, "uid", "n", "s", F.coalesce("root", "uid").alias("c")), "told")
+
+    @staticmethod
+    def _apart(told: DataFrame, where) -> DataFrame:
+        """(key, main: its largest component) of the keys that several components meet at."""
+        parts = told.groupBy("key", "c").agg(F.count("*").alias("n_of"))
+        stats = parts.groupBy("key").agg(F.sum("n_of").alias("size"), F.max_by("c", F.struct("n_of", "c")).alias("main"), F.count("*").alias("parts"))
+        return stats.where((F.col("parts") > 1) & where).select("key", "main")
+
+    @staticmethod
+    def _outside(told: DataFrame, keys: DataFrame, once: bool = False) -> DataFrame:
+        """Pairs of the members outside a key's largest component with the members of other ones. once: told has all
+        keys of each unit, and a pair is made at the least one that it shares only."""
+        more = ["keys"] if once else []
+        other = told.select("key", F.col("uid").alias("b"), F.col("n").alias("m"), F.col("s").alias("t"), F.col("c").alias("d"), *[F.col("keys").alias("others")][: len(more)])
+        apart = F.col("c") != F.col("d")
+        if once:
+            apart &= F.array_min(F.array_intersect("keys", "others")) == F.col("key")
+        return told.join(keys, "key").where("c <> main").select("key", "uid", "n", "s", "c", *more).join(other, "key").where(apart)
+
+    @staticmethod
+    def _pivots(told: DataFrame, keys: DataFrame, turn: int) -> DataFrame:
+        """Pairs of a key's members with its least and its greatest one, by an order of this turn."""
+        full = told.join(keys.select("key"), "key")
+        by = F.struct(F.xxhash64("uid", F.lit(turn)), "uid", "n", "s", "c")
+        pivots = full.groupBy("key").agg(F.array(F.min(by), F.max(by)).alias("pivots"))
+        others = F.filter("pivots", lambda p: p["c"] != F.col("c"))
+        met = full.join(pivots, "key").select("uid", "n", "s", F.explode(others).alias("p"))
+        return met.select("uid", "n", "s", F.col("p.uid").alias("b"), F.col("p.n").alias("m"), F.col("p.s").alias("t"))
+
+    def _by_rare_shingles(self, left: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Rows (key, uid, n, s, c) of two kinds of keys that give all links of the units in `left` between them: shingles
+        that at most RARE of the units have, and the keys of old, of units that can link without any of these."""
+        units = left.select("uid", "n", "s", "c").distinct()
+        flat = materialize(sets.join(units.select("uid"), "uid").select("uid", "hashes").mapInArrow(_exploded, "uid bigint, hash bigint"), "flat")
+        few = flat.groupBy("hash").agg(F.count("*").alias("of")).where(F.col("of") <= RARE)
+        rare = materialize(flat.join(few, "hash"), "rare")
+        own = rare.groupBy("uid").agg(F.count("*").alias("rare"))
+        rows = rare.where("of > 1").join(units, "uid").select(F.col("hash").alias("key"), "uid", "n", "s", "c")
+        rest = left.join(own, "uid", "left").withColumn("s", F.least("s", F.col("n") - F.coalesce("rare", F.lit(0)))).drop("rare")
+        rest = rest.where(100 * F.col("s") >= self.percent * F.col("n"))
+        every = self.keys.join(rest.select("uid").distinct(), "uid").groupBy("uid").agg(F.array_sort(F.collect_list("key")).alias("keys"))
+        return rows, rest.join(every, "uid").select("key", "uid", "n", "s", "c", "keys")
+
+    def _compare(self, asked: list[DataFrame], sets: DataFrame) -> bool:
+        """Adds the links of the asked pairs, and joins components; False if no pair was asked for."""
+        n, both = F.col("n") + F.col("m"), F.least("s", "t")  # no two sets share more
+        near = (100 * F.least("n", "m") >= self.percent * F.greatest("n", "m")) & (100 * both >= self.percent * (n - both))
+        rows = reduce(DataFrame.unionByName, [x.select("uid", "b", "n", "m", "s", "t") for x in asked])
+        pairs = rows.where(near).select(F.least("uid", "b").alias("a"), F.greatest("uid", "b").alias("b")).distinct()
+        pairs = materialize(pairs, "pairs")
         self.edges.append(self._linked(pairs, sets))
-        left = materialize(full.select("key", "uid", "n"), "members")
-        discard(self.members)
-        self.members = left
-        discard(told)
-        if last or not left.limit(1).count():
+        if not pairs.limit(1).count():
             return False
         self.roots = materialize(connected_components(self._all()), "roots")
         return True
@@ -266,15 +318,9 @@ class _Links:
         both = likely.join(of(sets, "a", "hashes"), "a").join(of(sets, "b", "hashes"), "b").select("a", "b", "hashes_a", "hashes_b")
         return materialize(both.mapInArrow(_confirmed(self.percent), "a bigint, b bigint"), "links")
 
-    def _split(self) -> DataFrame:
-        """The members of full keys, each under its key joined with each of its own keys: a pair that may link shares many."""
-        own = self.keys.select(F.col("key").alias("own"), "uid")
-        both = self.members.join(own, "uid").where(F.col("key") != F.col("own"))
-        return both.select(F.xxhash64(F.least("key", "own"), F.greatest("key", "own")).alias("key"), "uid", "n").distinct()
-
 
 def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, percent: int = PERCENT, width: int = SHINGLE, pairs: int = PAIRS, turns: int = TURNS, splits: int = SPLITS
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, percent: int = PERCENT, width: int = SHINGLE, turns: int = TURNS
 ) -> DataFrame:
     """(id, n_shingles, component_id, kept) for every row of docs.
 
@@ -287,9 +333,8 @@ def near_duplicates(
     some = prints.where("n > 0")
     units = some.groupBy(*_DIGEST).agg(F.min("id").alias("least"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     units = materialize(units.withColumn("uid", F.monotonically_increasing_id()), "units")
-    links = _Links(units, percent, pairs, turns, splits)
-    wanted = links.members.select("uid").distinct().join(units.select("uid", *_DIGEST), "uid")
-    sets = materialize(full_sets(docs, text_col, materialize(wanted, "wanted"), width), "sets")
+    links = _Links(units, percent, turns)
+    sets = materialize(full_sets(docs, text_col, links.units.select("uid", *_DIGEST), width), "sets")
     edges = links.found(sets) if links.members.limit(1).count() else docs.sparkSession.createDataFrame([], "a bigint, b bigint")
     roots = connected_components(edges)
     of = units.select("uid", *_DIGEST, "least").join(roots.withColumnRenamed("node", "uid"), "uid", "left").withColumn("root", F.coalesce("root", "uid"))
