@@ -66,11 +66,18 @@ def materialize(df: DataFrame, label: str, *, partition_by: str | None = None) -
     if partition_by:
         rest = [f for f in schema.fields if f.name != partition_by]
         schema = T.StructType([*rest, schema[partition_by]])
+    _goes_with_jvm(spark, path)
     read = spark.read.schema(schema).parquet(path)
     read._vellum_path = path  # noqa: SLF001
     return read
 
 
+def _goes_with_jvm(spark: SparkSession, path: str) -> None:
+    """The JVM removes what is left of a written path when it ends, after spark.stop() too."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)  # noqa: SLF001
+
+
 def with_number(df: DataFrame, out: str, label: str = "numbered") -> DataFrame:
     """df, written, with whole numbers from 0 without gaps, as bigint. A task numbers its own rows; the rows of the
     tasks before are added, of which there is one number a task."""
@@ -152,6 +159,7 @@ def sorted_table(rows: DataFrame, label: str, keys: list[str], buckets: int, *,
     path, name = new_path(spark, label), f"vellum_{uuid.uuid4().hex}"
     dealt_rows = rows if dealt else rows.repartition(buckets, *keys)
     dealt_rows.write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path).format("parquet").saveAsTable(name)
+    _goes_with_jvm(spark, path)
     read = spark.table(name)
     read._vellum_path, read._vellum_table = path, name  # noqa: SLF001
     return read
