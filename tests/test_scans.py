@@ -107,3 +107,39 @@ def test_written_frames_go(spark):
     assert os.path.isdir(path) and frame.count() == 3
     removed(frame)
     assert not os.path.exists(path)
+
+
+def test_all_hits_of_texts(spark):
+    rng = random.Random(4)
+    texts = ["".join(rng.choices(["ab", "\n", "x", "é😀", "a", "b"], k=rng.randrange(0, 40))) for _ in range(60)] + ["", None, "ab" * 20_000, "ab\nab", "a.b"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    got = sorted(tuple(r) for r in spans.all_hits(frame, ["id"], "text", "ab").collect())
+    want = []
+    for i, t in enumerate(texts):
+        at = (t or "").find("ab")
+        while at >= 0:
+            want.append((i, t.count("\n", 0, at) + 1, at - (t.rfind("\n", 0, at) + 1) + 1, at + 1))
+            at = t.find("ab", at + 2)
+    assert got == sorted(want)
+    assert [r.id for r in spans.all_hits(frame, ["id"], "text", "a.b").collect()] == [len(texts) - 1]  # plain, no pattern
+
+
+def test_last_of_place(spark):
+    frame = spark.createDataFrame([("a", 1, 5, None), ("a", 1, 7, "y"), ("a", 2, 1, "z"), ("b", 1, 0, "w"), (None, 1, 3, "n"), (None, 1, 4, None)], "k string, place int, at int, v string")
+    got = spans.last_of_place(frame, ["k"], ["place"], ["at"])
+    assert got.columns == frame.columns
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted([("a", 1, 7, "y"), ("a", 2, 1, "z"), ("b", 1, 0, "w"), (None, 1, 4, None)], key=repr)
+
+
+@pytest.mark.parametrize("most", [100_000, 2])
+def test_rules_as_rows(spark, monkeypatch, most):
+    from vellum.operators import rules
+
+    monkeypatch.setattr(rules, "MAX_BROADCAST", most)
+    table = [(5, "a", "x", "five"), (1, "b", "7", "one"), (1, "a", "x", "first of a rank"), (2, "a", "y", "two"), (9, "b", "8", None)]
+    rows = [(1, "x", 7), (2, "x", 0), (3, "y", 7), (4, "y", 1), (5, "z", 1), (6, None, None), (7, "z", 8)]
+    frame, kept = spark.createDataFrame(rows, "id int, a string, b int"), spark.createDataFrame(table, "rank int, field string, value string, result string")
+    got = {r.id: r.route for r in rules.routed(frame, kept, ["id"], ["a", "b"], default="none").collect()}
+    assert got == {1: "first of a rank", 2: "first of a rank", 3: "one", 4: "two", 5: "none", 6: "none", 7: "none"}
+    every = kept.unionByName(spark.createDataFrame([(99, None, None, "rest")], kept.schema))
+    assert {r.id: r.route for r in rules.routed(frame, every, ["id"], ["a", "b"]).where("id > 4").collect()} == {5: "rest", 6: "rest", 7: None}

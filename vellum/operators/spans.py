@@ -129,3 +129,26 @@ def line_of(text: Column, at: Column) -> Column:
     """1-based line of a 1-based position."""
     head = F.substring(text, F.lit(1), at - 1)
     return (F.length(head) - F.length(F.replace(head, F.lit("\n"), F.lit(""))) + 1).cast("bigint")
+
+
+def all_hits(df: DataFrame, key: Sequence[str], text: str, needle: str) -> DataFrame:
+    """(key, line, column, at) of every hit of a plain string in a text, hits apart; 1-based places in code points. Texts
+    are cut at the hits; places are running sums of the pieces before, so a text of many hits is linear."""
+    parts = df.select(*key, F.posexplode(F.split(text, f"\\Q{needle}\\E", -1)).alias("__k", "__piece"))
+    last = F.regexp_extract("__piece", r"([^\n]*)\z", 1)
+    breaks = F.length("__piece") - F.length(F.replace("__piece", F.lit("\n"), F.lit("")))
+    w = _window(key, ["__k"]).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    told = parts.select(*key, "__k", F.length("__piece").alias("__size"), breaks.alias("__breaks"), F.length(last).alias("__tail"))
+    told = told.withColumn("at", F.sum("__size").over(w) + F.col("__k") * len(needle) + 1).withColumn("line", F.sum("__breaks").over(w) + 1)
+    # A line's begin is behind the last piece with a line end; columns count from there.
+    begin = F.max(F.when(F.col("__breaks") > 0, F.col("at") - F.col("__tail"))).over(w)
+    more = F.lead("__k").over(_window(key, ["__k"]))
+    hits = told.withColumn("column", F.col("at") - F.coalesce(begin, F.lit(1)) + 1).withColumn("__more", more).where(F.col("__more").isNotNull())
+    return hits.select(*key, *[F.col(c).cast("bigint").alias(c) for c in ("line", "column", "at")])
+
+
+def last_of_place(df: DataFrame, by: Sequence[str], place: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Of the rows of one place the last in order."""
+    rest = [c for c in df.columns if c not in {*by, *place}]
+    kept = df.groupBy(*by, *place).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("__r"))
+    return kept.select(*[F.col(c) if c in {*by, *place} else F.col(f"__r.{c}").alias(c) for c in df.columns])

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vellum.functions import arith, text
-from vellum.operators import reach, scans, spans, tables
+from vellum.operators import reach, rules, scans, spans, tables
 from vellum.sources import archive
 from vellum.text import glossary
 
@@ -213,6 +213,38 @@ def line_location(documents):
     return found.select("doc_id", F.col("pos").cast("bigint").alias("pos"), spans.line_of(F.col("text"), F.col("pos")).alias("line"))
 
 
+@query(
+    "documents",
+    sql="""SELECT doc_id, CAST(length(head) - length(replace(head, chr(10), '')) + 1 AS BIGINT) AS line, CAST(strpos(concat(reverse(head), chr(10)), chr(10)) AS BIGINT) AS "column", pos AS "at"
+FROM (SELECT doc_id, pos, substr(text, 1, CAST(pos - 1 AS BIGINT)) AS head FROM (
+  SELECT doc_id, text, CAST(list_sum(list_transform(p[1:k], lambda x: length(x))) + 4 * (k - 1) + 1 AS BIGINT) AS pos
+  FROM (SELECT doc_id, text, p, unnest(range(1, len(p))) AS k FROM (SELECT doc_id, text, string_split(text, 'tion') AS p FROM documents))))""",
+)
+def line_hits(documents):
+    """Line, column and place of every hit in a text."""
+    return spans.all_hits(documents, ["doc_id"], "text", "tion")
+
+
+@query("events", sql="SELECT user_id, CAST(date_trunc('hour', ts) AS TIMESTAMP) AS place, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type FROM events GROUP BY 1, 2")
+def line_map_last(events):
+    """Of the events of one user and hour, as of lines that give one address, the last one wins."""
+    rows = events.select("user_id", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("place"), "event_id", "event_type")
+    return spans.last_of_place(rows, ["user_id"], ["place"], ["event_id"])
+
+
+_RULES = [(1, "event_type", "error", "alert"), (2, "user_id", "7", "watched"), (3, "event_type", "purchase", "sale"), (3, "user_id", "8", "watched"), (4, "event_type", "error", "never"), (9, None, None, "other")]
+
+
+@query(
+    "events",
+    sql="""SELECT event_id, CASE WHEN event_type = 'error' THEN 'alert' WHEN user_id = 7 THEN 'watched' WHEN event_type = 'purchase' THEN 'sale' WHEN user_id = 8 THEN 'watched' ELSE 'other' END AS route FROM events""",
+)
+def routed_events(events):
+    """Events routed by the first of the rules, kept as rows, that they meet."""
+    table = events.sparkSession.createDataFrame(_RULES, "rank int, field string, value string, result string")
+    return rules.routed(events, table, ["event_id"], ["event_type", "user_id"]).select("event_id", "route")
+
+
 @query("events", sql="SELECT event_id FROM (SELECT event_id, ts, lag(ts + INTERVAL 60 SECOND) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pe FROM events) WHERE pe > ts")
 def overlap_check(events):
     return spans.overlapping_previous(events, F.col("ts"), F.col("ts") + F.expr("INTERVAL 60 SECONDS"), ["user_id"], ["ts", "event_id"]).select("event_id")
