@@ -59,6 +59,15 @@ ORGANIZATION = "(?:軍|部隊|隊|教団|国)$"
 FACILITY_MARKS, ITEM_MARKS = ("建設期間", "建設費"), ("価格", "特価", "装備", "万ＧＯＬＤ")
 TABLE_FILES = ("SET_CHR.ADV", "SET_MAP.ADV", "SET_ITEM.ADV")
 
+#: Reasons that terms show.
+ID_TABLE = "ID-backed {}"
+RUNTIME_PLACE = "location slot MS 8 outside SET_MAP"
+RUNTIME_FACTION = "battle/faction display slot MS 10"
+FROM_FILE_NAME = "G-prefixed scenario filename"
+FROM_BRACKETS = "explicit full-width square-bracket term"
+FROM_SUFFIX = "short noun phrase with a proper-term suffix"
+FROM_KATAKANA = "katakana token occurring at least three times"
+
 #: Which MS fields an id line of SET_CHR closes: line's variable, field that must be there, (field, category, reason).
 CHARACTER_FIELDS = {
     "154": (1, ((1, "character", "main character name"), (2, "character_role", "main character role/class"))),
@@ -168,7 +177,7 @@ def table_terms(parsed: DataFrame, stage: int, file: str, ms: int, var: str, cat
 
     rows = parsed.where((F.col("file") == file) & ((F.col("var") == var) | (F.col("ms") == ms)))
     found = rows.withColumn("id", previous("entity", ["file"], ["at"])).where(F.col("ms").isNotNull() & F.col("id").isNotNull())
-    return found.select(*_term(stage, F.col("at"), F.lit(category), F.col("value"), "high", "extracted", "id_table", f"ID-backed {category}", F.col("id"), F.lit(0), F.concat_ws(":", "file", "at")))
+    return found.select(*_term(stage, F.col("at"), F.lit(category), F.col("value"), "high", "extracted", "id_table", ID_TABLE.format(category), F.col("id"), F.lit(0), F.concat_ws(":", "file", "at")))
 
 
 def runtime_terms(parsed: DataFrame) -> DataFrame:
@@ -177,14 +186,14 @@ def runtime_terms(parsed: DataFrame) -> DataFrame:
     place = (F.col("ms") == 8) & (F.col("file") != TABLE_FILES[1]) & ~value.isin(*MS8_STOP)
     faction = (F.col("ms") == 10) & ~value.isin(*MS10_STOP)
     category = F.when(place, "location").when(value.rlike(ORGANIZATION), "organization").otherwise("title_or_world_term")
-    reason = F.when(place, "location slot MS 8 outside SET_MAP").otherwise("battle/faction display slot MS 10")
+    reason = F.when(place, RUNTIME_PLACE).otherwise(RUNTIME_FACTION)
     return parsed.where((place | faction) & (value != "")).select(*_term(4, F.col("at"), category, F.col("value"), "medium", "candidate", "runtime_string", reason, None, F.lit(1), F.concat_ws(":", "file", "at")))
 
 
 def filename_terms(files: DataFrame) -> DataFrame:
     stem = F.regexp_replace(nfkc(F.regexp_extract("file", r"^G(.*)\.ADV$", 1)), r"(?U)\d+$", "")
     found = files.where(F.col("file").rlike(r"^G.*\.ADV$")).select("file", stem.alias("stem")).where(~F.col("stem").isin(*STEM_STOP) & F.col("stem").rlike(r"[^\x00-\x7F]"))
-    return found.select(*_term(5, F.lit(0), F.lit("character_candidate"), F.col("stem"), "medium", "candidate", "character_file", "G-prefixed scenario filename", None, F.lit(1), F.col("file")))
+    return found.select(*_term(5, F.lit(0), F.lit("character_candidate"), F.col("stem"), "medium", "candidate", "character_file", FROM_FILE_NAME, None, F.lit(1), F.col("file")))
 
 
 def mined_terms(catalog: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -203,9 +212,9 @@ def mined_terms(catalog: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     kana = each(KATAKANA, 0).where(~F.col("value").isin(*KATAKANA_STOP))
     one, at, value, file, example = F.lit(1), F.col("at"), F.col("value"), F.col("file"), F.col("example")
     return (
-        bracket.select(*_term(6, at, F.col("category"), value, sure, "candidate", "bracketed_text", "explicit full-width square-bracket term", None, one, file, example)),
-        suffix.select(*_term(7, at, F.col("category"), value, "low", "candidate", "suffix_mining", "short noun phrase with a proper-term suffix", None, one, file, example)),
-        kana.select(*_term(8, at, F.lit("katakana_candidate"), value, "low", "candidate", "frequency_mining", "katakana token occurring at least three times", None, one, file, example)),
+        bracket.select(*_term(6, at, F.col("category"), value, sure, "candidate", "bracketed_text", FROM_BRACKETS, None, one, file, example)),
+        suffix.select(*_term(7, at, F.col("category"), value, "low", "candidate", "suffix_mining", FROM_SUFFIX, None, one, file, example)),
+        kana.select(*_term(8, at, F.lit("katakana_candidate"), value, "low", "candidate", "frequency_mining", FROM_KATAKANA, None, one, file, example)),
     )
 
 
