@@ -99,3 +99,23 @@ def test_one_very_long_text(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id bigint, lang string, text string")
     assert op.collocations(docs).collect() == []
+
+
+def test_words_cross_as_compressed_rows(spark, monkeypatch):
+    """Words of shards come to their groups and back as one row for each shard and group, never as one for each word."""
+    rows, plans, write = texts(7), {}, op.materialize
+
+    def written(df, label):
+        plans[label] = df._jdf.queryExecution().optimizedPlan().toString()  # noqa: SLF001
+        return write(df, label)
+
+    docs = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id bigint, lang string, text string").repartition(2)
+    cut = op.materialize(op.shards(docs, shard_words=100), "shards")
+    assert cut.count() > 8
+    monkeypatch.setattr(op, "materialize", written)
+    found = {(r["lang"], r["phrase"]): r["a"] for r in op.phrase_counts(cut, least=3).where("instr(phrase, ' ') = 0").collect()}
+    expected = Counter()
+    for r in cut.collect():
+        expected.update({(r["lang"], w): n for w, n in zip(r["words"], r["counts"], strict=True)})
+    assert found == {k: n for k, n in expected.items() if n >= 3}
+    assert plans and not [label for label, plan in plans.items() if "Generate" in plan]

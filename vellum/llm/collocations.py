@@ -22,13 +22,13 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vellum.llm.common import columns_of, discard, materialize, table, with_number
+from vellum.llm.common import columns_of, discard, materialize, table
 
 LEAST, WORDS, TOP = 100, 5, 2_000
 SHARD_WORDS = 1 << 20
 #: Parts of a language that are ranked on their own before its ranks.
 RANK_PARTS = 64
-#: Groups that pairs and phrases are dealt to, at least.
+#: Groups that words, pairs and phrases are dealt to, at least.
 LEAST_GROUPS = 64
 #: Breaks between pieces become full stops, tabs blanks.
 _BYTES = bytes.maketrans(b",;:!?\n\x0b\x0c\r\t", b"." * 9 + b" ")
@@ -155,10 +155,56 @@ def _by_group(group: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
             yield int(group[part[0]]), part
 
 
+def _words(groups: int):
+    """(group, shard, lang, size, bytes, words, places, counts): each shard's own words, dealt by their hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rb in batches:
+            for i in range(rb.num_rows):
+                names = [w.encode("utf-8", "surrogatepass") for w in rb.column("words")[i].values.to_pylist()]
+                n = np.asarray(rb.column("counts")[i].values) if names else np.empty(0, np.int64)
+                group = np.fromiter((zlib.crc32(w) % groups for w in names), np.int64, len(names))
+                for g, at in _by_group(group):
+                    text = b"\n".join([names[k] for k in at.tolist()])
+                    row = [g], [rb.column("shard")[i].as_py()], [rb.column("lang")[i].as_py()], [len(at)], [len(text)], [pa.compress(text, "zstd", asbytes=True)], [_packed(at + 1)], [_packed(n[at])]
+                    kinds = pa.int32(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()
+                    yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(row, kinds, strict=True)], names=["group", "shard", "lang", "size", "bytes", "words", "places", "counts"])
+
+    return run
+
+
+def _frequent_words(least: int, groups: int):
+    """Of one group's words, those that have `least` occurrences in all: once each as (lang, phrase, a), and for each
+    shard its own ones as (shard, size, places, numbers). A word's number is its own in all groups and languages."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        here, total = rows.to_pylist(), defaultdict(Counter)
+        listed = [pa.decompress(r["words"], r["bytes"], "zstd", asbytes=True).split(b"\n") for r in here]
+        for r, names in zip(here, listed, strict=True):
+            counts = total[r["lang"]]
+            for word, n in zip(names, _unpacked(r["counts"], r["size"]).tolist(), strict=True):
+                counts[word] += n
+        frequent = [(lang, w, n) for lang, counts in total.items() for w, n in counts.items() if n >= least]
+        out = [(None, None, None, None, lang, w.decode("utf-8", "replace"), n) for lang, w, n in frequent]
+        numbers: dict[str, dict[bytes, int]] = defaultdict(dict)
+        for k, (lang, w, _) in enumerate(frequent):
+            numbers[lang][w] = k * groups + here[0]["group"]
+        for r, names in zip(here, listed, strict=True):
+            own = numbers[r["lang"]]
+            of = np.fromiter((own.get(w, -1) for w in names), np.int64, len(names))
+            place = _unpacked(r["places"], r["size"])[of >= 0]
+            if len(place):
+                out.append((r["shard"], len(place), _packed(place), _packed(of[of >= 0]), None, None, None))
+        kinds = (("shard", pa.int64()), ("size", pa.int64()), ("places", pa.binary()), ("numbers", pa.binary()), ("lang", pa.string()), ("phrase", pa.string()), ("a", pa.int64()))
+        return pa.table({n: pa.array([x[k] for x in out], t) for k, (n, t) in enumerate(kinds)})
+
+    return run
+
+
 def _known(rb: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray]:
     """Places (sorted) and numbers of the frequent words in one row's shard."""
-    items = rb.column("known")[i].values
-    place, word = np.asarray(items.field("place")), np.asarray(items.field("word"))
+    parts = rb.column("known")[i].as_py()
+    place, word = (np.concatenate([_unpacked(x[name], x["size"]) for x in parts]) for name in ("places", "numbers"))
     order = np.argsort(place)
     return place[order], word[order]
 
@@ -269,14 +315,13 @@ def _frequent_phrases(least: int):
 def phrase_counts(cut: DataFrame, least: int = LEAST, most: int = WORDS) -> DataFrame:
     """(lang, phrase, a) of all phrases of 1 to `most` words with at least `least` occurrences. cut: shards(), written.
 
-    Pairs and phrases are dealt to groups by their hash, as one compressed row for each shard and group, and a
+    Words, pairs and phrases are dealt to groups by their hash, as one compressed row for each shard and group, and a
     group is summed in one task; there are as many groups as the words ask for, so a group stays as small as a shard."""
     groups = max(LEAST_GROUPS, -(-(cut.agg(F.sum("size")).first()[0] or 0) // SHARD_WORDS))
-    words = cut.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("w")).select("lang", F.col("w.words").alias("phrase"), F.col("w.counts").alias("n"))
-    words = words.groupBy("lang", "phrase").agg(F.sum("n").alias("a")).where(F.col("a") >= least)
-    words = with_number(words, "word")
-    listed = cut.select("shard", "lang", F.posexplode("words").alias("at", "phrase"))
-    known = listed.join(words, ["lang", "phrase"]).groupBy("shard").agg(F.collect_list(F.struct((F.col("at") + 1).alias("place"), "word")).alias("known"))
+    dealt = cut.select("shard", "lang", "words", "counts").mapInArrow(_words(groups), "group int, shard bigint, lang string, size bigint, bytes bigint, words binary, places binary, counts binary")
+    told = dealt.groupBy("group").applyInArrow(_frequent_words(least, groups), "shard bigint, size bigint, places binary, numbers binary, lang string, phrase string, a bigint")
+    told = materialize(told, "words")
+    known = told.where("shard is not null").groupBy("shard").agg(F.collect_list(F.struct("size", "places", "numbers")).alias("known"))
     known = materialize(known, "known")
     pairs = cut.select("shard", "size", "tokens").join(known, "shard").mapInArrow(_pairs(groups), "group int, shard bigint, size bigint, codes binary, counts binary")
     frequent = pairs.groupBy("group").applyInArrow(_frequent_pairs(least), "shard bigint, size bigint, codes binary")
@@ -284,8 +329,8 @@ def phrase_counts(cut: DataFrame, least: int = LEAST, most: int = WORDS) -> Data
     rows = cut.select("shard", "size", "tokens", "lang", "words").join(known, "shard").join(held, "shard")
     phrases = rows.mapInArrow(_phrases(most, groups), "group int, lang string, size bigint, bytes bigint, phrases binary, counts binary")
     found = phrases.groupBy("group").applyInArrow(_frequent_phrases(least), "lang string, phrase string, a bigint")
-    out = materialize(words.select("lang", "phrase", "a").unionByName(found), "phrases")
-    for done in (words, known, held):
+    out = materialize(told.where("shard is null").select("lang", "phrase", "a").unionByName(found), "phrases")
+    for done in (told, known, held):
         discard(done)
     return out
 
