@@ -122,6 +122,45 @@ def test_exact_complements_come_first():
     assert packing.cuts(2_500, 1024) == [(0, 452), (452, 1024), (1476, 1024)] and packing.cuts(2_048, 1024) == [(0, 1024), (1024, 1024)] and packing.cuts(1, 1024) == [(0, 1)]
 
 
+def test_an_encoder_holds_few_texts_and_forgets_with_its_task(spark, monkeypatch):
+    """What a task leaves in its worker adds to the memory of the stages after it."""
+    own, sizes, split = packing.Encoder(), [], packing.Encoder._batch
+    monkeypatch.setattr(packing.Encoder, "_batch", lambda self, texts: sizes.append(len(texts)) or split(self, texts))
+    texts = [f"w{i} x{i % 7} y" for i in range(1_000)]
+    assert own.batch(texts) == [own._ids(t).tobytes() for t in texts] and sum(sizes) == 1_000 and max(sizes) <= 100
+    own.forget()
+    assert not own._units
+
+    def left(batches):
+        import pyarrow as pa
+
+        for rb in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(packing.encoder()._units)] * rb.num_rows, pa.int64())], names=["n"])
+
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(8)
+    assert packing.token_pieces(docs).count() == 1_000
+    kept = [r["n"] for r in spark.range(0, 64, 1, 8).mapInArrow(left, "n bigint").collect()]
+    assert set(kept) == {0}
+
+
+def test_toxicity_lexicons_send_few_texts_at_a_time(spark):
+    """A batch of 1,000 texts has a million keys."""
+    rows = spark.createDataFrame([(" ".join(f"k{chr(97 + i % 26)}{chr(97 + j)}zz" for j in range(20)), float(i % 2), 1 + i % 4) for i in range(400)], "text string, y double, fold int")
+    made, real = [], type(rows).mapInArrow
+
+    def kept(self, f, schema, *a, **b):
+        made.append(f)
+        return real(self, f, schema, *a, **b)
+
+    type(rows).mapInArrow = kept
+    try:
+        toxicity.lexicons(rows)
+    finally:
+        type(rows).mapInArrow = real
+    out = list(made[0](iter(rows.toArrow().combine_chunks().to_batches())))
+    assert sum(b.num_rows for b in out) == 400 * 20 * 3 and max(b.num_rows for b in out) <= 100 * 20 * 3
+
+
 def test_packing(spark):
     docs = spark.createDataFrame([(i, t, 5) for i, t in enumerate(TEXTS * 3)] + [(None, "x", 5)], "doc_id bigint, text string, length int")
     packed = packing.pack_documents(docs, with_ids=True)

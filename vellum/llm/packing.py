@@ -30,8 +30,10 @@ CAPACITY, END_ID = 1024, 2
 TOKENIZER = "byte_bpe_50k"
 #: Rows in a rank bucket, and the most buckets there are.
 BUCKET_ROWS, MAX_BUCKETS = 2_000, 65_536
-#: Units kept by an encoder, and the longest that are.
-CACHED, CACHED_LENGTH = 250_000, 64
+#: Units kept by an encoder until its task ends, and the longest that are.
+CACHED, CACHED_LENGTH = 60_000, 64
+#: Texts that are split into units at a time.
+TEXTS = 100
 _SHIFT = 40
 
 
@@ -44,7 +46,7 @@ class Encoder:
 
     Added tokens' strings are cut out first; each is its token. The pre-tokenizer never joins a character to a space on
     its right, so what lies between is cut before every space that has no white space beside it, into units. Units not
-    met before are encoded together, a batch of texts at a time, and the first CACHED of them are kept.
+    met before are encoded together, TEXTS texts at a time, and the first CACHED of them are kept until forget().
     """
 
     def __init__(self, name: str = TOKENIZER, folder: str | None = None, cached: int = CACHED):
@@ -90,7 +92,14 @@ class Encoder:
             self._units[unit] = raw[at:end]
             at = end
 
+    def forget(self) -> None:
+        """Drops the units kept: the worker that ran a task goes on to others, of other stages too."""
+        self._units.clear()
+
     def batch(self, texts: list[str]) -> list[bytes]:
+        return [ids for at in range(0, len(texts), TEXTS) for ids in self._few(texts[at : at + TEXTS])]
+
+    def _few(self, texts: list[str]) -> list[bytes]:
         parts = [self._cut.split(x) if self._cut and self._cut.search(x) else [x] for x in texts]
         if all(len(p) == 1 for p in parts):
             return self._batch(texts)
@@ -143,17 +152,20 @@ def token_pieces(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(name, folder)
-        for rb in batches:
-            owner, piece, start, length, crc, ids = [], [], [], [], [], []
-            for row, raw in enumerate(encode.batch([x or "" for x in rb.column(1).to_pylist()])):
-                raw += end
-                for k, (s, n) in enumerate(cuts(len(raw) // 4, capacity)):
-                    part = raw[4 * s : 4 * (s + n)]
-                    owner.append(row), piece.append(k), start.append(s), length.append(n), crc.append(zlib.crc32(part))
-                    if with_ids:
-                        ids.append(np.frombuffer(part, "<u4").astype(np.int64))
-            made = [rb.column(0).take(pa.array(owner, pa.int64())), pa.array(piece, pa.int32()), *[pa.array(x, pa.int64()) for x in (start, length, crc)]]
-            yield pa.RecordBatch.from_arrays([*made, *([pa.array(ids, pa.list_(pa.int64()))] if with_ids else [])], names=schema.names)
+        try:
+            for rb in batches:
+                owner, piece, start, length, crc, ids = [], [], [], [], [], []
+                for row, raw in enumerate(encode.batch([x or "" for x in rb.column(1).to_pylist()])):
+                    raw += end
+                    for k, (s, n) in enumerate(cuts(len(raw) // 4, capacity)):
+                        part = raw[4 * s : 4 * (s + n)]
+                        owner.append(row), piece.append(k), start.append(s), length.append(n), crc.append(zlib.crc32(part))
+                        if with_ids:
+                            ids.append(np.frombuffer(part, "<u4").astype(np.int64))
+                made = [rb.column(0).take(pa.array(owner, pa.int64())), pa.array(piece, pa.int32()), *[pa.array(x, pa.int64()) for x in (start, length, crc)]]
+                yield pa.RecordBatch.from_arrays([*made, *([pa.array(ids, pa.list_(pa.int64()))] if with_ids else [])], names=schema.names)
+        finally:
+            encode.forget()
 
     return docs.select(*columns_of(docs, [id_col, text_col])).mapInArrow(run, schema)
 

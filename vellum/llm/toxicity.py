@@ -32,6 +32,8 @@ TREES, DEPTH, RATE, BINS, MIN_LEAF = 100, 3, 0.15, 48, 20.0
 STEMS = (4, 5, 6)
 #: Tokens whose codes are kept, in scoring and in fitting; none outlives its task.
 _CACHE, _FIT_CACHE = 200_000, 20_000
+#: Texts whose keys, of which each has hundreds, are held and sent at a time.
+_KEYED_TEXTS = 50
 
 #: Second person, in the languages of the corpus.
 SECOND_PERSON = frozenset(
@@ -259,7 +261,7 @@ def lexicons(rows: DataFrame) -> dict[int | None, tuple[dict[str, float], dict[s
     five-word shingles, each key counts once."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rb in batches:
+        for rb in (b.slice(at, _KEYED_TEXTS) for b in batches for at in range(0, b.num_rows, _KEYED_TEXTS)):
             ids, keys, ys, folds = [], [], [], []
             for text, y, own_fold in zip(*[rb.column(i).to_pylist() for i in range(3)], strict=True):
                 every = (text or "").split()
