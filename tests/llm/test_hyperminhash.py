@@ -113,6 +113,20 @@ def test_keys_of_unlinked_sets_with_common_shingles(spark):
     assert got == plain(rows) and asked < 300 * 299 / 2
 
 
+def test_near_copies_that_share_changes_are_not_all_compared(spark):
+    """300 texts near a base and 200 further off, which link with nothing, though dozens have the same change."""
+    rng = random.Random(10)
+    base, places = [f"b{i}" for i in range(150)], range(5, 150, 9)
+    rows = []
+    for i in range(500):
+        own = list(base)
+        for at in rng.sample(places, rng.randrange(1, 3) if i < 300 else rng.randrange(5, 7)):
+            own[at] = f"v{rng.randrange(3)}" if i % 3 else str(rng.random())
+        rows.append((i, " ".join(own)))
+    got, asked = asked_of(spark, rows)
+    assert got == plain(rows) and asked < 12_000
+
+
 def test_registers_hold_zeros_and_the_bits_behind():
     hashes = np.unique(np.array([0x01FF << 48, (0x01 << 56) | (1 << 55) | (1 << 54), 0x02 << 56, (0xFF << 56) | (1 << 8)], np.uint64))
     own = op.registers(hashes)

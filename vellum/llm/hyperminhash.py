@@ -20,7 +20,7 @@ from functools import lru_cache, reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,7 +36,7 @@ CERTAINTY = 20.7
 #: Turns of least and greatest members before what is left is compared by its rare shingles.
 TURNS = 2
 #: Units that a rare shingle has at most.
-RARE = 16
+RARE = 128
 #: Units whose full sets are fetched by a broadcast of their digests (16 bytes each); more are joined.
 MAX_BROADCAST = 500_000
 _DIGEST = ["d1", "d2"]
@@ -285,13 +285,19 @@ class _Links:
 
     def _by_rare_shingles(self, left: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Rows (key, uid, n, s, c) of two kinds of keys that give all links of the units in `left` between them: shingles
-        that at most RARE of the units have, and the keys of old, of units that can link without any of these."""
+        that at most RARE of the units have, and the keys of old, of units that can link without any of these.
+
+        Shingles are in one order, rarest first. Two sets whose first common shingle is this one share no more than
+        what either has from it on, which is its row's s: a pair that links is asked for at its first one at least, and a
+        shingle that comes after too many others makes no pair."""
         units = left.select("uid", "n", "s", "c").distinct()
         flat = materialize(sets.join(units.select("uid"), "uid").select("uid", "hashes").mapInArrow(_exploded, "uid bigint, hash bigint"), "flat")
         few = flat.groupBy("hash").agg(F.count("*").alias("of")).where(F.col("of") <= RARE)
         rare = materialize(flat.join(few, "hash"), "rare")
         own = rare.groupBy("uid").agg(F.count("*").alias("rare"))
-        rows = rare.where("of > 1").join(units, "uid").select(F.col("hash").alias("key"), "uid", "n", "s", "c")
+        at = F.row_number().over(Window.partitionBy("uid").orderBy("of", "hash"))
+        first = rare.withColumn("at", at).where("of > 1").join(units, "uid").withColumn("s", F.least("s", F.col("n") - F.col("at") + 1))
+        rows = first.where(100 * F.col("s") >= self.percent * F.col("n")).select(F.col("hash").alias("key"), "uid", "n", "s", "c")
         rest = left.join(own, "uid", "left").withColumn("s", F.least("s", F.col("n") - F.coalesce("rare", F.lit(0)))).drop("rare")
         rest = rest.where(100 * F.col("s") >= self.percent * F.col("n"))
         every = self.keys.join(rest.select("uid").distinct(), "uid").groupBy("uid").agg(F.array_sort(F.collect_list("key")).alias("keys"))
